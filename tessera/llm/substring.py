@@ -36,7 +36,7 @@ GRAM = 64
 #: Distinct units of one gram that one shard takes.
 PIECE = 256
 #: Bytes of units in one suffix array.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -52,7 +52,10 @@ def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
     power *= data
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(power, out=sums[1:])
-    h = (sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1]
+    del power
+    h = sums[gram:] - sums[:-gram]
+    h *= inverse[: n - gram + 1]
+    del sums, inverse
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
@@ -93,7 +96,7 @@ UNIT = "doc_id long, dig long, lo int, hi int, gram long, d1 long, d2 long"
 
 def emit_units(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, most=2 << 20):
+        for b in slices(batches, most=1 << 20):
             data, offsets = flat(b.column("text"))
             text, first, last, h = units_of(data, offsets, width, gram)
             whole = data.tobytes()
@@ -347,7 +350,7 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches):
+    for b in slices(batches, most=1 << 20):
         out = []
         for i, text, spans in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), b.column("spans").to_pylist(), strict=True):
             m = maximal(spans)
