@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import in_arrow, slices
 
 #: Longer words are matched one by one, so that one of them doesn't hold up a batch.
 LONG_WORD = 128
@@ -497,7 +497,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, decode: bool = False, diges
     """
     codec = codec_of(docs.sparkSession, tokenizer_path)
     more = "".join(f", {c} string" for c in digest_columns) if digest else ", ids array<long>" + ", decoded string" * decode
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encoded(codec, decode, digest), f"doc_id long, n_tokens long{more}")
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(in_arrow, encoded(codec, decode, digest), f"doc_id long, n_tokens long{more}")
 
 
 def bpe_decode(rows: DataFrame, tokenizer_path: str, ids: str = "ids") -> DataFrame:
@@ -510,4 +510,4 @@ def bpe_decode(rows: DataFrame, tokenizer_path: str, ids: str = "ids") -> DataFr
             texts = [codec.value.decode(i or []) for i in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "decoded"])
 
-    return rows.drop("decoded").mapInArrow(run, kind)
+    return rows.drop("decoded").transform(in_arrow, run, kind)

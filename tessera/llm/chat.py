@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import codec_of, encoder
+from .common import in_arrow
 
 BUDGET = 2048
 #: Of the budget, what repeated turns may take besides the system turn.
@@ -174,4 +175,4 @@ def chat_windows(conversations: DataFrame, tokenizer_path: str, budget: int = BU
     codec = codec_of(conversations.sparkSession, tokenizer_path)
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").drop("turn")
-    return rows.mapInArrow(framed(codec, budget, history), OUT)
+    return rows.transform(in_arrow, framed(codec, budget, history), OUT)

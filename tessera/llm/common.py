@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,6 +14,30 @@ from pyspark.sql import functions as F
 
 #: Arrow batches are cut so that about this many bytes of text are worked on at once.
 SLICE_BYTES = 4 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow(run, schema) with bounded memory, for use as df.transform(in_arrow, run, schema).
+
+    The bytes of a batch sent to Python are bounded, which 10,000 rows of long texts make large otherwise (a session that
+    has the setting keeps it), and a worker that is done with a partition returns free memory before it idles.
+    """
+    if df.sparkSession.conf.get(ARROW_BYTES, None) is None:
+        df.sparkSession.conf.set(ARROW_BYTES, str(SLICE_BYTES))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        return_memory()
+
+    return df.mapInArrow(bounded, schema)
+
+
+def return_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
 
 
 def scratch_dir(spark: SparkSession) -> str:

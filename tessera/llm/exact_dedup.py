@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, scratch, slices
+from .common import as_bytes, in_arrow, scratch, slices
 
 HOT_KEYS = 100_000
 #: Members of one piece of a frequent key; a task holds that many ids at most.
@@ -198,7 +198,7 @@ def merge(largest: bool):
 
 def hot_keys(docs: DataFrame, piece: int, most: int = HOT_KEYS) -> dict[tuple[int, int], int]:
     """Keys with more than `piece` rows and the number of pieces of each; piece doubles until the list is short."""
-    counts = scratch(docs.select("text").mapInArrow(keyed, KEY).groupBy("n_bytes", "h").count().where(F.col("count") > piece), "hot")
+    counts = scratch(docs.select("text").transform(in_arrow, keyed, KEY).groupBy("n_bytes", "h").count().where(F.col("count") > piece), "hot")
     while counts.where(F.col("count") > piece).count() > most:
         piece *= 2
     return {(r.n_bytes, r.h): -(-r["count"] // piece) for r in counts.where(F.col("count") > piece).collect()}
@@ -210,14 +210,14 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest", piece: int = PIECE) ->
         raise ValueError("keep: smallest or largest")
     largest = keep == "largest"
     hot = hot_keys(docs, piece)
-    one = docs.select("doc_id", "text").mapInArrow(dealt(hot), f"{KEY}, salt long, doc_id long, text binary")
+    one = docs.select("doc_id", "text").transform(in_arrow, dealt(hot), f"{KEY}, salt long, doc_id long, text binary")
     one = one.repartition("n_bytes", "h", "salt").sortWithinPartitions("n_bytes", "h", "salt")
-    one = one.mapInArrow(tries(set(hot), largest), "doc_id long, owner long, members long, text_sha256 string, n_bytes long, h long, salt long, text binary")
+    one = one.transform(in_arrow, tries(set(hot), largest), "doc_id long, owner long, members long, text_sha256 string, n_bytes long, h long, salt long, text binary")
     keep_id, size = F.col("owner"), F.col("members")
     if hot:
         one = scratch(one, "pieces")
         pieces = one.where(F.col("text").isNotNull()).drop("doc_id", "salt")
-        merged = pieces.repartition("n_bytes", "h").sortWithinPartitions("n_bytes", "h").mapInArrow(merge(largest), "n_bytes long, h long, piece_owner long, piece_sha string, keep long, total long")
+        merged = pieces.repartition("n_bytes", "h").sortWithinPartitions("n_bytes", "h").transform(in_arrow, merge(largest), "n_bytes long, h long, piece_owner long, piece_sha string, keep long, total long")
         # as many rows as the hot keys have pieces: rows / piece + HOT_KEYS at most, and AQE broadcasts only by their size
         merged = scratch(merged, "owners").withColumnsRenamed({"n_bytes": "m_bytes", "h": "m_h"})
         one = one.join(merged, (F.col("n_bytes") == F.col("m_bytes")) & (F.col("h") == F.col("m_h")) & F.col("owner").eqNullSafe(F.col("piece_owner")) & (F.col("text_sha256") == F.col("piece_sha")), "left")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import in_arrow, slices
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -319,4 +319,4 @@ def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """A row per page (page_id, url, html): page_id, url, text."""
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(texts, "page_id long, url string, text string")
+    return pages.select(F.col("page_id").cast("long"), "url", "html").transform(in_arrow, texts, "page_id long, url string, text string")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, slices
+from .common import flat, in_arrow, slices
 
 STEPS = 64
 HIDDEN = 8
@@ -196,7 +196,7 @@ def fit(docs: DataFrame, use: Column, sample: int = SAMPLE) -> Network | None:
         return None
     rate = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))]), F.col("lang"))
     chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < rate * (1 << 20))
-    got = chosen.mapInArrow(windows_of, "lang string, window binary").collect()
+    got = chosen.transform(in_arrow, windows_of, "lang string, window binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r.lang, bytes(r.window)))
@@ -228,7 +228,7 @@ def labelled(net: Network | None):
 
 def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     """A row per document: doc_id, lang_pred, score."""
-    return docs.select("doc_id", "text").mapInArrow(labelled(net), "doc_id long, lang_pred string, score double")
+    return docs.select("doc_id", "text").transform(in_arrow, labelled(net), "doc_id long, lang_pred string, score double")
 
 
 def held_out(doc_id: str = "doc_id", modulus: int = 4, rest: int = 2) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import codec_of, encoder
-from .common import slices
+from .common import in_arrow, slices
 
 MAX_LENGTH = 2048
 CLOSING_ID = 1
@@ -65,5 +65,5 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = MAX_LENGTH, closin
         raise ValueError("the longest length must be a power of two")
     codec = codec_of(docs.sparkSession, tokenizer_path)
     last = "ids_crc32 long" if digest else "ids array<long>"
-    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces(codec, closing, longest, digest), f"doc_id long, start long, length long, doc_tokens long, {last}")
+    out = docs.select(F.col("doc_id").cast("long"), "text").transform(in_arrow, pieces(codec, closing, longest, digest), f"doc_id long, start long, length long, doc_tokens long, {last}")
     return out.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "bucket": F.log2("length").cast("int")})

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, slices
+from .common import flat, in_arrow, slices
 
 SAMPLE = 4000
 RANK = 32
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, sample: int = SAMPLE) -
     if not n:
         return None
     chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < min(1.0, sample / n) * (1 << 30)).dropDuplicates(["doc_id"])
-    got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text").mapInArrow(vectors, "quality int, x binary").collect()
+    got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text").transform(in_arrow, vectors, "quality int, x binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r.quality, bytes(r.x)))
@@ -133,4 +133,4 @@ def scored(model):
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """A row per document: doc_id, score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select("doc_id", "text").mapInArrow(scored(shared), "doc_id long, score double")
+    return docs.select("doc_id", "text").transform(in_arrow, scored(shared), "doc_id long, score double")

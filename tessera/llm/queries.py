@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_arrow, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -81,7 +81,7 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import chat_windows
 
     windows = chat_windows(op2_conversations(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
-    return windows.mapInArrow(op2_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
+    return windows.transform(in_arrow, op2_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
 
 
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, components, local_labels, runs, scratch, slices
+from .common import as_bytes, components, in_arrow, local_labels, runs, scratch, slices
 
 SEED = 42
 SHINGLE = 3
@@ -140,19 +140,19 @@ def linked(radius: int, at_once: int = 1 << 18):
 
 def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, piece: int = PIECE) -> DataFrame:
     """Distinct fingerprints (fp long) to links (u, v) with the same connected components as all linked pairs."""
-    met = nodes.select("fp").mapInArrow(keys(key_masks(blocks, radius)), "mask int, key long, fp long")
+    met = nodes.select("fp").transform(in_arrow, keys(key_masks(blocks, radius)), "mask int, key long, fp long")
     met = scratch(met, "keys")
     counts = met.groupBy("mask", "key").count().where(F.col("count") > 1)
     met = met.join(counts, ["mask", "key"]).withColumn("n", F.ceil(F.col("count") / F.lit(piece)).cast("int"))
     met = met.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     met = met.select("mask", "key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "fp")
-    return met.repartition("mask", "key", "bi", "bj").sortWithinPartitions("mask", "key", "bi", "bj").mapInArrow(linked(radius), "u long, v long").distinct()
+    return met.repartition("mask", "key", "bi", "bj").sortWithinPartitions("mask", "key", "bi", "bj").transform(in_arrow, linked(radius), "u long, v long").distinct()
 
 
 def simhash_near_dedup(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """A row per document: doc_id, fp long, component_id (the smallest doc_id reachable by links, itself included)."""
-    prints = scratch(docs.select("doc_id", "text").mapInArrow(fingerprints, "doc_id long, fp long"), "prints")
+    prints = scratch(docs.select("doc_id", "text").transform(in_arrow, fingerprints, "doc_id long, fp long"), "prints")
     nodes = scratch(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
     member = scratch(components(links(nodes, radius, blocks)), "member")
     least = member.join(nodes, member.node == nodes.fp).groupBy("root").agg(F.min("rep").alias("component_id"))

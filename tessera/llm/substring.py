@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, flat, join, runs, scratch, slices
+from .common import as_bytes, flat, in_arrow, join, runs, scratch, slices
 
 WIDTH = 400
 GRAM = 64
@@ -296,7 +296,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, piece:
     if not 8 <= gram < width or width < 16:
         raise ValueError("grams of at least 8 bytes, strings of more than a gram and at least 16 bytes")
     texts = keyed(docs)
-    units = scratch(texts.mapInArrow(emit_units(width, gram), UNIT), "units")
+    units = scratch(texts.transform(in_arrow, emit_units(width, gram), UNIT), "units")
     grams = units.groupBy("gram").agg(F.count("*").alias("n"), F.min("d1").alias("a1"), F.max("d1").alias("z1"), F.min("d2").alias("a2"), F.max("d2").alias("z2"))
     grams = scratch(grams.where("n > 1").select("gram", ((F.col("a1") == F.col("z1")) & (F.col("a2") == F.col("z2"))).alias("alike")), "grams")
     met = scratch(units.join(grams, "gram"), "met")
@@ -310,12 +310,12 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, piece:
     wanted = distinct.join(hot, "gram", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     wanted = wanted.withColumn("salt", F.pmod(F.xxhash64("d1", "d2"), F.col("pieces")).cast("int"))
     wanted = wanted.groupBy("doc_id", "dig").agg(F.collect_list(F.struct("lo", "hi", "gram", "salt", "pieces")).alias("wanted"))
-    fetched = texts.join(wanted, ["doc_id", "dig"]).mapInArrow(fetch(width), "doc_id long, dig long, lo int, gram long, salt int, pieces int, unit binary")
+    fetched = texts.join(wanted, ["doc_id", "dig"]).transform(in_arrow, fetch(width), "doc_id long, dig long, lo int, gram long, salt int, pieces int, unit binary")
     # repeated rows fetch a unit twice, and a unit must not meet itself
-    fetched = fetched.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "doc_id", "dig", "lo").mapInArrow(once, fetched.schema)
-    found = scratch(fetched.mapInArrow(shard(width), FOUND), "found")
+    fetched = fetched.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "doc_id", "dig", "lo").transform(in_arrow, once, fetched.schema)
+    found = scratch(fetched.transform(in_arrow, shard(width), FOUND), "found")
     apart = found.where("run is not null").select("gram", "cut", "run").repartition("gram", "cut").sortWithinPartitions("gram", "cut")
-    apart = apart.mapInArrow(merged(width), "doc_id long, dig long, s int, e int")
+    apart = apart.transform(in_arrow, merged(width), "doc_id long, dig long, s int, e int")
     within = found.where("run is null").select("doc_id", "dig", "s", "e")
     spans = whole.unionByName(whole_too).unionByName(within).unionByName(apart)
     return spans.groupBy("doc_id", "dig").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
@@ -367,7 +367,7 @@ def with_spans(docs: DataFrame, **options) -> DataFrame:
 def repeat_report(docs: DataFrame, **options) -> DataFrame:
     """A row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256."""
     rows = with_spans(docs.select("doc_id", "text"), **options)
-    return rows.mapInArrow(report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.transform(in_arrow, report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
@@ -381,4 +381,4 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
             b = b.drop_columns(["spans"])
             yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(texts, b.schema.field("text").type))
 
-    return with_spans(docs, **options).mapInArrow(run, docs.schema)
+    return with_spans(docs, **options).transform(in_arrow, run, docs.schema)

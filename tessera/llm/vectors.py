@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, local_labels, runs, scratch
+from .common import components, in_arrow, local_labels, runs, scratch
 from .simhash import pairs_of
 
 THRESHOLD = 0.93
@@ -232,19 +232,19 @@ def verified(threshold: float):
 def vector_near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, blocks: int = BLOCKS, codes: int = CODES, mean: int = MEAN_FILTERS, piece: int = PIECE) -> DataFrame:
     """A row per vector (vec_id, embedding, label): vec_id, n_links, component_id, kept."""
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding", F.col("label").cast("long").alias("label"))
-    rows = scratch(rows.mapInArrow(prepared, "vec_id long, label long, raw binary"), "vectors")
+    rows = scratch(rows.transform(in_arrow, prepared, "vec_id long, label long, raw binary"), "vectors")
     nodes = rows.where("raw is not null").groupBy("label", "raw").agg(F.min("vec_id").alias("rep"), F.count("*").alias("many"))
     nodes = scratch(nodes, "nodes")
     settings = (blocks, codes, mean)
-    hot = nodes.mapInArrow(met(settings, True), "label long, dim int, filter long").groupBy("label", "dim", "filter").count()
+    hot = nodes.transform(in_arrow, met(settings, True), "label long, dim int, filter long").groupBy("label", "dim", "filter").count()
     hot = scratch(hot.where(F.col("count") > piece).withColumn("pieces", F.ceil(F.col("count") / piece).cast("int")).drop("count"), "hot")
-    pairs = nodes.mapInArrow(met(settings, False), "label long, dim int, filter long, rep long, many long, raw binary, all binary")
+    pairs = nodes.transform(in_arrow, met(settings, False), "label long, dim int, filter long, rep long, many long, raw binary, all binary")
     pairs = pairs.join(hot, ["label", "dim", "filter"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     pairs = pairs.withColumn("own", F.pmod(F.xxhash64("raw"), F.col("pieces")).cast("int"))
     pairs = pairs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     pairs = pairs.withColumns({"bi": F.least("own", "other"), "bj": F.greatest("own", "other")}).drop("other", "pieces")
     keys = ["label", "dim", "filter", "bi", "bj"]
-    found = pairs.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(verified(threshold), "u long, links long, v long")
+    found = pairs.repartition(*keys).sortWithinPartitions(*keys).transform(in_arrow, verified(threshold), "u long, links long, v long")
     found = scratch(found, "links")
     member = scratch(components(found.select("u", "v")), "member").select(F.col("node").alias("rep"), F.col("root"))
     total = found.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
