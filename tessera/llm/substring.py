@@ -35,6 +35,9 @@ WIDTH = 400
 GRAM = 64
 #: Distinct units of one gram that one shard takes.
 PIECE = 256
+#: A unit with so many places is common; the list of common units is broadcast, COMMON_UNITS * 24 bytes at most.
+COMMON = 256
+COMMON_UNITS = 10_000
 #: Bytes of units in one suffix array.
 SHARD_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
@@ -291,7 +294,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("dig"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
+def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, piece: int = PIECE, common: int = COMMON) -> DataFrame:
     """A row per key that loses bytes: doc_id (null as 0), dig, spans array<struct<s, e>>, not merged."""
     if not 8 <= gram < width or width < 16:
         raise ValueError("grams of at least 8 bytes, strings of more than a gram and at least 16 bytes")
@@ -304,16 +307,20 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, piece:
     mixed = met.where("not alike").drop("alike")
     distinct = mixed.groupBy("gram", "d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "dig", "lo", "hi")).alias("at"))
     distinct = scratch(distinct.select("gram", "d1", "d2", "n", "at.*"), "distinct")
-    several = distinct.where("n > 1").select("gram", "d1", "d2")
-    whole_too = mixed.join(several, ["gram", "d1", "d2"], "left_semi").select("doc_id", "dig", F.col("lo").alias("s"), (F.col("hi") + width).alias("e"))
+    key = ["gram", "d1", "d2"]
+    several = distinct.where("n > 1").select(*key, "n")
+    often = F.broadcast(most_common(several, common).select(key))
+    rare = mixed.join(often, key, "left_anti").join(several, key, "left_semi")
+    whole_too = mixed.join(often, key, "left_semi").unionByName(rare).select("doc_id", "dig", F.col("lo").alias("s"), (F.col("hi") + width).alias("e"))
     hot = scratch(distinct.groupBy("gram").count().where(F.col("count") > piece).select("gram", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "hot")
     wanted = distinct.join(hot, "gram", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     wanted = wanted.withColumn("salt", F.pmod(F.xxhash64("d1", "d2"), F.col("pieces")).cast("int"))
     wanted = wanted.groupBy("doc_id", "dig").agg(F.collect_list(F.struct("lo", "hi", "gram", "salt", "pieces")).alias("wanted"))
     fetched = texts.join(wanted, ["doc_id", "dig"]).transform(in_arrow, fetch(width), "doc_id long, dig long, lo int, gram long, salt int, pieces int, unit binary")
     # repeated rows fetch a unit twice, and a unit must not meet itself
-    fetched = fetched.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "doc_id", "dig", "lo").transform(in_arrow, once, fetched.schema)
-    found = scratch(fetched.transform(in_arrow, shard(width), FOUND), "found")
+    fetched = fetched.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "doc_id", "dig", "lo")
+    solve = shard(width)
+    found = scratch(fetched.transform(in_arrow, lambda batches: solve(once(batches)), FOUND), "found")
     apart = found.where("run is not null").select("gram", "cut", "run").repartition("gram", "cut").sortWithinPartitions("gram", "cut")
     apart = apart.transform(in_arrow, merged(width), "doc_id long, dig long, s int, e int")
     within = found.where("run is null").select("doc_id", "dig", "s", "e")
@@ -321,6 +328,13 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, piece:
     return spans.groupBy("doc_id", "dig").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
+def most_common(several: DataFrame, least: int, most: int = COMMON_UNITS) -> DataFrame:
+    """Units with at least `least` places, which joins must not deal by unit; least doubles until `most` units are left."""
+    while several.where(F.col("n") >= least).count() > most:
+        least *= 2
+    return several.where(F.col("n") >= least)
+
+
 def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Drop rows that equal the row before in (gram, doc_id, dig, lo)."""
     last = None

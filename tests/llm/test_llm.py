@@ -303,8 +303,8 @@ def test_suffix_array_dedup(spark, data):
     assert rows(Q.op9_suffix_array_dedup(spark, data), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("piece", [256, 3])
-def test_suffix_array_dedup_in_pieces(spark, piece):
+@pytest.mark.parametrize(("piece", "common"), [(256, 256), (3, 3)])
+def test_suffix_array_dedup_in_pieces(spark, piece, common):
     from tessera.llm.substring import repeat_report, without_repeats
 
     rnd = random.Random(8)
@@ -315,9 +315,9 @@ def test_suffix_array_dedup_in_pieces(spark, piece):
         made.append((n, "".join(rnd.choice("wxyzü") for _ in range(rnd.randrange(40))) + shared[a:b] + "".join(rnd.choice("uvé") for _ in range(rnd.randrange(40)))))
     docs = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
     gone = list(repeats([t.encode() for _, t in made], 24))
-    got = {r.doc_id: r for r in repeat_report(docs, width=24, gram=8, piece=piece).collect()}
+    got = {r.doc_id: r for r in repeat_report(docs, width=24, gram=8, piece=piece, common=common).collect()}
     assert [got[n].n_removed for n in range(80)] == [int(g.sum()) for g in gone]
-    left = {r.doc_id: r.text for r in without_repeats(docs, width=24, gram=8, piece=piece).collect()}
+    left = {r.doc_id: r.text for r in without_repeats(docs, width=24, gram=8, piece=piece, common=common).collect()}
     assert all(left[n].encode() == np.frombuffer(t.encode(), np.uint8)[~g].tobytes() for (n, t), g in zip(made, gone, strict=True))
 
 
