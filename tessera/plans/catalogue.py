@@ -22,8 +22,8 @@ from ..sources import tables
 from .oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-CAP, LIMIT = 20, 10
-CONFIG = B.BlockingConfig(LIMIT, LIMIT, LIMIT, LIMIT, CAP, (3,))
+CAP, LIMIT = 500, 50
+CONFIG = B.BlockingConfig(LIMIT, LIMIT, LIMIT, LIMIT, CAP)
 
 
 def query(f):
@@ -44,7 +44,7 @@ def ref(spark, d):
 
 
 def raw_text(spark, d):
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.substring("text", 1, 200).alias("raw"))
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.col("text").alias("raw"))
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
@@ -232,32 +232,32 @@ def feat_length(spark, d):
     return features(spark, d, "name_length_difference", "address_length_difference")
 
 
-def exact_pairs(spark, d):
+def candidates(spark, d):
     a, b = one(spark, d), ref(spark, d)
-    return a, b, B.block_priority(a, b, 3)
+    return a, b, B.block_priority(a, b, CAP)
 
 
 @query
 def feat_indel(spark, d):
-    a, b, pairs = exact_pairs(spark, d)
+    a, b, pairs = candidates(spark, d)
     return rounded(P.build_pair_features(a, b, pairs).select("source1_entity_id", "candidate_entity_id", "name_levenshtein_similarity"))
 
 
 @query
 def feat_token_sort(spark, d):
-    a, b, pairs = exact_pairs(spark, d)
+    a, b, pairs = candidates(spark, d)
     return rounded(P.build_pair_features(a, b, pairs).select("source1_entity_id", "candidate_entity_id", "name_token_sort_ratio"))
 
 
 @query
 def feat_partial(spark, d):
-    a, b, pairs = exact_pairs(spark, d)
+    a, b, pairs = candidates(spark, d)
     return P.build_pair_features(a, b, pairs).select("source1_entity_id", "candidate_entity_id", "name_partial_ratio", "address_partial_ratio")
 
 
 @query
 def pair_features_all(spark, d):
-    return P.build_pair_features(*exact_pairs(spark, d))
+    return P.build_pair_features(*candidates(spark, d))
 
 
 @query
@@ -324,7 +324,7 @@ def submission_matches(spark, d):
 
 @query
 def gbt_score(spark, d):
-    a, b, pairs = exact_pairs(spark, d)
+    a, b, pairs = candidates(spark, d)
     rows = training.label_pairs(P.build_pair_features(a, b, pairs), N.truth(spark, d))
     bundle = training.fit_model(training.split_by_source1(rows)[0], rounds=5)
     return training.score(bundle, rows).select("source1_entity_id", "candidate_entity_id", "target", "match_probability")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..functions.text import LEGAL_FORMS, STREET_WORDS
 from ..operators.blocking import GENERIC_ADDRESS_TOKENS
 
-CAP, LIMIT = 20, 10
+CAP, LIMIT = 500, 50
 
 
 def p2(x: str) -> str:
@@ -62,7 +62,7 @@ def keyed(name: str, frame: str, kinds: dict[str, str]) -> str:
 
 KINDS = {
     "name_exact": "[nn]", "address_exact": "[an]", "name_address_exact": "[CASE WHEN nn <> '' AND an <> '' THEN nn || chr(1) || an END]", "house": "[house]", "postal": "[postal]",
-    "name_token": words("nn"), "address_token": words("an"), "name_gram": f"CASE WHEN nn <> '' THEN {grams('nn', (3,))} ELSE [] END", "address_gram": f"CASE WHEN an <> '' THEN {grams('an', (3,))} ELSE [] END",
+    "name_token": words("nn"), "address_token": words("an"), "name_gram": f"CASE WHEN nn <> '' THEN {grams('nn', (3, 4, 5))} ELSE [] END", "address_gram": f"CASE WHEN an <> '' THEN {grams('an', (3, 4, 5))} ELSE [] END",
 }
 
 
@@ -116,7 +116,7 @@ def feature(**columns: str) -> str:
 
 def indel(a: str, b: str, name: str) -> str:
     """The ratio by a recursive bit-parallel LCS over the distinct pairs of texts."""
-    return f"""WITH RECURSIVE {ENT}{NORM}{priority("r", 3)}, c AS (SELECT source1_entity_id, candidate_entity_id, {a} AS a, {b} AS b {SIDES.format("cand")}),
+    return f"""WITH RECURSIVE {ENT}{NORM}{priority("r")}, c AS (SELECT source1_entity_id, candidate_entity_id, {a} AS a, {b} AS b {SIDES.format("cand")}),
     p AS (SELECT DISTINCT a, b FROM c),
     l(a, b, i, s) AS (SELECT a, b, 0, ((1::HUGEINT << length(b)) - 1)::HUGEINT FROM p
         UNION ALL SELECT a, b, i + 1, (((s + u) | (s - u)) & ((1::HUGEINT << length(b)) - 1))::HUGEINT FROM (
@@ -159,7 +159,7 @@ def joined(frame: str, name: str) -> str:
 REF = "(SELECT entity_id, business_name, business_address, country, record_source FROM ent WHERE record_source <> 'source1')"
 INVERTED = ("name_exact", "address_exact", "name_address_exact", "house", "postal", "name_token", "address_token")
 STOP = ", ".join(f"'{w}'" for w in GENERIC_ADDRESS_TOKENS)
-RAW = "(SELECT doc_id, substr(text, 1, 200) AS raw FROM documents)"
+RAW = "(SELECT doc_id, text AS raw FROM documents)"
 
 ORACLE_SQL: dict[str, str] = {
     "entity_projection": f"WITH {ENT} SELECT * FROM ent",
