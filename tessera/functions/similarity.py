@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,19 +83,72 @@ def token_sorted(s: str) -> str:
 RATIOS = ["name_token_sort_ratio", "name_partial_ratio", "name_levenshtein_similarity", "address_partial_ratio", "address_levenshtein_similarity"]
 
 
+def spread(texts: list[str], width: int, blank: int) -> np.ndarray:
+    """A row of code points a text, filled up with blank."""
+    out = np.full((len(texts), width), blank, np.int64)
+    for row, s in zip(out, texts, strict=True):
+        row[: len(s)] = np.frombuffer(s.encode("utf-32-le"), "<u4")
+    return out
+
+
+def short_ratios(short: list[str], long: list[str], partial: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Both ratios of pairs with 1 to 64 characters in the shorter: all pairs and windows advance together, by 64-bit words.
+
+    Pairs come with the longest `short` first, so that the pairs still advancing are the leading rows.
+    """
+    m, n = np.array([len(s) for s in short]), np.array([len(s) for s in long])
+    wide, most = m[0], n.max()
+    x, y = spread(short, wide, -1), spread(long, most, -2)
+    hits = np.zeros((len(m), most + 2 * (wide - 1)), np.uint64)
+    own = hits[:, wide - 1 : wide - 1 + most]
+    for k in range(wide):
+        own |= (y == x[:, k : k + 1]).astype(np.uint64) << np.uint64(k)
+    full = np.uint64(0xFFFFFFFFFFFFFFFF) >> (64 - m).astype(np.uint64)
+    state = np.full(len(m), 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for t in range(most):
+        u = state & own[:, t]
+        state = (state + u) | (state - u)
+    ratio = 2.0 * (m - np.bitwise_count(state & full)) / (m + n)
+    if not partial:
+        return ratio, ratio
+    begins = np.arange(1 - wide, most)
+    state = np.full((len(m), len(begins)), 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for t in range(wide):
+        rows = np.searchsorted(-m, -t)  # those with more than t characters
+        s = state[:rows]
+        u = s & hits[:rows, t : t + len(begins)]
+        state[:rows] = (s + u) | (s - u)
+    same = m[:, None] - np.bitwise_count(state & full[:, None]).astype(np.int64)
+    inside = np.maximum(np.minimum(begins + m[:, None], n[:, None]) - np.maximum(begins, 0), 0)
+    return ratio, (2.0 * same / (m[:, None] + inside)).max(axis=1)
+
+
+def ratios(left: list[str], right: list[str], partial: bool = True, at_once: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """indel_ratio and partial_ratio of each pair of texts; equal pairs are computed once."""
+    distinct = {p: i for i, p in enumerate(dict.fromkeys(zip(left, right, strict=True)))}
+    whole, best = np.zeros(len(distinct)), np.zeros(len(distinct))
+    jobs = []
+    for (a, b), i in distinct.items():
+        if a and b and min(len(a), len(b)) <= 64:
+            jobs.append((a, b, i) if len(a) <= len(b) else (b, a, i))
+            if len(a) == len(b) and a != b and partial:
+                jobs.append((b, a, i))
+        else:
+            whole[i] = indel_ratio(a, b)
+            best[i] = partial_ratio(a, b) if partial else 0.0
+    jobs.sort(key=lambda j: (-len(j[0]), len(j[1])))
+    for k in range(0, len(jobs), at_once):
+        short, long, at = zip(*jobs[k : k + at_once], strict=True)
+        one, two = short_ratios(list(short), list(long), partial)
+        whole[list(at)] = one
+        np.maximum.at(best, list(at), two)
+    pick = [distinct[p] for p in zip(left, right, strict=True)]
+    return whole[pick], best[pick]
+
+
 @F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in RATIOS]))
 def sequence_ratios(left_name: pd.Series, right_name: pd.Series, left_address: pd.Series, right_address: pd.Series) -> pd.DataFrame:
     """The five ratios of a pair in one pass; equal pairs of texts within a batch are computed once."""
-    seen: dict[tuple, float] = {}
-
-    def once(f, a: str, b: str) -> float:
-        key = (f, a, b)
-        if key not in seen:
-            seen[key] = f(a, b)
-        return seen[key]
-
-    rows = [
-        (once(indel_ratio, token_sorted(ln), token_sorted(rn)), once(partial_ratio, ln, rn), once(indel_ratio, ln, rn), once(partial_ratio, la, ra), once(indel_ratio, la, ra))
-        for ln, rn, la, ra in zip(left_name, right_name, left_address, right_address, strict=True)
-    ]
-    return pd.DataFrame(rows, columns=RATIOS)
+    names, addresses = ratios(list(left_name), list(right_name)), ratios(list(left_address), list(right_address))
+    ordered = ratios([token_sorted(s) for s in left_name], [token_sorted(s) for s in right_name], partial=False)
+    return pd.DataFrame(dict(zip(RATIOS, (ordered[0], names[1], names[0], addresses[1], addresses[0]), strict=True)))

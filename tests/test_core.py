@@ -1,5 +1,7 @@
 """Golden cases of the scalar operators, properties of blocking, and the drivers on tiny files."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +43,18 @@ def test_ratios():
     assert [round(S.partial_ratio(*p), 6) for p in (("acme", "the acme corp"), ("abcd", "cdef"), ("bakery", "baker st"), ("", ""), ("", "a"))] == [1.0, 0.666667, 0.909091, 1.0, 0.0]
 
 
+def test_ratios_together():
+    """All pairs at once give what one pair at a time gives, with texts beyond 64 characters, ties and repeats."""
+    r = random.Random(5)
+    texts = ["", "a", "ab", "हिन्दी", "𝔸b𝔸", "x" * 64, "x" * 65, "ab" * 70] + ["".join(r.choice("abcd é") for _ in range(r.choice([1, 2, 3, 5, 8, 13, 63, 64, 65, 90]))) for _ in range(30)]
+    left, right = zip(*[(a, b) for a in texts for b in texts], ("ab", "ab"))
+    whole, best = S.ratios(list(left), list(right))
+    assert whole.tolist() == [S.indel_ratio(a, b) for a, b in zip(left, right)]
+    assert best.tolist() == [S.partial_ratio(a, b) for a, b in zip(left, right)]
+    assert S.ratios(list(left), list(right), partial=False)[0].tolist() == whole.tolist()
+    assert [len(x) for x in S.ratios([], [])] == [0, 0]
+
+
 def test_overlaps(spark):
     cases = [("a b", "b c"), ("", ""), ("a", ""), ("a a b", "a b"), ("ab", "abc")]
     df = spark.createDataFrame(cases, "a string, b string").select(S.token_jaccard(F.col("a"), F.col("b")), S.cosine(F.col("a"), F.col("b")), S.character_jaccard(F.col("a"), F.col("b")))
