@@ -39,7 +39,7 @@ PIECE = 256
 COMMON = 256
 COMMON_UNITS = 10_000
 #: Bytes of units in one suffix array.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 
 
