@@ -1,12 +1,12 @@
 """A corpus pipeline of five of the training-data operators, each stage on all that the stage before it kept.
 
 language ID -> exact dedup -> SimHash near-dedup -> suffix-array dedup -> packing. All stages but the last return the
-columns of documents; doc_id is taken to be unique.
+columns of documents. Rows are told apart by a number of their own, so doc_id may be null or repeated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import language
@@ -18,6 +18,27 @@ from tessera.llm.simhash import simhash_near_dedup
 from tessera.llm.substring import without_repeats
 
 
+#: The column of a row's number, unique in a stage.
+ROW = "tessera_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number for each row; written first, so that a row keeps its number."""
+    return scratch(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def by_number(rows: DataFrame) -> DataFrame:
+    """The number as doc_id, and the text."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def one_of_each(rows: DataFrame, groups: DataFrame, keeper: Column) -> DataFrame:
+    """Of each group of rows (doc_id a row's number, group) the one whose number `keeper` gives; without numbers."""
+    found = rows.select(ROW, "doc_id").join(groups.withColumnRenamed("doc_id", "n"), F.col(ROW) == F.col("n"))
+    kept = scratch(found.groupBy("group").agg(keeper.alias("keeper")).select(F.col(f"keeper.{ROW}").alias("n")), "kept")
+    return rows.join(kept, F.col(ROW) == F.col("n"), "left_semi").drop(ROW)
+
+
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """docs without the rows whose doc_id is in dropped; written first, so that its size decides the join."""
     return docs.join(scratch(dropped.select("doc_id"), "dropped"), "doc_id", "left_anti").select(docs.columns)
@@ -31,13 +52,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
-    return without(docs, exact_dedup(docs, keep="largest").where("not kept"))
+    """Of equal texts one row with the largest doc_id stays; a null doc_id only where no other has the text."""
+    rows = numbered(docs)
+    groups = exact_dedup(by_number(rows)).select("doc_id", F.col("keep_id").alias("group"))
+    return one_of_each(rows, groups, F.max(F.struct("doc_id", ROW)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the row with the smallest doc_id stays."""
-    return without(docs, simhash_near_dedup(docs).where("doc_id <> component_id"))
+    """Of each group of linked fingerprints one row with the smallest doc_id stays; a null doc_id only without another."""
+    rows = numbered(docs)
+    groups = simhash_near_dedup(by_number(rows)).select("doc_id", F.col("component_id").alias("group"))
+    return one_of_each(rows, groups, F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

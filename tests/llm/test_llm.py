@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tessera.llm import queries as Q
 from tessera.llm.common import components
@@ -375,3 +376,35 @@ def test_pipeline(spark, sf_dir):
     for (i, text), gone in zip(texts.items(), repeats(list(texts.values()), 400), strict=True):
         left = np.frombuffer(text, np.uint8)[~gone].tobytes().decode("utf-8", "replace")
         assert sum(r.length for r in out if r.doc_id == i) == len(t.encode(left, add_special_tokens=False).ids) + 1
+
+
+def test_pipeline_null_and_repeated_ids(spark, sf_dir):
+    """Each group keeps exactly one row, and different texts stay, whatever their doc_id."""
+    import corpus_pipeline
+
+    rnd = random.Random(11)
+    said = ["".join(rnd.choice("abcdefg hij") for _ in range(900)) for _ in range(6)]
+    near = " ".join(f"w{n}" for n in range(2000))
+    made = [(None, said[0]), (1, said[0]), (2, said[1]), (2, said[1]), (2, said[1].upper()), (3, said[2]), (3, said[3]), (4, said[3]), (None, said[4]), (None, said[4]), (None, said[5])]
+    docs = spark.createDataFrame([(i, t, "en", None, 0) for i, t in made], DOCS)
+    out = corpus_pipeline.drop_exact_copies(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    got = rows(out.select("doc_id", F.lower("text").alias("text")), "doc_id", "text")
+    assert got == sorted([(1, said[0]), (2, said[1]), (3, said[2]), (4, said[3]), (None, said[4]), (None, said[5])], key=repr)
+    made = [(None, near), (7, near + " x"), (8, near + " y"), (8, said[0]), (None, said[1]), (9, said[2]), (9, said[2])]
+    docs = spark.createDataFrame([(i, t, "en", None, 0) for i, t in made], DOCS)
+    out = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+    assert rows(out, "doc_id", "text") == sorted([(7, near + " x"), (8, said[0]), (None, said[1]), (9, said[2])], key=repr)
+
+
+def test_pipeline_keeps_a_repeated_document_whole(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(12)
+    text = "".join(rnd.choice("abcdefg hij") for _ in range(900))
+    spark.createDataFrame([(1, text, "en", None, 0), (1, text, "en", None, 0), (None, text, "en", None, 0), (2, "other words", "de", None, 0)], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    t = tokenizer("word_bpe_49k.json")
+    got = Counter()
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got[r.doc_id] += r.length
+    assert got == {1: len(t.encode(text, add_special_tokens=False).ids) + 1, 2: len(t.encode("other words", add_special_tokens=False).ids) + 1}
