@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import language
-from tessera.llm.common import scratch
+from tessera.llm.common import in_arrow, scratch
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.packing import pack
 from tessera.llm.queries import tokenizer_path
@@ -39,16 +39,10 @@ def one_of_each(rows: DataFrame, groups: DataFrame, keeper: Column) -> DataFrame
     return rows.join(kept, F.col(ROW) == F.col("n"), "left_semi").drop(ROW)
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in dropped; written first, so that its size decides the join."""
-    return docs.join(scratch(dropped.select("doc_id"), "dropped"), "doc_id", "left_anti").select(docs.columns)
-
-
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in no language: null, or without a letter. Other columns stay as they are."""
+    """Drops documents in no language: null, or without a letter, also where none was learned. Other columns stay."""
     net = language.fit(docs, ~language.held_out())
-    found = language.predict(docs, net)
-    return without(docs, scratch(found, "language").where(F.col("lang_pred") == language.UNDETERMINED))
+    return docs.transform(in_arrow, language.determined(net), docs.schema)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

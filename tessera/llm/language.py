@@ -8,8 +8,8 @@ Training uses a bounded sample: about SAMPLE documents of each language (chosen
 count over all labelled rows gives) with WINDOWS blocks each, taken from anywhere in the text. Prediction reads every
 byte of every text.
 
-Defined results: the prediction is `und` with score 0 for null texts, texts without a letter, and where nothing could be
-learned; otherwise a learned language and its pooled probability. Repeated rows each have a row; an empty table gives
+Defined results: the prediction is `und` with score 0 for null texts and texts without a letter; null with score 0 for
+other texts where nothing could be learned; otherwise a learned language and its pooled probability. Repeated rows each have a row; an empty table gives
 an empty result; other columns are ignored.
 """
 
@@ -210,22 +210,36 @@ def fit(docs: DataFrame, use: Column, sample: int = SAMPLE) -> Network | None:
     return net
 
 
+def labels(net: Network | None, column: pa.Array) -> tuple[list[str | None], np.ndarray]:
+    """The language and score of each text."""
+    lettered = np.array([t is not None and any(map(str.isalpha, t)) for t in column.to_pylist()], bool)
+    if net is None or not lettered.any():
+        return [None if ok else UNDETERMINED for ok in lettered], np.zeros(len(lettered))
+    p = net.pooled(*flat(column))
+    best = p.argmax(axis=1)
+    scores = np.where(lettered, np.clip(p[np.arange(len(p)), best], 0, 1), 0.0)
+    return [net.languages[k] if ok else UNDETERMINED for k, ok in zip(best, lettered, strict=True)], scores
+
+
 def labelled(net: Network | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, most=1 << 20):
-            texts = b.column("text").to_pylist()
-            lettered = np.array([t is not None and any(map(str.isalpha, t)) for t in texts])
-            names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            if net is not None and lettered.any():
-                p = net.pooled(*flat(b.column("text")))
-                best = p.argmax(axis=1)
-                scores = np.where(lettered, np.clip(p[np.arange(len(p)), best], 0, 1), 0.0)
-                names = [net.languages[k] if ok else UNDETERMINED for k, ok in zip(best, lettered, strict=True)]
+            names, scores = labels(net, b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return run
 
 
+def determined(net: Network | None):
+    """The rows whose text is not undetermined, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, most=1 << 20):
+            yield b.filter(pa.array([name != UNDETERMINED for name in labels(net, b.column("text"))[0]], pa.bool_()))
+
+    return run
+
+
 def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     """A row per document: doc_id, lang_pred, score."""
     return docs.select("doc_id", "text").transform(in_arrow, labelled(net), "doc_id long, lang_pred string, score double")

@@ -408,3 +408,16 @@ def test_pipeline_keeps_a_repeated_document_whole(spark, tmp_path):
     for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
         got[r.doc_id] += r.length
     assert got == {1: len(t.encode(text, add_special_tokens=False).ids) + 1, 2: len(t.encode("other words", add_special_tokens=False).ids) + 1}
+
+
+def test_language_stage_without_labels(spark, sf_dir):
+    """Where no language can be learned only null and letterless texts go."""
+    import corpus_pipeline
+    from tessera.llm import language
+
+    texts = [None, "", "12 %!", "plain words", "mehr Worte", "plain words"]
+    docs = spark.createDataFrame([(n if n < 4 else None, t, None, None, 7) for n, t in enumerate(texts)], DOCS)
+    out = corpus_pipeline.identify_language(spark, docs, sf_dir)
+    assert out.schema == docs.schema
+    assert rows(out, "doc_id", "text", "n_chars") == sorted([(3, "plain words", 7), (None, "mehr Worte", 7), (None, "plain words", 7)], key=repr)
+    assert rows(language.predict(docs, None), "lang_pred", "score") == sorted([("und", 0.0)] * 3 + [(None, 0.0)] * 3, key=repr)
