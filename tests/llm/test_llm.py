@@ -167,6 +167,22 @@ def test_vectors(spark, sf_dir, tmp_path):
             assert sorted(got) == want
 
 
+@pytest.mark.parametrize(("dim", "n"), [(64, 5000), (16, 2000), (8, 1000), (2, 500)])
+def test_vectors_at_the_threshold(spark, dim, n):
+    """No random pair just above a cosine of 0.93 is missed; every pair has a label of its own."""
+    from tessera.llm.vectors import vector_near_dedup
+
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=(2, n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (b * a).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = 0.930001 * a + np.sqrt(1 - 0.930001**2) * b
+    made = [(2 * k + side, x[k].tolist(), k) for k in range(n) for side, x in enumerate((a, b))]
+    got = vector_near_dedup(spark.createDataFrame(made, "vec_id long, embedding array<double>, label int"))
+    assert got.where("n_links = 1").count() == 2 * n
+
+
 def union(links):
     parent = {}
 
