@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -41,11 +42,13 @@ def return_memory() -> None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; one of our own only where none is named."""
+    """The shared folder the cluster names in spark.checkpoint.dir; one of our own only on a local master without one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
@@ -56,7 +59,24 @@ def scratch(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.tessera_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `scratch` that no table still to be written reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.tessera_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like `name` that is not taken, whatever the case."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

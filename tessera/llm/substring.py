@@ -2,8 +2,8 @@
 
 Strings that begin at two places must meet in one shard. Each window of `width` bytes has a designated gram, the one
 with the least hash of its grams; neighbouring windows with the same gram form a unit, so every window lies in one
-unit, and equal windows lie in units of the same gram. Grams met once end there; units equal as a whole (128-bit digest)
-are repeated as a whole. Of the rest, one of each distinct unit goes to the shard of its gram.
+unit, and equal windows lie in units of the same gram. Grams met once end there; units equal as a whole (128 bits: the
+gram's hash and a digest) are repeated as a whole. Of the rest, one of each distinct unit goes to the shard of its gram.
 
 A shard builds the suffix array of its units by Larsson-Sadakane refinement: positions are sorted by eight bytes, then
 only groups that are not yet single are refined by the rank h bytes on, with h doubling. Kasai's common prefixes of
@@ -14,8 +14,13 @@ are repeated.
 A gram with more than `piece` distinct units is dealt out over several shards. Each writes its distinct windows as runs
 sorted by digest and cut at the same splitters; for each cut the runs are merged by binary search.
 
+Passages: `repeated_passages` looks for strings of PASSAGE bytes, which any fifty words have, and keeps the maximal runs
+that are passages, of PASSAGE_WORDS words or WIDTH bytes at least. A repeated string of WIDTH bytes lies within one
+maximal run of shorter repeated strings, so `repeat_report` looks for it in these runs alone, as texts of their own.
+
 Defined results: null texts are empty; texts shorter than `width` lose nothing; a repeated row is repeated as a whole;
-an empty table gives an empty result; other columns are kept by `without_repeats` and ignored by `repeat_report`.
+an empty table gives an empty result; other columns, whatever their names, are kept by `without_repeats` and ignored by
+`repeat_report`. A text is worked on whole: a worker holds some twenty times the bytes of its longest text.
 """
 
 from __future__ import annotations
@@ -29,13 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, flat, in_arrow, join, runs, scratch, slices
+from .common import as_bytes, discard, flat, fresh, in_arrow, join, runs, scratch, slices
 
 WIDTH = 400
+#: Repeated strings of so many bytes make a passage of so many words; shorter grams, as windows are shorter.
+PASSAGE, PASSAGE_WORDS = 200, 50
+#: Bytes of a gram, of strings of WIDTH bytes; of shorter ones as many less in proportion.
 GRAM = 64
 #: Distinct units of one gram that one shard takes.
 PIECE = 256
-#: A unit with so many places is common; the list of common units is broadcast, COMMON_UNITS * 24 bytes at most.
+#: A unit with so many places is common; the list of common units is broadcast, COMMON_UNITS * 16 bytes at most.
 COMMON = 256
 COMMON_UNITS = 10_000
 #: Bytes of units in one suffix array.
@@ -94,7 +102,9 @@ def units_of(data: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tu
     return text[first], first, last, h[where[first]]
 
 
-UNIT = "doc_id long, dig long, lo int, hi int, gram long, d1 long, d2 long"
+#: A text's key (`begin`: where it begins in its document), the unit's first window in the document and how many follow.
+UNIT = "doc_id long, dig long, begin int, lo int, more int, gram long, d long"
+KEY = ["doc_id", "dig", "begin"]
 
 
 def emit_units(width: int, gram: int):
@@ -102,10 +112,12 @@ def emit_units(width: int, gram: int):
         for b in slices(batches, most=1 << 20):
             data, offsets = flat(b.column("text"))
             text, first, last, h = units_of(data, offsets, width, gram)
-            whole = data.tobytes()
-            digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(whole[a : z + width]) for a, z in zip(first.tolist(), last.tolist(), strict=True)]), "<i8").reshape(-1, 2)
+            whole, digest = data.tobytes(), xxhash.xxh3_64_intdigest
+            d = np.array([digest(whole[a : z + width]) for a, z in zip(first.tolist(), last.tolist(), strict=True)], np.uint64)
             pick = pa.array(text)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pick), b.column("dig").take(pick), pa.array((first - offsets[text]).astype(np.int32)), pa.array((last - offsets[text]).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())], ["doc_id", "dig", "lo", "hi", "gram", "d1", "d2"])
+            lo = first - offsets[text] + b.column("begin").to_numpy()[text]
+            cols = [pa.array(lo.astype(np.int32)), pa.array((last - first).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(d.view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*[b.column(k).take(pick) for k in KEY], *cols], [*KEY, "lo", "more", "gram", "d"])
 
     return run
 
@@ -274,14 +286,17 @@ def merged(width: int):
     return run
 
 
+FETCHED = "doc_id long, dig long, lo int, gram long, salt int, pieces int, unit binary"
+
+
 def fetch(width: int):
-    """Documents with their requests to a row per requested unit with its bytes."""
+    """Texts with their requests to a row per requested unit with its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, most=1 << 20):
             out = []
-            for i, dig, text, wanted in zip(b.column("doc_id").to_pylist(), b.column("dig").to_pylist(), as_bytes(b.column("text")), b.column("wanted").to_pylist(), strict=True):
-                out += [(i, dig, w["lo"], w["gram"], w["salt"], w["pieces"], text[w["lo"] : w["hi"] + width]) for w in wanted]
+            for i, dig, at, text, wanted in zip(*(b.column(k).to_pylist() for k in KEY), as_bytes(b.column("text")), b.column("wanted").to_pylist(), strict=True):
+                out += [(i, dig, w["lo"], w["gram"], w["salt"], w["pieces"], text[w["lo"] - at : w["lo"] - at + w["more"] + width]) for w in wanted]
             if out:
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "dig", "lo", "gram", "salt", "pieces", "unit"])
@@ -290,33 +305,39 @@ def fetch(width: int):
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a digest; the two are the key of a text, and repeated rows share it with reason."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("dig"), F.coalesce("text", F.lit("")).alias("text"))
+    """Documents as texts. doc_id and a digest are the key, and repeated rows share it with reason."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("dig"), F.lit(0).alias("begin"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+
 
+def gram_for(width: int) -> int:
+    return max(8, GRAM * width // WIDTH)
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, piece: int = PIECE, common: int = COMMON) -> DataFrame:
-    """A row per key that loses bytes: doc_id (null as 0), dig, spans array<struct<s, e>>, not merged."""
+
+def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int | None = None, piece: int = PIECE, common: int = COMMON) -> DataFrame:
+    """Texts (doc_id, dig, begin, text) to a row per document that loses bytes: doc_id, dig, spans array<struct<s, e>>."""
+    gram = gram or gram_for(width)
     if not 8 <= gram < width or width < 16:
         raise ValueError("grams of at least 8 bytes, strings of more than a gram and at least 16 bytes")
-    texts = keyed(docs)
     units = scratch(texts.transform(in_arrow, emit_units(width, gram), UNIT), "units")
-    grams = units.groupBy("gram").agg(F.count("*").alias("n"), F.min("d1").alias("a1"), F.max("d1").alias("z1"), F.min("d2").alias("a2"), F.max("d2").alias("z2"))
-    grams = scratch(grams.where("n > 1").select("gram", ((F.col("a1") == F.col("z1")) & (F.col("a2") == F.col("z2"))).alias("alike")), "grams")
+    grams = units.groupBy("gram").agg(F.count("*").alias("n"), F.min("d").alias("a"), F.max("d").alias("z"))
+    grams = scratch(grams.where("n > 1").select("gram", (F.col("a") == F.col("z")).alias("alike")), "grams")
     met = scratch(units.join(grams, "gram"), "met")
-    whole = met.where("alike").select("doc_id", "dig", F.col("lo").alias("s"), (F.col("hi") + width).alias("e"))
+    discard(units, grams)
+    span = [F.col("lo").alias("s"), (F.col("lo") + F.col("more") + width).alias("e")]
+    whole = met.where("alike").select("doc_id", "dig", *span)
     mixed = met.where("not alike").drop("alike")
-    distinct = mixed.groupBy("gram", "d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "dig", "lo", "hi")).alias("at"))
-    distinct = scratch(distinct.select("gram", "d1", "d2", "n", "at.*"), "distinct")
-    key = ["gram", "d1", "d2"]
+    key = ["gram", "d"]
+    distinct = mixed.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "lo", "more")).alias("at"))
+    distinct = scratch(distinct.select(*key, "n", "at.*"), "distinct")
     several = distinct.where("n > 1").select(*key, "n")
     often = F.broadcast(most_common(several, common).select(key))
     rare = mixed.join(often, key, "left_anti").join(several, key, "left_semi")
-    whole_too = mixed.join(often, key, "left_semi").unionByName(rare).select("doc_id", "dig", F.col("lo").alias("s"), (F.col("hi") + width).alias("e"))
+    whole_too = mixed.join(often, key, "left_semi").unionByName(rare).select("doc_id", "dig", *span)
     hot = scratch(distinct.groupBy("gram").count().where(F.col("count") > piece).select("gram", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "hot")
     wanted = distinct.join(hot, "gram", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
-    wanted = wanted.withColumn("salt", F.pmod(F.xxhash64("d1", "d2"), F.col("pieces")).cast("int"))
-    wanted = wanted.groupBy("doc_id", "dig").agg(F.collect_list(F.struct("lo", "hi", "gram", "salt", "pieces")).alias("wanted"))
-    fetched = texts.join(wanted, ["doc_id", "dig"]).transform(in_arrow, fetch(width), "doc_id long, dig long, lo int, gram long, salt int, pieces int, unit binary")
+    wanted = wanted.withColumn("salt", F.pmod(F.xxhash64("d"), F.col("pieces")).cast("int"))
+    wanted = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("lo", "more", "gram", "salt", "pieces")).alias("wanted"))
+    fetched = texts.join(wanted, KEY).transform(in_arrow, fetch(width), FETCHED)
     # repeated rows fetch a unit twice, and a unit must not meet itself
     fetched = fetched.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "doc_id", "dig", "lo")
     solve = shard(width)
@@ -325,7 +346,9 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, piece:
     apart = apart.transform(in_arrow, merged(width), "doc_id long, dig long, s int, e int")
     within = found.where("run is null").select("doc_id", "dig", "s", "e")
     spans = whole.unionByName(whole_too).unionByName(within).unionByName(apart)
-    return spans.groupBy("doc_id", "dig").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    spans = scratch(spans.groupBy("doc_id", "dig").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
+    discard(met, distinct, hot, found)
+    return spans
 
 
 def most_common(several: DataFrame, least: int, most: int = COMMON_UNITS) -> DataFrame:
@@ -363,36 +386,80 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([text[a:b] for a, b in zip(starts, [*(s for s, _ in spans), len(text)], strict=True)])
 
 
-def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches, most=1 << 20):
-        out = []
-        for i, text, spans in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), b.column("spans").to_pylist(), strict=True):
-            m = maximal(spans)
-            out.append((i, len(text), sum(e - s for s, e in m), len(m), hashlib.sha256(kept_bytes(text, m)).hexdigest()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64()] * 4 + [pa.string()], strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+def passages(text: bytes, spans: list[tuple[int, int]], words: int, least: int = WIDTH) -> list[tuple[int, int]]:
+    """Of maximal spans those that hold so many words or bytes."""
+    return [(s, e) for s, e in spans if e - s >= least or len(text[s:e].split()) >= words]
+
 
+def long_runs(width: int):
+    """Documents with spans to a text for each maximal run of at least `width` bytes."""
 
-def with_spans(docs: DataFrame, **options) -> DataFrame:
-    spans = repeated_spans(docs, **options).withColumnsRenamed({"doc_id": "span_doc_id", "dig": "span_dig"})
-    on = (F.coalesce(docs["doc_id"].cast("long"), F.lit(0)) == F.col("span_doc_id")) & (F.xxhash64(docs["text"]) == F.col("span_dig"))
-    return docs.join(spans, on, "left").drop("span_doc_id", "span_dig")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, most=1 << 20):
+            out = []
+            for i, dig, text, spans in zip(b.column("doc_id").to_pylist(), b.column("dig").to_pylist(), as_bytes(b.column("text")), b.column("spans").to_pylist(), strict=True):
+                out += [(i, dig, s, text[s:e]) for s, e in maximal(spans) if e - s >= width]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.int32(), pa.binary()], strict=True)], [*KEY, "text"])
+
+    return run
 
 
-def repeat_report(docs: DataFrame, **options) -> DataFrame:
-    """A row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256."""
-    rows = with_spans(docs.select("doc_id", "text"), **options)
-    return rows.transform(in_arrow, report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """docs and, with names that docs lack, the columns of spans but its key."""
+    names = {c: fresh(c, docs.columns) for c in spans.columns}
+    spans = spans.withColumnsRenamed(names)
+    on = (F.coalesce(docs["doc_id"].cast("long"), F.lit(0)) == spans[names["doc_id"]]) & (F.xxhash64(docs["text"]) == spans[names["dig"]])
+    return docs.join(spans, on, "left").drop(names["doc_id"], names["dig"])
+
+
+def report(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, most=1 << 20):
+            out = []
+            for i, text, spans, shorter in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), b.column("spans").to_pylist(), b.column("shorter").to_pylist(), strict=True):
+                m = maximal(spans)
+                found = passages(text, maximal(shorter), words)
+                out.append((i, len(text), sum(e - s for s, e in m), len(m), hashlib.sha256(kept_bytes(text, m)).hexdigest(), len(found), sum(e - s for s, e in found)))
+            kinds = [*[pa.int64()] * 4, pa.string(), *[pa.int64()] * 2]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "passage_bytes"])
+
+    return run
+
+
+def repeat_report(docs: DataFrame, width: int = WIDTH, passage: int = PASSAGE, words: int = PASSAGE_WORDS, **options) -> DataFrame:
+    """A row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256.
+
+    n_passages and passage_bytes are the repeated passages of the document, found by strings of `passage` bytes.
+    """
+    if not passage <= width:
+        raise ValueError("passages are found by strings of at most the width")
+    docs = docs.select("doc_id", "text")
+    texts = keyed(docs)
+    shorter = repeated_spans(texts, passage, **options)
+    parts = scratch(texts.drop("begin").join(shorter, ["doc_id", "dig"]).transform(in_arrow, long_runs(width), "doc_id long, dig long, begin int, text binary"), "runs")
+    spans = repeated_spans(parts, width, **options)
+    discard(parts)
+    both = scratch(shorter.withColumnRenamed("spans", "shorter").join(spans, ["doc_id", "dig"], "left"), "spans")
+    discard(shorter, spans)
+    return with_spans(docs, both).transform(in_arrow, report(words), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, passage_bytes long")
+
 
+def without_repeats(docs: DataFrame, width: int = WIDTH, words: int = 0, **options) -> DataFrame:
+    """docs with the repeated bytes cut out of text; a character that a cut splits becomes U+FFFD. Null stays null.
 
-def without_repeats(docs: DataFrame, **options) -> DataFrame:
-    """docs with the repeated bytes cut out of text; a character that a cut splits becomes U+FFFD. Null stays null."""
+    words: only runs of so many words, or of WIDTH bytes, are cut.
+    """
+    found = repeated_spans(keyed(docs), width, **options)
+    name = fresh("spans", docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = []
-            for text, raw, spans in zip(b.column("text").to_pylist(), as_bytes(b.column("text")), b.column("spans").to_pylist(), strict=True):
-                texts.append(kept_bytes(raw, maximal(spans)).decode("utf-8", "replace") if spans else text)
-            b = b.drop_columns(["spans"])
+            for text, raw, spans in zip(b.column("text").to_pylist(), as_bytes(b.column("text")), b.column(name).to_pylist(), strict=True):
+                cut = passages(raw, maximal(spans), words) if spans else []
+                texts.append(kept_bytes(raw, cut).decode("utf-8", "replace") if cut else text)
+            b = b.drop_columns([name])
             yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(texts, b.schema.field("text").type))
 
-    return with_spans(docs, **options).transform(in_arrow, run, docs.schema)
+    return with_spans(docs, found).transform(in_arrow, run, docs.schema)

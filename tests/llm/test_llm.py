@@ -320,6 +320,33 @@ def test_suffix_array_dedup(spark, data):
     assert rows(Q.op9_suffix_array_dedup(spark, data), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=repr)
 
 
+def spans_of(gone):
+    edges = np.diff(np.r_[0, gone.astype(int), 0])
+    return list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist(), strict=True))
+
+
+def test_passages_are_cut_and_short_repeats_stay(spark):
+    """Fifty shared words go from every document that has them, fewer stay; columns may have any name."""
+    from tessera.llm.substring import PASSAGE, PASSAGE_WORDS, without_repeats
+
+    rnd = random.Random(13)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(2, 8))) for _ in range(n))
+    passage, line = prose(52), prose(40)
+    assert PASSAGE <= len(passage) < 400 and PASSAGE <= len(line) + 60
+    own = [(prose(60), prose(30)) for _ in range(8)]
+    made = [(n, f"{a} {(passage, line)[n % 2]} {b}", 1, "x", 2) for n, (a, b) in enumerate(own)] + [(8, None, 0, None, 3), (None, "", 0, None, 3)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, spans int, SPAN_DIG string, dig int").repartition(3)
+    out = without_repeats(docs, PASSAGE, PASSAGE_WORDS)
+    assert out.columns == docs.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[8].text is None and got[None].text == "" and got[3].spans == 1 and got[3].SPAN_DIG == "x"
+    for n, (a, b) in enumerate(own):
+        if n % 2:
+            assert got[n].text == made[n][1]
+        else:  # a letter next to the passage may be shared too
+            assert passage[1:-1] not in got[n].text and got[n].text.startswith(a[:-2]) and got[n].text.endswith(b[2:])
+
+
 @pytest.mark.parametrize(("piece", "common"), [(256, 256), (3, 3)])
 def test_suffix_array_dedup_in_pieces(spark, piece, common):
     from tessera.llm.substring import repeat_report, without_repeats
@@ -332,8 +359,10 @@ def test_suffix_array_dedup_in_pieces(spark, piece, common):
         made.append((n, "".join(rnd.choice("wxyzü") for _ in range(rnd.randrange(40))) + shared[a:b] + "".join(rnd.choice("uvé") for _ in range(rnd.randrange(40)))))
     docs = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
     gone = list(repeats([t.encode() for _, t in made], 24))
-    got = {r.doc_id: r for r in repeat_report(docs, width=24, gram=8, piece=piece, common=common).collect()}
+    got = {r.doc_id: r for r in repeat_report(docs, width=24, passage=16, words=3, gram=8, piece=piece, common=common).collect()}
     assert [got[n].n_removed for n in range(80)] == [int(g.sum()) for g in gone]
+    runs = [[(a, z) for a, z in spans_of(g) if len(t.encode()[a:z].split()) >= 3] for (_, t), g in zip(made, repeats([t.encode() for _, t in made], 16), strict=True)]
+    assert [(got[n].n_passages, got[n].passage_bytes) for n in range(80)] == [(len(r), sum(z - a for a, z in r)) for r in runs]
     left = {r.doc_id: r.text for r in without_repeats(docs, width=24, gram=8, piece=piece, common=common).collect()}
     assert all(left[n].encode() == np.frombuffer(t.encode(), np.uint8)[~g].tobytes() for (n, t), g in zip(made, gone, strict=True))
 
@@ -389,7 +418,10 @@ def test_pipeline(spark, sf_dir):
     assert got <= set(kept) and {near[i] for i in got} == {near[i] for i in kept}
     texts = {i: have[i].encode() for i in sorted(got)}
     t = tokenizer("word_bpe_49k.json")
-    for (i, text), gone in zip(texts.items(), repeats(list(texts.values()), 400), strict=True):
+    for (i, text), gone in zip(texts.items(), repeats(list(texts.values()), 200), strict=True):
+        for a, z in spans_of(gone):
+            if z - a < 400 and len(text[a:z].split()) < 50:
+                gone[a:z] = False
         left = np.frombuffer(text, np.uint8)[~gone].tobytes().decode("utf-8", "replace")
         assert sum(r.length for r in out if r.doc_id == i) == len(t.encode(left, add_special_tokens=False).ids) + 1
 
