@@ -15,7 +15,7 @@ from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.packing import pack
 from tessera.llm.queries import tokenizer_path
 from tessera.llm.simhash import simhash_near_dedup
-from tessera.llm.substring import without_repeats
+from tessera.llm.substring import PASSAGE, PASSAGE_WORDS, without_repeats
 
 
 #: The column of a row's number, unique in a stage.
@@ -60,8 +60,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated strings of 400 bytes are cut out; every document stays, with n_chars of what is left of it."""
-    out = without_repeats(docs)
+    """Repeated passages of fifty words or 400 bytes are cut out; every document stays, with n_chars of what is left."""
+    out = without_repeats(docs, width=PASSAGE, words=PASSAGE_WORDS)
     return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
