@@ -14,9 +14,9 @@ are repeated.
 A gram with more than `piece` distinct units is dealt out over several shards. Each writes its distinct windows as runs
 sorted by digest and cut at the same splitters; for each cut the runs are merged by binary search.
 
-Passages: `repeated_passages` looks for strings of PASSAGE bytes, which any fifty words have, and keeps the maximal runs
-that are passages, of PASSAGE_WORDS words or WIDTH bytes at least. A repeated string of WIDTH bytes lies within one
-maximal run of shorter repeated strings, so `repeat_report` looks for it in these runs alone, as texts of their own.
+Passages are runs of repeated strings of PASSAGE bytes, which any fifty words have, that hold PASSAGE_WORDS words or
+WIDTH bytes. One search finds strings of two widths: a unit reaches to the end of its last window's longer string, and
+one more refinement of the groups of shorter strings gives those of the longer ones.
 
 Defined results: null texts are empty; texts shorter than `width` lose nothing; a repeated row is repeated as a whole;
 an empty table gives an empty result; other columns, whatever their names, are kept by `without_repeats` and ignored by
@@ -102,28 +102,29 @@ def units_of(data: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tu
     return text[first], first, last, h[where[first]]
 
 
-#: A text's key (`begin`: where it begins in its document), the unit's first window in the document and how many follow.
-UNIT = "doc_id long, dig long, begin int, lo int, more int, gram long, d long"
-KEY = ["doc_id", "dig", "begin"]
+#: A text's key, the unit's first window, how many windows follow, and its bytes.
+UNIT = "doc_id long, dig long, lo int, more int, size int, gram long, d long"
+KEY = ["doc_id", "dig"]
 
 
-def emit_units(width: int, gram: int):
+def emit_units(width: int, far: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, most=1 << 20):
             data, offsets = flat(b.column("text"))
             text, first, last, h = units_of(data, offsets, width, gram)
             whole, digest = data.tobytes(), xxhash.xxh3_64_intdigest
-            d = np.array([digest(whole[a : z + width]) for a, z in zip(first.tolist(), last.tolist(), strict=True)], np.uint64)
+            stop = np.minimum(last + far, offsets[text + 1])
+            d = np.array([digest(whole[a:z]) for a, z in zip(first.tolist(), stop.tolist(), strict=True)], np.uint64)
             pick = pa.array(text)
-            lo = first - offsets[text] + b.column("begin").to_numpy()[text]
-            cols = [pa.array(lo.astype(np.int32)), pa.array((last - first).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(d.view(np.int64))]
-            yield pa.RecordBatch.from_arrays([*[b.column(k).take(pick) for k in KEY], *cols], [*KEY, "lo", "more", "gram", "d"])
+            ints = [pa.array(x.astype(np.int32)) for x in (first - offsets[text], last - first, stop - first)]
+            cols = [*ints, pa.array(h.view(np.int64)), pa.array(d.view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*[b.column(k).take(pick) for k in KEY], *cols], [*KEY, "lo", "more", "size", "gram", "d"])
 
     return run
 
 
-def suffix_order(data: np.ndarray, left: np.ndarray, width: int) -> np.ndarray:
-    """Positions with `width` bytes left that share them with another one, sorted by these bytes: groups in order."""
+def suffix_order(data: np.ndarray, left: np.ndarray, width: int, far: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions that share `width` bytes with another one, sorted by these bytes; and those that share `far` bytes."""
     h = 8
     padded = np.r_[data, np.zeros(8, np.uint8)]
     key = np.zeros(len(data), np.uint64)
@@ -158,7 +159,9 @@ def suffix_order(data: np.ndarray, left: np.ndarray, width: int) -> np.ndarray:
         h *= 2
     if h < width:
         active = refined(np.sort(active[left[active] >= width]), width - h)
-    return active
+    if far == width:
+        return active, active
+    return active, refined(np.sort(active[left[active] >= far]), far - width)
 
 
 def common_prefixes(data: np.ndarray, left: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -180,23 +183,37 @@ def common_prefixes(data: np.ndarray, left: np.ndarray, p: np.ndarray, q: np.nda
     return same[run] - (p - a[run])
 
 
-def repeated_windows(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For units data[starts:stops]: whether the window at each position is repeated, and the first of each such group."""
-    left = np.zeros(len(data), np.int64)
+def repeated_windows(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, windows: np.ndarray, width: int, far: int) -> list[tuple[np.ndarray, ...]]:
+    """For units data[starts:stops], each with so many windows: for both widths a triple of flags by position, whether a
+    window of the unit begins there, whether it is repeated, and whether it is the first of its equals."""
+    left, own = np.zeros(len(data), np.int64), np.zeros(len(data), bool)
     sizes = stops - starts
-    at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+    at = ranges(starts, sizes)
     left[at] = np.repeat(stops, sizes) - at
-    flags, firsts = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    order = suffix_order(data, left, width)
-    if len(order) > 1:
-        before = np.full(len(data), -1, np.int64)
-        before[order[1:]] = order[:-1]
-        p = np.flatnonzero(before >= 0)
-        long = common_prefixes(data, left, p, before[p]) >= width
-        flags[p[long]] = flags[before[p[long]]] = True
-        firsts[before[p[long]]] = True
-        firsts[p[long]] = False
-    return flags, firsts
+    own[ranges(starts, windows)] = True
+    out = []
+    orders = suffix_order(data, left, width, far)
+    for order, w in zip(orders, (width, far), strict=True):
+        begins = own & (left >= w)
+        flags, firsts = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        order = order[begins[order]]  # the tail of a unit is where the next unit's windows are
+        if len(order) > 1:
+            before = np.full(len(data), -1, np.int64)
+            before[order[1:]] = order[:-1]
+            p = np.flatnonzero(before >= 0)
+            long = common_prefixes(data, left, p, before[p]) >= w
+            flags[p[long]] = flags[before[p[long]]] = True
+            firsts[before[p[long]]] = True
+            firsts[p[long]] = False
+        out.append((begins, flags, firsts))
+        if far == width:
+            break
+    return out
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one range after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
 
 
 def spans_from(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,38 +221,41 @@ def spans_from(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-FOUND = "doc_id long, dig long, s int, e int, gram long, cut int, run binary"
+SPAN = "doc_id long, dig long, s int, e int, wide int"
+FOUND = SPAN + ", gram long, cut int, run binary"
+NAMES = ["doc_id", "dig", "s", "e", "wide", "gram", "cut", "run"]
 RECORD = np.dtype([("d1", "<u8"), ("d2", "<u8"), ("doc_id", "<i8"), ("dig", "<i8"), ("s", "<i4")])
 
 
-def shard(width: int, most: int = SHARD_BYTES):
+def shard(width: int, far: int, most: int = SHARD_BYTES):
     """Rows sorted by (gram, salt) with the units' bytes to repeated spans, and to sorted runs of windows of split grams."""
 
     def solve(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = flat(b.column("unit"))
-        flags, firsts = repeated_windows(data, offsets[:-1], offsets[1:], width)
-        s, e = spans_from(flags)
-        unit = np.searchsorted(offsets, s, side="right") - 1
-        # runs of flags never cross units: the last width - 1 positions of a unit start no window
-        lo = b.column("lo").to_numpy()
-        pick = pa.array(unit)
-        n = len(s)
-        if n:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pick), b.column("dig").take(pick), pa.array((s - offsets[unit] + lo[unit]).astype(np.int32)), pa.array((e - 1 + width - offsets[unit] + lo[unit]).astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], NAMES)
-        pieces = b.column("pieces").to_numpy()
-        if not (pieces > 1).any():
-            return
-        gram, whole = b.column("gram").to_numpy(), data.tobytes()
-        ids, digs = b.column("doc_id").to_numpy(), b.column("dig").to_numpy()
-        salt = b.column("salt").to_numpy()
+        lo, pieces = b.column("lo").to_numpy(), b.column("pieces").to_numpy()
+        found = repeated_windows(data, offsets[:-1], offsets[1:], b.column("more").to_numpy() + 1, width, far)
+        for (begins, flags, firsts), wide in zip(found, (width, far), strict=False):
+            s, e = spans_from(flags)
+            # runs of flags never cross units, as no window begins in the last bytes of a unit
+            unit = np.searchsorted(offsets, s, side="right") - 1
+            pick, n = pa.array(unit), len(s)
+            if n:
+                places = [pa.array((x - offsets[unit] + lo[unit]).astype(np.int32)) for x in (s, e - 1 + wide)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pick), b.column("dig").take(pick), *places, pa.array(np.full(n, wide, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], NAMES)
+            if (pieces > 1).any():
+                yield from apart(b, data, offsets, begins & (~flags | firsts), wide)
+
+    def apart(b: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, distinct: np.ndarray, wide: int) -> Iterator[pa.RecordBatch]:
+        """Sorted runs of the distinct windows of each group whose gram is dealt out over several shards."""
+        gram, salt, pieces, whole = b.column("gram").to_numpy(), b.column("salt").to_numpy(), b.column("pieces").to_numpy(), data.tobytes()
+        ids, digs, lo = (b.column(c).to_numpy() for c in ("doc_id", "dig", "lo"))
         groups = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1])])
         for a, z in zip(groups, np.r_[groups[1:], len(gram)], strict=True):
             if pieces[a] < 2:
                 continue
-            at = np.concatenate([np.arange(x, y - width + 1) for x, y in zip(offsets[a:z], offsets[a + 1 : z + 1], strict=True)])
-            at = at[~flags[at] | firsts[at]]  # one of each distinct window
+            at = offsets[a] + np.flatnonzero(distinct[offsets[a] : offsets[z]])
             rec = np.zeros(len(at), RECORD)
-            digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(whole[x : x + width]) for x in at.tolist()]), "<u8").reshape(-1, 2)
+            digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(whole[x : x + wide]) for x in at.tolist()]), "<u8").reshape(-1, 2)
             own = np.searchsorted(offsets, at, side="right") - 1
             rec["d1"], rec["d2"], rec["doc_id"], rec["dig"], rec["s"] = digests[:, 0], digests[:, 1], ids[own], digs[own], at - offsets[own] + lo[own]
             rec = rec[np.lexsort((rec["d2"], rec["d1"]))]
@@ -244,7 +264,7 @@ def shard(width: int, most: int = SHARD_BYTES):
             cuts = [0, *np.searchsorted(rec["d1"], splitters).tolist(), len(rec)]
             some = [k for k in range(m) if cuts[k + 1] > cuts[k]]
             k = len(some)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.array(np.full(k, gram[a])), pa.array(some, pa.int32()), pa.array([rec[cuts[c] : cuts[c + 1]].tobytes() for c in some], pa.binary())], NAMES)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.array(np.full(k, wide, np.int32)), pa.array(np.full(k, gram[a])), pa.array(some, pa.int32()), pa.array([rec[cuts[c] : cuts[c + 1]].tobytes() for c in some], pa.binary())], NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -261,94 +281,88 @@ def shard(width: int, most: int = SHARD_BYTES):
     return run
 
 
-NAMES = ["doc_id", "dig", "s", "e", "gram", "cut", "run"]
-
-
-def merged(width: int):
-    """Sorted runs of one gram and cut to the windows that two or more of them hold, by binary search."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in runs(batches, ["gram", "cut"]):
-            gram, cut = b.column("gram").to_numpy(), b.column("cut").to_numpy()
-            groups = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (cut[1:] != cut[:-1])])
-            for a, z in zip(groups.tolist(), [*groups[1:].tolist(), len(gram)], strict=True):
-                all_ = np.frombuffer(b"".join(b.column("run").slice(a, z - a).to_pylist()), RECORD)
-                both = np.sort(all_[["d1", "d2"]], order=("d1", "d2"))
-                low = np.searchsorted(both["d1"], all_["d1"], side="left")
-                high = np.searchsorted(both["d1"], all_["d1"], side="right")
-                hit = high - low > 1
-                for n in np.flatnonzero(high - low > 1).tolist():  # first halves agree: the second halves decide
-                    hit[n] = (both["d2"][low[n] : high[n]] == all_["d2"][n]).sum() > 1
-                got = all_[hit]
-                if len(got):
-                    yield pa.RecordBatch.from_arrays([pa.array(got["doc_id"].copy()), pa.array(got["dig"].copy()), pa.array(got["s"].copy()), pa.array((got["s"] + width).astype(np.int32))], ["doc_id", "dig", "s", "e"])
-
-    return run
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted runs of one gram, width and cut to the windows that two or more of them hold, by binary search."""
+    for b in runs(batches, ["gram", "wide", "cut"]):
+        keys = [b.column(c).to_numpy() for c in ("gram", "wide", "cut")]
+        groups = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+        for a, z in zip(groups.tolist(), [*groups[1:].tolist(), b.num_rows], strict=True):
+            all_ = np.frombuffer(b"".join(b.column("run").slice(a, z - a).to_pylist()), RECORD)
+            both = np.sort(all_[["d1", "d2"]], order=("d1", "d2"))
+            low = np.searchsorted(both["d1"], all_["d1"], side="left")
+            high = np.searchsorted(both["d1"], all_["d1"], side="right")
+            hit = high - low > 1
+            for n in np.flatnonzero(high - low > 1).tolist():  # first halves agree: the second halves decide
+                hit[n] = (both["d2"][low[n] : high[n]] == all_["d2"][n]).sum() > 1
+            got, wide = all_[hit], keys[1][a]
+            if len(got):
+                ends = (got["s"] + wide).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(got["doc_id"].copy()), pa.array(got["dig"].copy()), pa.array(got["s"].copy()), pa.array(ends), pa.array(np.full(len(got), wide, np.int32))], ["doc_id", "dig", "s", "e", "wide"])
 
 
-FETCHED = "doc_id long, dig long, lo int, gram long, salt int, pieces int, unit binary"
+FETCHED = "doc_id long, dig long, lo int, more int, gram long, salt int, pieces int, unit binary"
 
 
-def fetch(width: int):
+def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with their requests to a row per requested unit with its bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, most=1 << 20):
-            out = []
-            for i, dig, at, text, wanted in zip(*(b.column(k).to_pylist() for k in KEY), as_bytes(b.column("text")), b.column("wanted").to_pylist(), strict=True):
-                out += [(i, dig, w["lo"], w["gram"], w["salt"], w["pieces"], text[w["lo"] - at : w["lo"] - at + w["more"] + width]) for w in wanted]
-            if out:
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "dig", "lo", "gram", "salt", "pieces", "unit"])
-
-    return run
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    for b in slices(batches, most=1 << 20):
+        out = []
+        for i, dig, text, wanted in zip(*(b.column(k).to_pylist() for k in KEY), as_bytes(b.column("text")), b.column("wanted").to_pylist(), strict=True):
+            out += [(i, dig, w["lo"], w["more"], w["gram"], w["salt"], w["pieces"], text[w["lo"] : w["lo"] + w["size"]]) for w in wanted]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "dig", "lo", "more", "gram", "salt", "pieces", "unit"])
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """Documents as texts. doc_id and a digest are the key, and repeated rows share it with reason."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("dig"), F.lit(0).alias("begin"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("dig"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def gram_for(width: int) -> int:
     return max(8, GRAM * width // WIDTH)
 
 
-def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int | None = None, piece: int = PIECE, common: int = COMMON) -> DataFrame:
-    """Texts (doc_id, dig, begin, text) to a row per document that loses bytes: doc_id, dig, spans array<struct<s, e>>."""
-    gram = gram or gram_for(width)
-    if not 8 <= gram < width or width < 16:
-        raise ValueError("grams of at least 8 bytes, strings of more than a gram and at least 16 bytes")
-    units = scratch(texts.transform(in_arrow, emit_units(width, gram), UNIT), "units")
+def repeated_spans(docs: DataFrame, width: int = WIDTH, far: int | None = None, gram: int | None = None, piece: int = PIECE, common: int = COMMON) -> DataFrame:
+    """A row per key that loses bytes: doc_id (null as 0), dig, spans array<struct<s, e, wide>>, not merged.
+
+    wide is the width of the strings that the span is made of, `width` or, where it is given, `far`.
+    """
+    far, gram = far or width, gram or gram_for(width)
+    if not 8 <= gram < width <= far <= 2 * width or width < 16:
+        raise ValueError("grams of at least 8 bytes, strings of more than a gram and at least 16 bytes, at most twice as long ones")
+    texts = keyed(docs)
+    units = scratch(texts.transform(in_arrow, emit_units(width, far, gram), UNIT), "units")
     grams = units.groupBy("gram").agg(F.count("*").alias("n"), F.min("d").alias("a"), F.max("d").alias("z"))
     grams = scratch(grams.where("n > 1").select("gram", (F.col("a") == F.col("z")).alias("alike")), "grams")
     met = scratch(units.join(grams, "gram"), "met")
     discard(units, grams)
-    span = [F.col("lo").alias("s"), (F.col("lo") + F.col("more") + width).alias("e")]
-    whole = met.where("alike").select("doc_id", "dig", *span)
     mixed = met.where("not alike").drop("alike")
     key = ["gram", "d"]
-    distinct = mixed.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "lo", "more")).alias("at"))
+    distinct = mixed.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "lo", "more", "size")).alias("at"))
     distinct = scratch(distinct.select(*key, "n", "at.*"), "distinct")
     several = distinct.where("n > 1").select(*key, "n")
     often = F.broadcast(most_common(several, common).select(key))
-    rare = mixed.join(often, key, "left_anti").join(several, key, "left_semi")
-    whole_too = mixed.join(often, key, "left_semi").unionByName(rare).select("doc_id", "dig", *span)
-    hot = scratch(distinct.groupBy("gram").count().where(F.col("count") > piece).select("gram", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "hot")
+    rare = mixed.join(often, key, "left_anti").join(several.drop("n"), key, "left_semi")
+    whole = met.where("alike").drop("alike").unionByName(mixed.join(often, key, "left_semi")).unionByName(rare)
+    s = F.col("lo").alias("s")
+    near = F.struct(s, (F.col("lo") + F.col("more") + width).alias("e"), F.lit(width).alias("wide"))
+    long = F.struct(s, (F.col("lo") + F.col("size")).alias("e"), F.lit(far).alias("wide"))
+    whole = whole.select(*KEY, F.explode(F.when((F.col("size") >= far) & F.lit(far > width), F.array(near, long)).otherwise(F.array(near))).alias("x")).select(*KEY, "x.*")
+    hot = distinct.groupBy("gram").count().where(F.col("count") > piece).select("gram", F.ceil(F.col("count") / piece).cast("int").alias("pieces"))
     wanted = distinct.join(hot, "gram", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     wanted = wanted.withColumn("salt", F.pmod(F.xxhash64("d"), F.col("pieces")).cast("int"))
-    wanted = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("lo", "more", "gram", "salt", "pieces")).alias("wanted"))
-    fetched = texts.join(wanted, KEY).transform(in_arrow, fetch(width), FETCHED)
+    wanted = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("lo", "more", "size", "gram", "salt", "pieces")).alias("wanted"))
+    fetched = texts.join(wanted, KEY).transform(in_arrow, fetch, FETCHED)
     # repeated rows fetch a unit twice, and a unit must not meet itself
     fetched = fetched.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "doc_id", "dig", "lo")
-    solve = shard(width)
+    solve = shard(width, far)
     found = scratch(fetched.transform(in_arrow, lambda batches: solve(once(batches)), FOUND), "found")
-    apart = found.where("run is not null").select("gram", "cut", "run").repartition("gram", "cut").sortWithinPartitions("gram", "cut")
-    apart = apart.transform(in_arrow, merged(width), "doc_id long, dig long, s int, e int")
-    within = found.where("run is null").select("doc_id", "dig", "s", "e")
-    spans = whole.unionByName(whole_too).unionByName(within).unionByName(apart)
-    spans = scratch(spans.groupBy("doc_id", "dig").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
-    discard(met, distinct, hot, found)
-    return spans
+    keys = ["gram", "wide", "cut"]
+    apart = found.where("run is not null").select(*keys, "run").repartition(*keys).sortWithinPartitions(*keys).transform(in_arrow, merged, SPAN)
+    within = found.where("run is null").select(*KEY, "s", "e", "wide")
+    spans = whole.unionByName(within).unionByName(apart)
+    return spans.groupBy(*KEY).agg(F.collect_set(F.struct("s", "e", "wide")).alias("spans"))
 
 
 def most_common(several: DataFrame, least: int, most: int = COMMON_UNITS) -> DataFrame:
@@ -391,20 +405,6 @@ def passages(text: bytes, spans: list[tuple[int, int]], words: int, least: int =
     return [(s, e) for s, e in spans if e - s >= least or len(text[s:e].split()) >= words]
 
 
-def long_runs(width: int):
-    """Documents with spans to a text for each maximal run of at least `width` bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, most=1 << 20):
-            out = []
-            for i, dig, text, spans in zip(b.column("doc_id").to_pylist(), b.column("dig").to_pylist(), as_bytes(b.column("text")), b.column("spans").to_pylist(), strict=True):
-                out += [(i, dig, s, text[s:e]) for s, e in maximal(spans) if e - s >= width]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.int32(), pa.binary()], strict=True)], [*KEY, "text"])
-
-    return run
-
-
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """docs and, with names that docs lack, the columns of spans but its key."""
     names = {c: fresh(c, docs.columns) for c in spans.columns}
@@ -413,13 +413,13 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return docs.join(spans, on, "left").drop(names["doc_id"], names["dig"])
 
 
-def report(words: int):
+def report(width: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, most=1 << 20):
             out = []
-            for i, text, spans, shorter in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), b.column("spans").to_pylist(), b.column("shorter").to_pylist(), strict=True):
-                m = maximal(spans)
-                found = passages(text, maximal(shorter), words)
+            for i, text, spans in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), b.column("spans").to_pylist(), strict=True):
+                m = maximal([x for x in spans or () if x["wide"] == width])
+                found = passages(text, maximal(spans), words)
                 out.append((i, len(text), sum(e - s for s, e in m), len(m), hashlib.sha256(kept_bytes(text, m)).hexdigest(), len(found), sum(e - s for s, e in found)))
             kinds = [*[pa.int64()] * 4, pa.string(), *[pa.int64()] * 2]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "passage_bytes"])
@@ -432,17 +432,9 @@ def repeat_report(docs: DataFrame, width: int = WIDTH, passage: int = PASSAGE, w
 
     n_passages and passage_bytes are the repeated passages of the document, found by strings of `passage` bytes.
     """
-    if not passage <= width:
-        raise ValueError("passages are found by strings of at most the width")
     docs = docs.select("doc_id", "text")
-    texts = keyed(docs)
-    shorter = repeated_spans(texts, passage, **options)
-    parts = scratch(texts.drop("begin").join(shorter, ["doc_id", "dig"]).transform(in_arrow, long_runs(width), "doc_id long, dig long, begin int, text binary"), "runs")
-    spans = repeated_spans(parts, width, **options)
-    discard(parts)
-    both = scratch(shorter.withColumnRenamed("spans", "shorter").join(spans, ["doc_id", "dig"], "left"), "spans")
-    discard(shorter, spans)
-    return with_spans(docs, both).transform(in_arrow, report(words), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, passage_bytes long")
+    rows = with_spans(docs, repeated_spans(docs, passage, width, **options))
+    return rows.transform(in_arrow, report(width, words), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, passage_bytes long")
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH, words: int = 0, **options) -> DataFrame:
@@ -450,7 +442,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, words: int = 0, **optio
 
     words: only runs of so many words, or of WIDTH bytes, are cut.
     """
-    found = repeated_spans(keyed(docs), width, **options)
+    found = repeated_spans(docs, width, **options)
     name = fresh("spans", docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
