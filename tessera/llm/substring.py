@@ -132,36 +132,38 @@ def suffix_order(data: np.ndarray, left: np.ndarray, width: int, far: int) -> tu
         key = key << np.uint64(8) | padded[k : k + len(data)]
     rank = np.zeros(len(data), np.int64)
     active = np.flatnonzero(left >= h)
-    order = np.argsort(key[active], kind="stable")
-    sorted_key = key[active][order]
-    new = np.r_[True, sorted_key[1:] != sorted_key[:-1]][: len(order)]
-    start = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    rank[active[order]] = start[group]
-    active = active[order][np.diff(np.r_[start, len(order)])[group] > 1]
+    order = np.argsort(key[active])
+    active, sorted_key = active[order], key[active[order]]
+    start = np.flatnonzero(np.r_[True, sorted_key[1:] != sorted_key[:-1]][: len(order)])
+    sizes = np.diff(np.r_[start, len(order)])
+    rank[active] = np.repeat(start, sizes)
+    active = active[np.repeat(sizes > 1, sizes)]
 
     def refined(active: np.ndarray, step: int) -> np.ndarray:
         """One refinement by the rank `step` bytes on; the positions whose groups still have others, in order."""
-        one = rank[active]
-        order = np.lexsort((active, rank[active + step], one)) if len(active) < 1 << 10 else np.argsort(one << 32 | rank[active + step], kind="stable")
-        active, one = active[order], one[order]
-        two = rank[active + step]
+        one, two = rank[active], rank[active + step]
+        if len(data) <= 1 << 21:  # both ranks and the position fit into one word, and a sort of words is fast
+            word = np.sort(one << 42 | two << 21 | active)
+            one, two, active = word >> 42, word >> 21 & 0x1FFFFF, word & 0x1FFFFF
+        else:
+            order = np.lexsort((active, two, one))
+            one, two, active = one[order], two[order], active[order]
         outer = np.r_[True, one[1:] != one[:-1]][: len(one)]
         inner = outer | np.r_[True, two[1:] != two[:-1]][: len(one)]
         outer_at, inner_at = np.flatnonzero(outer), np.flatnonzero(inner)
-        group = np.cumsum(inner) - 1
-        fresh = one + inner_at[group] - outer_at[np.cumsum(outer) - 1]
-        rank[active] = fresh
-        return active[np.diff(np.r_[inner_at, len(one)])[group] > 1]
+        sizes = np.diff(np.r_[inner_at, len(one)])
+        fresh = one[inner_at] + inner_at - np.repeat(outer_at, np.diff(np.r_[outer_at, len(one)]))[inner_at]
+        rank[active] = np.repeat(fresh, sizes)
+        return active[np.repeat(sizes > 1, sizes)]
 
     while 2 * h <= width:
-        active = refined(np.sort(active[left[active] >= 2 * h]), h)
+        active = refined(active[left[active] >= 2 * h], h)
         h *= 2
     if h < width:
-        active = refined(np.sort(active[left[active] >= width]), width - h)
+        active = refined(active[left[active] >= width], width - h)
     if far == width:
         return active, active
-    return active, refined(np.sort(active[left[active] >= far]), far - width)
+    return active, refined(active[left[active] >= far], far - width)
 
 
 def common_prefixes(data: np.ndarray, left: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -382,10 +384,19 @@ def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.filter(pa.array(keep, pa.bool_()))
 
 
-def maximal(spans: list[dict] | None) -> list[tuple[int, int]]:
+def span_lists(column: pa.Array) -> Iterator[list[tuple[int, int, int]]]:
+    """The spans (s, e, wide) of each row; null has none."""
+    fields = [x.tolist() for x in (column.flatten().field(k).to_numpy() for k in range(3))]
+    stops = np.cumsum(column.value_lengths().fill_null(0).to_numpy()).tolist()
+    spans = list(zip(*fields, strict=True))
+    for a, z in zip([0, *stops], stops, strict=False):
+        yield spans[a:z]
+
+
+def maximal(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Spans in order, those that overlap or touch merged."""
     out: list[tuple[int, int]] = []
-    for s, e in sorted((x["s"], x["e"]) for x in spans or ()):
+    for s, e, _ in sorted(spans):
         if out and s <= out[-1][1]:
             out[-1] = (out[-1][0], max(e, out[-1][1]))
         else:
@@ -417,8 +428,8 @@ def report(width: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, most=1 << 20):
             out = []
-            for i, text, spans in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), b.column("spans").to_pylist(), strict=True):
-                m = maximal([x for x in spans or () if x["wide"] == width])
+            for i, text, spans in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), span_lists(b.column("spans")), strict=True):
+                m = maximal([x for x in spans if x[2] == width])
                 found = passages(text, maximal(spans), words)
                 out.append((i, len(text), sum(e - s for s, e in m), len(m), hashlib.sha256(kept_bytes(text, m)).hexdigest(), len(found), sum(e - s for s, e in found)))
             kinds = [*[pa.int64()] * 4, pa.string(), *[pa.int64()] * 2]
@@ -448,8 +459,8 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, words: int = 0, **optio
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = []
-            for text, raw, spans in zip(b.column("text").to_pylist(), as_bytes(b.column("text")), b.column(name).to_pylist(), strict=True):
-                cut = passages(raw, maximal(spans), words) if spans else []
+            for text, raw, spans in zip(b.column("text").to_pylist(), as_bytes(b.column("text")), span_lists(b.column(name)), strict=True):
+                cut = passages(raw, maximal(spans), words)
                 texts.append(kept_bytes(raw, cut).decode("utf-8", "replace") if cut else text)
             b = b.drop_columns([name])
             yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(texts, b.schema.field("text").type))

@@ -283,8 +283,27 @@ def test_simhash(spark, data):
     assert got == sorted(((i, f"{prints[i]:016x}", root.get(i, i)) for i in ids), key=repr)
 
 
+def test_distance_tables():
+    """A table's word holds what the distances to the references say, and its differences bound those of all unions."""
+    from tessera.llm.simhash import REFERENCES, tables
+
+    rnd = random.Random(17)
+    prints = [0, (1 << 64) - 1] + [rnd.getrandbits(64) for _ in range(200)]
+    words = tables(np.array(prints, np.uint64)).tolist()
+    pairs = [int(r) for r in REFERENCES[1:]]
+    for x, word in zip(prints, words, strict=True):
+        counts = [(x.bit_count() - (x ^ p).bit_count() + 2) // 2 for p in pairs]
+        assert [(word >> 2 * k & 3).bit_count() for k in range(32)] == counts
+    for x, y, a, b in zip(prints, prints[1:], words, words[1:], strict=False):
+        unions = [sum(c) for _ in range(50) for c in [rnd.sample(pairs, rnd.randrange(33))]]
+        apart = [(x & p).bit_count() - (y & p).bit_count() for p in pairs]
+        best = sum(p for p, d in zip(pairs, apart, strict=True) if d < 0)
+        most = max(abs((x ^ u).bit_count() - (y ^ u).bit_count()) for u in [best, sum(pairs) - best, *unions])
+        assert most == (a ^ b).bit_count() <= (x ^ y).bit_count()
+
+
 def test_simhash_links_near_fingerprints(spark):
-    from tessera.llm.simhash import links
+    from tessera.llm.simhash import links, tables
 
     rnd = random.Random(7)
     prints = set()
@@ -292,7 +311,8 @@ def test_simhash_links_near_fingerprints(spark):
         base = rnd.getrandbits(64)
         prints |= {base ^ sum(1 << b for b in rnd.sample(range(64), rnd.randrange(6))) for _ in range(12)}
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    nodes = spark.createDataFrame([(p,) for p in signed], "fp long")
+    distances = tables(np.array(signed, np.int64).view(np.uint64)).view(np.int64).tolist()
+    nodes = spark.createDataFrame(list(zip(signed, distances, strict=True)), "fp long, distances long")
     masked = (1 << 64) - 1
     want = union([(a, b) for n, a in enumerate(signed) for b in signed[:n] if ((a ^ b) & masked).bit_count() <= 3])
     for piece in (1024, 4):
