@@ -203,7 +203,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         large = scratch(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where(v != F.col("m")).select(v.alias("u"), F.col("m").alias("v"))
-        stars = scratch(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small")
+        before, stars = stars, scratch(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small")
+        discard(before, large)
     else:
         raise RuntimeError("components did not settle")
     roots = stars.select(v.alias("node")).distinct().select("node", F.col("node").alias("root"))

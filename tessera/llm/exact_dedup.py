@@ -1,15 +1,18 @@
 """Exact dedup: Patricia-trie owners within length-and-content-hash partitions.
 
 Texts are equal when identical after lower-casing A-Z only; a null text counts as empty. Rows are dealt out by (length,
-content hash) and arrive sorted by it; each task inserts the full byte strings into a compressed radix trie whose
-terminal nodes hold the owner and the members. When the sorted key moves on, the subtree of that key is complete: it
-is spilled, that is emitted and freed, so a task holds one key's strings at a time.
-
-A key that is more frequent than `piece` rows is dealt out in pieces; the pieces' owners meet in a second trie. The
-list of such keys is bounded: `piece` grows until the list has at most HOT_KEYS entries.
-
-Defined results: an empty table gives an empty result; repeated rows are members of one group, each counted; a null
-doc_id is a member but owns a group only if all its members are null; other columns are ignored.
+content hash) and sorted by text within a partition; each task inserts all full byte strings of its partition into one
+compressed radix trie, whose terminal nodes hold the owner and the members. As strings come in order, a subtree is
+finished as soon as a string branches off above it: it is spilled, that is emitted and freed, so a task holds the path
+to the latest string and its members.
+
+A key that is more frequent than `piece` rows is dealt out in as many pieces as the square root of its rows; the pieces'
+owners meet in a second trie. The list of such keys is broadcast and bounded: `piece` grows until the list has at most
+HOT_KEYS entries of 20 bytes.
+
+Defined results: an empty table gives an empty result; repeated rows are members of one group, each counted and, if
+their doc_id owns the group, each kept; a null doc_id is a member but owns a group only if all its members are null;
+other columns are ignored. A task holds its longest text some four times.
 """
 
 from __future__ import annotations
@@ -27,62 +30,64 @@ from pyspark.sql import functions as F
 from .common import as_bytes, in_arrow, scratch, slices
 
 HOT_KEYS = 100_000
-#: Members of one piece of a frequent key; a task holds that many ids at most.
+#: Rows of one key that a task takes; a task holds that many ids at most.
 PIECE = 256
 
 
 class Node:
-    """An edge label, children by their first byte, and for terminals the members and owner."""
+    """An edge label, where it ends in the string, and for terminals what is stored there."""
 
-    __slots__ = ("label", "children", "members", "owner")
+    __slots__ = ("label", "end", "stored")
 
-    def __init__(self, label: bytes):
-        self.label, self.children, self.members, self.owner = label, {}, None, None
+    def __init__(self, label: bytes, end: int):
+        self.label, self.end, self.stored = label, end, None
 
 
 class PatriciaTrie:
+    """A compressed radix trie of strings that come in order; what is finished is handed out and freed."""
+
     def __init__(self) -> None:
-        self.root = Node(b"")
-
-    def insert(self, key: bytes) -> Node:
-        """The terminal of this byte string."""
-        node, at = self.root, 0
-        while at < len(key):
-            child = node.children.get(key[at])
-            if child is None:
-                child = node.children[key[at]] = Node(key[at:])
-                return child
-            label = child.label
-            if key.startswith(label, at):
-                node, at = child, at + len(label)
-                continue
-            same = common_prefix(label, key, at)
-            middle = Node(label[:same])
-            child.label = label[same:]
-            middle.children[child.label[0]] = child
-            node.children[key[at]] = middle
-            node, at = middle, at + same
-        return node
-
-    def spill(self) -> Iterator[Node]:
-        """All terminals; the trie is empty afterwards."""
-        todo, self.root = [self.root], Node(b"")
-        while todo:
-            node = todo.pop()
-            todo.extend(node.children.values())
-            if node.members is not None:
-                yield node
-
-
-def common_prefix(label: bytes, key: bytes, at: int) -> int:
-    """How many bytes of label agree with key from at on, by bisection over slices."""
-    low, high = 0, min(len(label), len(key) - at)
-    while low < high:
-        middle = (low + high + 1) // 2
-        if label[:middle] == key[at : at + middle]:
+        self.path = [Node(b"", 0)]
+        self.last = b""
+
+    def insert(self, key: bytes) -> tuple[Node, list[Node]]:
+        """The terminal of this string, and the finished terminals."""
+        path, finished = self.path, []
+        same = common_prefix(self.last, key)
+        while path[-1].end > same:
+            node = path.pop()
+            if node.stored is not None:
+                finished.append(node)
+            if node.end - len(node.label) < same:  # the strings part within this edge
+                path.append(Node(node.label[: same - node.end], same))
+        if len(key) > same:
+            path.append(Node(key[same:], len(key)))
+        self.last = key
+        return path[-1], finished
+
+    def spill(self) -> list[Node]:
+        """All terminals that are left; the trie is empty afterwards."""
+        left = [n for n in reversed(self.path) if n.stored is not None]
+        self.path, self.last = [Node(b"", 0)], b""
+        return left
+
+
+def common_prefix(a: bytes, b: bytes) -> int:
+    """How many bytes agree, by steps that double and then halve."""
+    most = min(len(a), len(b))
+    if a[:most] == b[:most]:
+        return most
+    low, step = 0, 16
+    while a[low : low + step] == b[low : low + step]:
+        low += step
+        step *= 2
+    high = min(low + step, most)
+    while high - low > 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
             low = middle
         else:
-            high = middle - 1
+            high = middle
     return low
 
 
@@ -92,6 +97,10 @@ def owner_of(a: int | None, b: int | None, largest: bool) -> int | None:
     return max(a, b) if largest else min(a, b)
 
 
+def content_hash(x: bytes) -> int:
+    return struct.unpack("<q", xxhash.xxh3_64_digest(x))[0]
+
+
 KEY = "n_bytes long, h long"
 
 
@@ -101,66 +110,65 @@ def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([len(x) for x in texts], pa.int64()), pa.array([content_hash(x) for x in texts], pa.int64())], ["n_bytes", "h"])
 
 
-def content_hash(x: bytes) -> int:
-    return struct.unpack("<q", xxhash.xxh3_64_digest(x))[0]
+def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Normalised texts with their keys; `place` says to which piece a row of a frequent key goes."""
+    seen = 0
+    for b in slices(batches):
+        texts = [x.lower() for x in as_bytes(b.column("text"))]
+        ids = b.column("doc_id").to_pylist()
+        places = [seen + n if i is None else content_hash(str(i).encode()) for n, i in enumerate(ids)]
+        seen += len(ids)
+        cols = [[len(x) for x in texts], [content_hash(x) for x in texts], places, ids]
+        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(texts, pa.binary())], ["n_bytes", "h", "place", "doc_id", "text"])
 
 
-def dealt(hot: dict[tuple[int, int], int]):
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = 0
-        for b in slices(batches):
-            texts = [x.lower() for x in as_bytes(b.column("text"))]
-            keys = [(len(x), content_hash(x)) for x in texts]
-            ids = b.column("doc_id").to_pylist()
-            salts = []
-            for k, i in zip(keys, ids, strict=True):
-                pieces = hot.get(k, 1)
-                salts.append(0 if pieces == 1 else (xxhash.xxh3_64_intdigest(str(i)) if i is not None else seen) % pieces)
-                seen += 1
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(salts, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.binary())], ["n_bytes", "h", "salt", "doc_id", "text"])
+OUT = pa.schema([("doc_id", pa.int64()), ("owner", pa.int64()), ("members", pa.int64()), ("text_sha256", pa.string()), ("n_bytes", pa.int64()), ("h", pa.int64()), ("pieces", pa.int32()), ("text", pa.binary())])
+NONE = -(1 << 63)
 
-    return deal
 
+class Group:
+    """What a terminal stores: the members of one piece and their owner."""
 
-OUT = pa.schema([("doc_id", pa.int64()), ("owner", pa.int64()), ("members", pa.int64()), ("text_sha256", pa.string()), ("n_bytes", pa.int64()), ("h", pa.int64()), ("salt", pa.int64()), ("text", pa.binary())])
+    __slots__ = ("text", "salt", "key", "ids", "owner")
 
+    def __init__(self, text: bytes, salt: int, key: tuple[int, int, int]):
+        self.text, self.salt, self.key, self.ids, self.owner = text, salt, key, array("q"), None
 
-def tries(hot: set[tuple[int, int]], largest: bool):
-    """Sorted rows of (n_bytes, h, salt, doc_id, text) to a row per member; the first of a hot piece carries the text."""
+    def rows(self) -> Iterator[tuple]:
+        sha = hashlib.sha256(self.text).hexdigest()
+        for n, i in enumerate(self.ids):
+            yield None if i == NONE else i, self.owner, len(self.ids), sha, *self.key, self.text if self.key[2] > 1 and n == 0 else None
 
-    def flush(trie: PatriciaTrie, key: tuple[int, int, int] | None, out: list) -> None:
-        for node in trie.spill():
-            ids, text = node.members
-            sha = hashlib.sha256(text).hexdigest()
-            for n, i in enumerate(ids):
-                out.append((None if i == NONE else i, node.owner, len(ids), sha, *key, text if key[:2] in hot and n == 0 else None))
+
+def tries(largest: bool):
+    """Rows sorted by (text, salt) to a row per member; the first of a piece of a frequent key carries the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, key, out = PatriciaTrie(), None, []
+        trie, out = PatriciaTrie(), []
         for b in slices(batches):
-            columns = [b.column(c).to_pylist() for c in ("n_bytes", "h", "salt", "doc_id", "text")]
-            for n, h, salt, i, text in zip(*columns, strict=True):
-                if key != (n, h, salt):
-                    flush(trie, key, out)
-                    key = (n, h, salt)
-                node = trie.insert(text)
-                if node.members is None:
-                    node.members = (array("q"), text)
-                node.members[0].append(NONE if i is None else i)
-                node.owner = owner_of(node.owner, i, largest)
-            if len(out) >= 4096:
-                yield rows(out, OUT)
-                out = []
-        flush(trie, key, out)
+            columns = [b.column(c).to_pylist() for c in ("n_bytes", "h", "pieces", "salt", "doc_id", "text")]
+            for n, h, pieces, salt, i, text in zip(*columns, strict=True):
+                node, finished = trie.insert(text)
+                for done in finished:
+                    out.extend(done.stored.rows())
+                if node.stored is not None and node.stored.salt != salt:
+                    out.extend(node.stored.rows())
+                    node.stored = None
+                if node.stored is None:
+                    node.stored = Group(text, salt, (n, h, pieces))
+                node.stored.ids.append(NONE if i is None else i)
+                node.stored.owner = owner_of(node.stored.owner, i, largest)
+                if len(out) >= 4096:
+                    yield rows(out, OUT)
+                    out = []
+        for done in trie.spill():
+            out.extend(done.stored.rows())
         if out:
             yield rows(out, OUT)
 
     return run
 
 
-NONE = -(1 << 63)
-
-
 def rows(out: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema.names)
 
@@ -169,39 +177,38 @@ MERGED = pa.schema([("n_bytes", pa.int64()), ("h", pa.int64()), ("piece_owner",
 
 
 def merge(largest: bool):
-    """The pieces of the hot keys, sorted by key: a trie over the pieces' texts gives owner and size of the whole group."""
+    """Pieces sorted by text: a trie over their texts gives owner and size of each whole group."""
 
-    def flush(trie: PatriciaTrie, key, out: list) -> None:
-        for node in trie.spill():
-            sha, pieces = node.members
-            total = sum(n for _, n in pieces)
-            out.extend((*key, o, sha, node.owner, total) for o in dict.fromkeys(o for o, _ in pieces))
+    def whole(stored: list) -> Iterator[tuple]:
+        key, sha, owner, pieces = stored
+        total = sum(pieces.values())
+        return ((*key, o, sha, owner, total) for o in pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, key, out = PatriciaTrie(), None, []
+        trie, out = PatriciaTrie(), []
         for b in slices(batches):
             for n, h, owner, members, sha, text in zip(*(b.column(c).to_pylist() for c in ("n_bytes", "h", "owner", "members", "text_sha256", "text")), strict=True):
-                if key != (n, h):
-                    flush(trie, key, out)
-                    key = (n, h)
-                node = trie.insert(text)
-                if node.members is None:
-                    node.members = (sha, [])
-                node.members[1].append((owner, members))
-                node.owner = owner_of(node.owner, owner, largest)
-        flush(trie, key, out)
+                node, finished = trie.insert(text)
+                for done in finished:
+                    out.extend(whole(done.stored))
+                if node.stored is None:
+                    node.stored = [(n, h), sha, None, {}]
+                node.stored[2] = owner_of(node.stored[2], owner, largest)
+                node.stored[3][owner] = node.stored[3].get(owner, 0) + members
+        for done in trie.spill():
+            out.extend(whole(done.stored))
         if out:
             yield rows(out, MERGED)
 
     return run
 
 
-def hot_keys(docs: DataFrame, piece: int, most: int = HOT_KEYS) -> dict[tuple[int, int], int]:
+def hot_keys(docs: DataFrame, piece: int, most: int = HOT_KEYS) -> DataFrame:
     """Keys with more than `piece` rows and the number of pieces of each; piece doubles until the list is short."""
     counts = scratch(docs.select("text").transform(in_arrow, keyed, KEY).groupBy("n_bytes", "h").count().where(F.col("count") > piece), "hot")
     while counts.where(F.col("count") > piece).count() > most:
         piece *= 2
-    return {(r.n_bytes, r.h): -(-r["count"] // piece) for r in counts.where(F.col("count") > piece).collect()}
+    return counts.where(F.col("count") > piece).select("n_bytes", "h", F.ceil(F.sqrt("count")).cast("int").alias("pieces"))
 
 
 def exact_dedup(docs: DataFrame, keep: str = "smallest", piece: int = PIECE) -> DataFrame:
@@ -209,17 +216,15 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest", piece: int = PIECE) ->
     if keep not in ("smallest", "largest"):
         raise ValueError("keep: smallest or largest")
     largest = keep == "largest"
-    hot = hot_keys(docs, piece)
-    one = docs.select("doc_id", "text").transform(in_arrow, dealt(hot), f"{KEY}, salt long, doc_id long, text binary")
-    one = one.repartition("n_bytes", "h", "salt").sortWithinPartitions("n_bytes", "h", "salt")
-    one = one.transform(in_arrow, tries(set(hot), largest), "doc_id long, owner long, members long, text_sha256 string, n_bytes long, h long, salt long, text binary")
-    keep_id, size = F.col("owner"), F.col("members")
-    if hot:
-        one = scratch(one, "pieces")
-        pieces = one.where(F.col("text").isNotNull()).drop("doc_id", "salt")
-        merged = pieces.repartition("n_bytes", "h").sortWithinPartitions("n_bytes", "h").transform(in_arrow, merge(largest), "n_bytes long, h long, piece_owner long, piece_sha string, keep long, total long")
-        # as many rows as the hot keys have pieces: rows / piece + HOT_KEYS at most, and AQE broadcasts only by their size
-        merged = scratch(merged, "owners").withColumnsRenamed({"n_bytes": "m_bytes", "h": "m_h"})
-        one = one.join(merged, (F.col("n_bytes") == F.col("m_bytes")) & (F.col("h") == F.col("m_h")) & F.col("owner").eqNullSafe(F.col("piece_owner")) & (F.col("text_sha256") == F.col("piece_sha")), "left")
-        keep_id, size = F.coalesce("keep", "owner"), F.coalesce("total", "members")
-    return one.select("doc_id", keep_id.alias("keep_id"), size.alias("group_size"), F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256", "n_bytes")
+    one = docs.select(F.col("doc_id").cast("long"), "text").transform(in_arrow, dealt, f"{KEY}, place long, doc_id long, text binary")
+    one = one.join(F.broadcast(hot_keys(docs, piece)), ["n_bytes", "h"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    one = one.withColumn("salt", F.pmod("place", "pieces").cast("int")).drop("place")
+    one = one.repartition("n_bytes", "h", "salt").sortWithinPartitions("text", "salt")
+    one = scratch(one.transform(in_arrow, tries(largest), "doc_id long, owner long, members long, text_sha256 string, n_bytes long, h long, pieces int, text binary"), "members")
+    pieces = one.where(F.col("text").isNotNull()).drop("doc_id", "pieces")
+    merged = pieces.repartition("n_bytes", "h").sortWithinPartitions("text").transform(in_arrow, merge(largest), "n_bytes long, h long, piece_owner long, piece_sha string, keep long, total long")
+    merged = scratch(merged, "owners").withColumnsRenamed({"n_bytes": "m_bytes", "h": "m_h"})
+    hot = one.where("pieces > 1").join(merged, (F.col("n_bytes") == F.col("m_bytes")) & (F.col("h") == F.col("m_h")) & F.col("owner").eqNullSafe(F.col("piece_owner")) & (F.col("text_sha256") == F.col("piece_sha")))
+    columns = ["doc_id", "keep", "total", "text_sha256", "n_bytes"]
+    both = one.where("pieces = 1").withColumnsRenamed({"owner": "keep", "members": "total"}).select(columns).unionByName(hot.select(columns))
+    return both.select("doc_id", F.col("keep").alias("keep_id"), F.col("total").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep")).alias("kept"), "text_sha256", "n_bytes")

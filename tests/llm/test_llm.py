@@ -243,18 +243,29 @@ def test_exact_dedup_in_pieces(spark):
 
 
 def test_trie():
-    from tessera.llm.exact_dedup import PatriciaTrie
+    from tessera.llm.exact_dedup import PatriciaTrie, common_prefix
 
     rnd = random.Random(6)
-    words = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(12))) for _ in range(3000)]
-    trie = PatriciaTrie()
+    words = sorted(bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(40))) for _ in range(3000))
+    trie, out = PatriciaTrie(), []
     for n, w in enumerate(words):
-        node = trie.insert(w)
-        if node.members is None:
-            node.members = (w, [])
-        assert node.members[0] == w
-        node.members[1].append(n)
-    assert sorted(len(t.members[1]) for t in trie.spill()) == sorted(Counter(words).values())
+        node, finished = trie.insert(w)
+        out += finished
+        assert b"".join(x.label for x in trie.path) == w
+        if node.stored is None:
+            node.stored = (w, [])
+        assert node.stored[0] == w
+        node.stored[1].append(n)
+    out += trie.spill()
+    assert sorted((x.stored[0], len(x.stored[1])) for x in out) == sorted(Counter(words).items())
+    for a, b in zip(words, words[7:], strict=False):
+        assert common_prefix(a, b) == next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    trie = PatriciaTrie()
+    first, _ = trie.insert(b"shared stem, one")
+    first.stored = 1
+    second, finished = trie.insert(b"shared stem, two")
+    assert finished == [first] and [n.label for n in trie.path] == [b"", b"shared stem, ", b"two"]  # one node for both
+    assert trie.insert(b"shared stem, two and more")[1] == [] and trie.path[2] is second
 
 
 def test_quality(spark, edge):
