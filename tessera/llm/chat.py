@@ -1,15 +1,16 @@
 r"""Chat formatting into windows of a token budget.
 
 A conversation's rows, by turn, become windows of whole turns. Prefix sums of turn tokens choose the span of each
-window; every window after the first begins with the system turn, if the conversation begins with one, and with as many
-of the latest turns as the history's share of the budget allows. Repeated turns are never under the loss mask, so each
-assistant text is a target once. A turn longer than the budget has a window of its own.
+window, by a search for the last turn that the budget allows and one for the first turn that the history's share allows.
+Every window after the first begins with the system turn, if the conversation begins with one, and with that history.
+Repeated turns are never under the loss mask, so each assistant text is a target once. A turn longer than the budget
+has a window of its own.
 
 Template: `<s>role\ntext</s>` for the assistant, `[INST]role\ntext[/INST]` for all others. Control strings inside texts
 and roles are escaped with a backslash (which itself is doubled), reversibly.
 
-Work is a stream over rows sorted by (conv_id, turn): a task holds one window and the history, however long a
-conversation is.
+Work is a stream over rows sorted by (conv_id, turn): a task holds the turns and prefix sums of one window, its history
+and one turn more, however long a conversation is; one conversation is one task's. A turn takes some ten times its bytes.
 
 Defined results: null texts and roles are empty; rows with equal turns are ordered by role and text; null turns come
 first; rows with a null conv_id are one conversation; an empty table gives no windows; other columns are ignored.
@@ -18,7 +19,7 @@ first; rows with a null conv_id are one conversation; an empty table gives no wi
 from __future__ import annotations
 
 import re
-from collections import deque
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,7 +36,8 @@ HISTORY = 512
 OPENING, CLOSING = ("<s>", "[INST]"), ("</s>", "[/INST]")
 CONTROL = re.compile(r"\\|</?s>|\[/?INST\]")
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-TURN = re.compile(r"(?:<s>|\[INST\])((?:[^\\\n]|\\.)*)\n((?:[^\\<\[]|\\.|<(?!/s>)|\[(?!/INST\]))*)(?:</s>|\[/INST\])", re.DOTALL)
+#: Runs are possessive, so that a match keeps no state for each character.
+TURN = re.compile(r"(?:<s>|\[INST\])((?:[^\\\n]++|\\.)*+)\n((?:[^\\<\[]++|\\.|<(?!/s>)|\[(?!/INST\]))*+)(?:</s>|\[/INST\])", re.DOTALL)
 
 
 def escape(text: str) -> str:
@@ -75,49 +77,51 @@ class Turn:
         self.target, self.tokens = role == "assistant", tokens
 
 
-class Window:
-    """Repeated turns, then new ones."""
-
-    def __init__(self, repeated: list[Turn]):
-        self.repeated, self.turns = len(repeated), list(repeated)
-        self.tokens = sum(t.tokens for t in repeated)
-
-    def row(self) -> tuple[str, list[dict], int, int, int]:
-        at, spans = 0, []
-        for n, t in enumerate(self.turns):
-            if n >= self.repeated and t.target:
-                spans.append({"start": at + t.begin, "stop": at + t.end})
-            at += len(t.written)
-        return "".join(t.written for t in self.turns), spans, self.repeated, len(self.turns) - self.repeated, self.tokens
+def row_of(repeated: list[Turn], new: list[Turn]) -> tuple[str, list[dict], int, int, int]:
+    at, spans, turns = 0, [], repeated + new
+    for n, t in enumerate(turns):
+        if n >= len(repeated) and t.target:
+            spans.append({"start": at + t.begin, "stop": at + t.end})
+        at += len(t.written)
+    return "".join(t.written for t in turns), spans, len(repeated), len(new), sum(t.tokens for t in turns)
 
 
 def windows(turns: Iterator[tuple[str, str, int]], budget: int, history: int) -> Iterator[tuple]:
     """Windows of one conversation given as (role, text, tokens)."""
     system: Turn | None = None
-    recent: deque[Turn] = deque()
-    recent_tokens = 0
-    window: Window | None = None
-    for n, (role, text, tokens) in enumerate(turns):
-        turn = Turn(role, text, tokens)
-        if window is None:
-            window = Window([])
-        elif window.tokens + turn.tokens > budget and len(window.turns) > window.repeated:
-            yield window.row()
-            repeated = ([system] if system else []) + list(recent)
-            while repeated and sum(t.tokens for t in repeated) + turn.tokens > budget:  # the oldest go first, the system turn last
-                repeated.pop(1 if system and len(repeated) > 1 else 0)
-            window = Window(repeated)
-        window.turns.append(turn)
-        window.tokens += turn.tokens
-        if n == 0 and role == "system":
-            system = turn
-            continue
-        recent.append(turn)
-        recent_tokens += turn.tokens
-        while recent and recent_tokens > history:
-            recent_tokens -= recent.popleft().tokens
-    if window is not None:
-        yield window.row()
+    held: list[Turn] = []  # turns from the history on
+    sums = [0]  # tokens before each of them, and after the last
+    start, first = 0, True  # where the next window's new turns begin
+
+    def more() -> bool:
+        nonlocal system
+        one = next(turns, None)
+        if one is not None:
+            held.append(Turn(*one))
+            sums.append(sums[-1] + one[2])
+            if first and len(held) == 1 and one[0] == "system":
+                system = held[0]
+        return one is not None
+
+    while True:
+        while sums[-1] - sums[start] <= budget and more():
+            pass
+        if start == len(held):
+            return
+        repeated: list[Turn] = []
+        room = budget - held[start].tokens
+        if not first and (system is None or system.tokens <= room):  # the history goes first, the system turn last
+            repeated = [system] if system else []
+            room -= sum(t.tokens for t in repeated)
+            if room >= 0:
+                oldest = bisect_left(sums, sums[start] - min(history, room), 0, start)
+                repeated += held[oldest:start]
+        free = budget - sum(t.tokens for t in repeated)
+        stop = max(start + 1, bisect_right(sums, sums[start] + free, start + 1) - 1)
+        yield row_of(repeated, held[start:stop])
+        keep = bisect_left(sums, sums[stop] - history, 1 if first and system else 0, stop)
+        del held[:keep], sums[:keep]
+        start, first = stop - keep, False
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))

@@ -136,6 +136,52 @@ def test_chat_windows_keep_budget_system_and_history(spark):
     assert all(r.n_repeated > 1 for r in out[1:])
 
 
+def plain_windows(turns, budget, history):
+    """(repeated, new, tokens) of each window, by adding up turn by turn."""
+    i = 0
+    while i < len(turns):
+        system = turns[:1] if i and turns[0][0] == "system" else []
+        recent, total = [], 0
+        for t in reversed(turns[len(system) : i]):
+            if (total := total + t[2]) > history:
+                break
+            recent.insert(0, t)
+        repeated = system + recent
+        while repeated and sum(t[2] for t in repeated) + turns[i][2] > budget:
+            repeated.pop(1 if system and len(repeated) > 1 else 0)
+        j, total = i + 1, sum(t[2] for t in repeated) + turns[i][2]
+        while j < len(turns) and total + turns[j][2] <= budget:
+            total, j = total + turns[j][2], j + 1
+        yield len(repeated), j - i, total, [t[1] for t in repeated + turns[i:j]]
+        i = j
+
+
+def test_chat_spans_by_prefix_sums():
+    from tessera.llm.chat import parse, windows
+
+    rnd = random.Random(14)
+    for _ in range(3000):
+        turns = [("system" if n == 0 and rnd.random() < 0.5 else rnd.choice(["user", "assistant"]), f"t{n}", rnd.randrange(1, rnd.choice([5, 40, 120]))) for n in range(rnd.randrange(1, 30))]
+        budget = rnd.randrange(20, 100)
+        history = rnd.randrange(budget)
+        got = [(r, n, tokens, [said for _, said in parse(text)]) for text, _, r, n, tokens in windows(iter(turns), budget, history)]
+        assert got == list(plain_windows(turns, budget, history))
+
+
+def test_chat_long_turn():
+    """A turn of 6 million characters is parsed in little more than its own bytes, and read back as it was."""
+    import tracemalloc
+
+    from tessera.llm.chat import formatted, parse
+
+    text = "ab \\ <x [y [INST] é\n" * 300_000
+    written = formatted("user", text)[0]
+    tracemalloc.start()
+    assert parse(written) == [("user", text)]
+    assert tracemalloc.get_traced_memory()[1] < 20 * len(text.encode())
+    tracemalloc.stop()
+
+
 def test_vectors(spark, sf_dir, tmp_path):
     rng = np.random.default_rng(5)
     made, n = [], 10_000
