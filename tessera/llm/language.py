@@ -4,9 +4,10 @@ Texts are cut into blocks of `STEPS` bytes. In each block one gated recurrence r
 right; their states label every byte position with probabilities of the languages, and a document's probabilities are
 the mean over all its positions. The weights are trained here, in numpy, by backpropagation through time.
 
-Training uses a bounded sample: about SAMPLE documents of each language (chosen by a hash of doc_id at a rate that a
-count over all labelled rows gives) with WINDOWS blocks each, taken from anywhere in the text. Prediction reads every
-byte of every text.
+Training uses a bounded sample of rows, whole texts: about SAMPLE documents of each language, or as many as have
+SAMPLE_BYTES bytes if these are fewer (chosen by a hash at a rate that a count over all labelled rows gives). Prediction
+reads every byte of every text. Blocks begin afresh, so that all blocks of a slice advance together; a state carried
+through a text would make each byte wait for the one before.
 
 Defined results: the prediction is `und` with score 0 for null texts and texts without a letter; null with score 0 for
 other texts where nothing could be learned; otherwise a learned language and its pooled probability. Repeated rows each have a row; an empty table gives
@@ -19,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +27,11 @@ from .common import flat, in_arrow, slices
 
 STEPS = 64
 HIDDEN = 8
-SAMPLE = 400
-WINDOWS = 6
-EPOCHS = 5
+SAMPLE = 200
+SAMPLE_BYTES = 4 << 20
+#: Passes over the sample, and updates that a small sample gets at least.
+EPOCHS = 2
+UPDATES = 190
 UNDETERMINED = "und"
 
 
@@ -106,8 +108,9 @@ class Network:
         z += self.bias
         return softmax(z).reshape(*x.shape, -1)
 
-    def train(self, windows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, batch: int = 256, rate: float = 0.02, seed: int = 5) -> None:
+    def train(self, windows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, epochs: int = 0, batch: int = 256, rate: float = 0.02, seed: int = 5) -> None:
         """windows (n, STEPS) bytes of which sizes are valid, labels by index of language; Adam on the mean position loss."""
+        epochs = epochs or max(EPOCHS, -(-UPDATES * batch // len(windows)))
         rng = np.random.default_rng(seed)
         params = [self.forth.inputs, self.forth.state, self.back.inputs, self.back.state, self.out, self.bias]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -171,42 +174,33 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A few blocks from anywhere in each text, the same ones every time."""
-    for b in slices(batches):
-        data, offsets = flat(b.column("text"))
-        langs, out = [], []
-        for i, lang, a, z in zip(b.column("doc_id").to_pylist(), b.column("lang").to_pylist(), offsets, offsets[1:], strict=False):
-            rng = np.random.default_rng(xxhash.xxh3_64_intdigest(str(i)))
-            for _ in range(min(WINDOWS, -(-int(z - a) // STEPS))):
-                at = a + rng.integers(0, max(1, z - a - STEPS + 1))
-                langs.append(lang)
-                out.append(data[at : min(z, at + STEPS)].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.binary())], ["lang", "window"])
+def blocks_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All blocks of the texts: bytes (n, STEPS), how many of them are valid, and the text of each block."""
+    cut = [(n, t[a : a + STEPS]) for n, t in enumerate(texts) for a in range(0, len(t), STEPS)]
+    sizes = np.array([len(x) for _, x in cut])
+    data = np.frombuffer(b"".join([x.ljust(STEPS, b"\0") for _, x in cut]), np.uint8).reshape(-1, STEPS)
+    return data, sizes, np.array([n for n, _ in cut])
 
 
-def fit(docs: DataFrame, use: Column, sample: int = SAMPLE) -> Network | None:
+def fit(docs: DataFrame, use: Column, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network | None:
     """Learn from text and lang of the rows that `use` selects; None if there is no such row.
 
-    The sample's size is about `sample` documents a language and WINDOWS blocks of STEPS bytes each, whatever the input.
+    What is collected is about `sample` rows a language, or rows of about `sample_bytes` bytes, whatever the input.
     """
     rows = docs.where(use & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", "text")
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect()
     if not counts:
         return None
-    rate = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))]), F.col("lang"))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < rate * (1 << 20))
-    got = chosen.transform(in_arrow, windows_of, "lang string, window binary").collect()
+    rates = [F.lit(x) for r in counts for x in (r.lang, min(1.0, sample / r.n, sample_bytes / r.size))]
+    rate = F.element_at(F.create_map(*rates), F.col("lang"))
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 20)) < rate * (1 << 20))
+    got = sorted((r.lang, r.text.encode()) for r in chosen.select("lang", "text").collect())
     if not got:
         return None
-    got.sort(key=lambda r: (r.lang, bytes(r.window)))
-    languages = sorted({r.lang for r in got})
-    sizes = np.array([len(r.window) for r in got])
-    windows = np.zeros((len(got), STEPS), np.uint8)
-    for n, r in enumerate(got):
-        windows[n, : sizes[n]] = np.frombuffer(r.window, np.uint8)
+    languages = sorted({lang for lang, _ in got})
+    windows, sizes, text = blocks_of([t for _, t in got])
     net = Network(languages)
-    net.train(windows, sizes, np.array([languages.index(r.lang) for r in got]))
+    net.train(windows, sizes, np.array([languages.index(lang) for lang, _ in got])[text])
     return net
 
 
