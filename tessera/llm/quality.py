@@ -9,8 +9,8 @@ The labelled sample is bounded: about SAMPLE rows, chosen by a hash of doc_id at
 rows gives. Its vectors take SAMPLE * RANK * 4 bytes (half a MB) whatever the input's size.
 
 Defined results: a text with no features (null, empty or shorter than three bytes) scores the labels' mean; where
-nothing could be learned the score is 0.5. Of repeated labels of one document any is used; repeated rows each have a
-row; an empty table gives an empty result; other columns are ignored.
+nothing could be learned the score is 0.5. Of repeated labels of one document any is learned, of documents that
+share a doc_id the least text; repeated rows each have a row; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -112,7 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, sample: int = SAMPLE) -
     if not n:
         return None
     chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < min(1.0, sample / n) * (1 << 30)).dropDuplicates(["doc_id"])
-    got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text").transform(in_arrow, vectors, "quality int, x binary").collect()
+    both = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("quality", "text")).alias("one"))
+    got = both.select("one.quality", "one.text").transform(in_arrow, vectors, "quality int, x binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r.quality, bytes(r.x)))
