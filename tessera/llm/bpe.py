@@ -5,7 +5,8 @@ if every token encodes to itself and every adjacent pair is compatible, that is,
 start gives the same two tokens; the pair check undoes merges from both sides of the seam, for all pairs at once. Only
 words with a failing pair go through exact merging by rank.
 
-Works for tokenizer files (JSON) of the tokenizers library with byte-level BPE, with or without a word-end suffix.
+Works for tokenizer files (JSON) of the tokenizers library with byte-level BPE whose pre-tokenizer is one of the two that
+are known here, with or without a word-end suffix; any other file is an error.
 Cutting a text into words is the library's own pre-tokenizer, or the same pattern here for texts of plain Latin
 characters; strings of special tokens inside a text get the special ids, as in the library.
 
@@ -28,14 +29,37 @@ from pyspark.sql import functions as F
 
 from .common import in_arrow, slices
 
-#: Longer words are matched one by one, so that one of them doesn't hold up a batch.
+#: Longer words are proposed one by one, so that one of them doesn't hold up a batch; they are verified like all others.
 LONG_WORD = 128
 #: Printable ASCII, the Latin letters and signs for which Python and the library agree on case, classes and composition.
 PLAIN = re.compile("[\\t\\n\\r -~¡-¬®-±´-¸º»¿-įı-ž–—‘-„…€]*")
 BYTE_LEVEL_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 LOWER_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-#: The pre-tokenizer patterns that the two patterns above stand for.
 BYTE_LEVEL, LOWER = "byte_level", "lower"
+# The normalizers and pre-tokenizers, as files of the library have them, that the two patterns stand for.
+KNOWN = {
+    BYTE_LEVEL: (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}),
+    LOWER: (
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ]},
+    ),
+}
+
+
+def kind_of(spec: dict) -> str:
+    """Which of the known kinds a tokenizer file is; an error if none."""
+    model = spec["model"]
+    odd = [k for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges") if model.get(k)]
+    odd += [t["content"] for t in spec.get("added_tokens", []) if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]
+    if model.get("type", "BPE") != "BPE" or odd:
+        raise ValueError(f"not a byte-level BPE that is known here: {model.get('type')} {odd}")
+    for kind, parts in KNOWN.items():
+        if parts == (spec.get("normalizer"), spec.get("pre_tokenizer")):
+            return kind
+    raise ValueError("the file's normalizer and pre-tokenizer are not known here")
 
 
 def byte_chars() -> list[str]:
@@ -132,7 +156,7 @@ class Codec:
         self.spec = spec
         self.suffix = model.get("end_of_word_suffix") or ""
         self.specials = {t["content"]: t["id"] for t in j.get("added_tokens", [])}
-        self.kind = LOWER if self.suffix else BYTE_LEVEL
+        self.kind = kind_of(j)
         chars = byte_chars()
         names = [*chars, *([c + self.suffix for c in chars] if self.suffix else [])]
         spelled = [bytes([b]) for b in range(256)] * (2 if self.suffix else 1)
@@ -169,6 +193,7 @@ class Codec:
         self.edges = IntMap(at[:, 0] * base + at[:, 1], np.fromiter(edges.values(), np.int32, len(edges)))
         self.ends = np.full(len(edges) + 1, -1, np.int64)
         self.ends[list(ends)] = list(ends.values())
+        self.walk: dict[int, int] | None = None
         self.safe = np.array([t < base or self.merged(list(s)) == [t] for t, s in enumerate(symbols)])
 
     def merged(self, word: list[int]) -> list[int]:
@@ -276,6 +301,23 @@ class Codec:
         order = np.argsort(words, kind="stable")
         return words[order], tokens[order]
 
+    def proposed_one(self, symbols: list[int]) -> list[int]:
+        """Greedy longest match of one long word."""
+        if self.walk is None:
+            some = self.edges.keys >= 0
+            self.walk = dict(zip(self.edges.keys[some].tolist(), self.edges.values[some].tolist(), strict=True))
+        walk, ends, base, n = self.walk, self.ends, self.base, len(symbols)
+        out, p = [], 0
+        while p < n:
+            node, at, best, best_at = 0, p, -1, p
+            while at < n and (node := walk.get(node * base + symbols[at], -1)) >= 0:
+                at += 1
+                if (token := ends[node]) >= 0:
+                    best, best_at = token, at
+            out.append(best)
+            p = best_at
+        return out
+
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each pair of tokens, whether BPE of their joined symbols gives back the two.
 
@@ -307,19 +349,27 @@ class Codec:
         short = np.flatnonzero(~long)
         word, token = self.proposed(symbols, starts[short], stops[short]) if len(short) else (np.zeros(0, np.int64),) * 2
         word = short[word]
+        if long.any():
+            words, tokens = [word], [token]
+            for n in np.flatnonzero(long).tolist():
+                tokens.append(np.array(self.proposed_one(symbols[starts[n] : stops[n]].tolist()), np.int64))
+                words.append(np.full(len(tokens[-1]), n))
+            word, token = np.concatenate(words), np.concatenate(tokens)
+            order = np.argsort(word, kind="stable")
+            word, token = word[order], token[order]
         fails = ~self.safe[token] | (not self.unique)
         seam = np.flatnonzero(word[1:] == word[:-1])
         fails[seam] |= ~self.compatible(token[seam], token[seam + 1])
         failing = np.zeros(len(starts), bool)
         failing[word[fails]] = True
         words, tokens = [word[~failing[word]]], [token[~failing[word]]]
-        if len(again := np.flatnonzero(failing)):
+        if len(again := np.flatnonzero(failing & ~long)):
             sizes = stops[again] - starts[again]
             at = np.arange(sizes.sum()) + np.repeat(starts[again] - np.cumsum(sizes) + sizes, sizes)
             word, token = self.merged_all(symbols[at], np.repeat(again, sizes))
             words.append(word)
             tokens.append(token)
-        for n in np.flatnonzero(long).tolist():
+        for n in np.flatnonzero(failing & long).tolist():
             one = self.merged(symbols[starts[n] : stops[n]].tolist())
             words.append(np.full(len(one), n))
             tokens.append(np.array(one, np.int64))
@@ -348,6 +398,7 @@ class Encoder:
         self.codec = codec
         self.library = None
         self.special = re.compile("|".join(map(re.escape, sorted(codec.specials, key=len, reverse=True)))) if codec.specials else None
+        self.begins = {t[0] for t in codec.specials}
 
     def words(self, text: str) -> list[bytes]:
         """The words of a text that the byte classes don't fit."""
@@ -375,7 +426,7 @@ class Encoder:
         out: list[np.ndarray] = [np.zeros(0, "<u4")] * len(texts)
         usual, odd, odd_words = [], [], []
         for n, t in enumerate(texts):
-            if self.special and "<" in t and self.special.search(t):
+            if any(c in t for c in self.begins) and self.special.search(t):
                 out[n] = self.with_specials(t)
             elif t.isascii() and PLAIN.fullmatch(t) or PLAIN.fullmatch(t) and not SIGNS.search(t):
                 usual.append(n)

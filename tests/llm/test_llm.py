@@ -98,6 +98,36 @@ def test_bpe_random_texts():
         assert [g.tolist() for g in got] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_bpe_long_words_and_other_files():
+    """Words of any length take the one path, special tokens need no sign of their own, unknown files are errors."""
+    import json
+
+    from tessera.llm.bpe import Codec, Encoder
+
+    with open(Q.tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    codec = Codec(json.dumps(spec))
+    t = tokenizer("byte_bpe_50k.json")
+    rnd = random.Random(3)
+    texts = ["the" * 200, "".join(rnd.choice("etaoinsh") for _ in range(5000)), "interest" * 90 + "'s", "=" * 3000, "ab" + "é" * 400]
+    called, exact = [], codec.merged
+    codec.merged = lambda word: called.append(1) or exact(word)
+    assert [g.tolist() for g in Encoder(codec).encode(texts)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert len(called) < len(texts)  # some proposals of long words were right
+    for text in texts:
+        symbols = list(text.encode())
+        assert codec.proposed_one(symbols) == codec.proposed(np.array(symbols), np.array([0]), np.array([len(symbols)]))[1].tolist()
+    from tokenizers import Tokenizer
+
+    spec["added_tokens"].append(spec["added_tokens"][0] | {"id": 50257, "content": "[STOP]"})
+    own = Tokenizer.from_str(json.dumps(spec))
+    text = ["a [STOP] b<|endoftext|>[STOP"]
+    assert Encoder(Codec(json.dumps(spec))).encode(text)[0].tolist() == own.encode(text[0], add_special_tokens=False).ids
+    for change in ({"pre_tokenizer": {"type": "Whitespace"}}, {"normalizer": {"type": "NFC"}}, {"model": spec["model"] | {"byte_fallback": True}}):
+        with pytest.raises(ValueError):
+            Codec(json.dumps(spec | change))
+
+
 def test_bpe_round_trip(spark, edge):
     from tessera.llm.bpe import bpe_decode, bpe_encode
 
@@ -260,6 +290,58 @@ def test_language(spark, edge):
     assert len(got) == len(EDGE) + 1
 
 
+def test_language_gradients():
+    """Backpropagation through time against differences of the loss, with masked positions."""
+    from tessera.llm.language import Direction
+
+    rng = np.random.default_rng(3)
+    d = Direction(rng, 5)
+    x = rng.integers(97, 101, (12, 7))
+    mask = (np.arange(12)[:, None] < np.array([12, 5, 1, 12, 9, 12, 3])).astype(np.float32)
+    weight = rng.normal(size=(12, 7, 5)).astype(np.float32) * mask[:, :, None]
+    loss = lambda: float((d.run(x, mask, 7).astype(np.float64) * weight).sum())
+    _, kept = d.run(x, mask, 7, keep=True)
+    for param, grad in zip((d.inputs, d.state), d.back(x, kept, weight), strict=True):
+        some = np.argsort(-np.abs(grad).ravel())[: 30 : 2]
+        for at in (np.unravel_index(n, param.shape) for n in some):
+            was = param[at]
+            param[at] = was + 0.003
+            above = loss()
+            param[at] = was - 0.003
+            below = loss()
+            param[at] = was
+            assert abs((above - below) / 0.006 - grad[at]) < 0.02 * abs(grad[at]) + 0.003
+
+
+def test_language_plain_forward_pass():
+    """Pooled probabilities against one position at a time."""
+    from tessera.llm.language import STEPS, Network
+
+    net = Network(["a", "b", "c"], seed=8)
+    texts = [b"", b"x", "zwölf Boxkämpfer jagen Viktor quer über den großen Deich".encode() * 5, bytes(range(256)), b"q" * STEPS]
+
+    def states(d, block):
+        h, out = np.zeros(d.state.shape[1]), []
+        for byte in block:
+            f = np.clip((d.inputs[0][byte] + h @ d.state[0]) / 4 + 0.5, 0, 1)
+            h = h + f * (np.tanh(d.inputs[1][byte] + h @ d.state[1]) - h)
+            out.append(h)
+        return out
+
+    want = []
+    for t in texts:
+        p = []
+        for at in range(0, len(t), STEPS):
+            block = t[at : at + STEPS]
+            for one, two in zip(states(net.forth, block), states(net.back, block[::-1])[::-1], strict=True):
+                z = np.exp(np.r_[one, two] @ net.out + net.bias)
+                p.append(z / z.sum())
+        want.append(np.mean(p, axis=0) if p else np.zeros(3))
+    offsets = np.r_[0, np.cumsum([len(t) for t in texts])]
+    got = net.pooled(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    assert np.abs(got - np.array(want)).max() < 1e-5
+
+
 def test_language_held_out_accuracy(spark):
     d = "/root/testdata/sf0.01"
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
@@ -319,6 +401,26 @@ def test_quality(spark, edge):
     assert len(got) == len(EDGE) + 1 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got.values())
 
 
+def test_quality_plain_vote():
+    """Blocked products and partial sorts against a vote that looks at every labelled vector in turn."""
+    from tessera.llm.quality import NEIGHBOURS, POWER, Model
+
+    rng = np.random.default_rng(4)
+    x = (rng.random((300, 40)) < 0.3) * rng.random((300, 40))
+    y = (x[:, 0] + 0.3 * rng.random(300) > 0.3).astype(int)
+    m = Model(x.astype(np.float32), y, rank=8)
+    some = x[:70].astype(np.float32) * 1.3
+    some[5] = 0
+    for row, got in zip(some, m.scores(some, block=16), strict=True):
+        if not row.any():
+            assert got == m.mean
+            continue
+        z = (row * m.idf / np.linalg.norm(row * m.idf)) @ m.basis
+        near = sorted(((float(v @ z / np.linalg.norm(z)), int(label)) for v, label in zip(m.vectors.T, m.labels, strict=True)), reverse=True)[:NEIGHBOURS]
+        weight = [max(c, 0) ** POWER + 1e-6 for c, _ in near]
+        assert abs(got - sum(w * label for w, (_, label) in zip(weight, near, strict=True)) / sum(weight)) < 1e-4
+
+
 def test_quality_held_out(spark):
     d = "/root/testdata/sf0.01"
     label = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
