@@ -2,20 +2,26 @@
 
 A tokenizer and a tree builder with implied end tags make a tree of the page; a renderer walks it and writes all visible
 text: blocks on lines of their own with blank lines where browsers have margins, list items with bullets or numbers and
-indented by depth, preformatted text as it is, and table cells aligned in columns. Neither recurses, so depth is no
-limit.
+indented by depth, preformatted text as it is, and table cells aligned in columns, also where they span several columns
+or rows. Neither recurses, so depth is no limit, and both take time in proportion to the page: a quote that never closes
+makes the rest of the page be read without quotes, the open elements of each tag are looked up and not searched for,
+indentation ends at INDENT levels, and tables within TABLES others are laid out as blocks.
 
-Not visible: comments, head, scripts, styles, templates, and elements with `hidden`, `display: none` or
-`visibility: hidden` in their style, hidden inputs and closed dialogs. There is no script engine, so noscript shows.
+Not visible: comments, head, scripts, styles, templates, what browsers with media support leave out (the content of
+video, audio, canvas, object and iframe), definitions and annotations of SVG and MathML, and elements with `hidden`,
+`display: none` or `visibility: hidden` in their style, hidden inputs and closed dialogs. There is no script engine, so
+noscript shows.
 
 Defined results: null and empty pages give the empty text; an empty table gives an empty result; repeated rows each
-have a row; other columns are ignored.
+have a row; other columns are ignored. A page is worked on whole, in some hundred times its bytes if it is all tags.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,16 +30,23 @@ from pyspark.sql import functions as F
 
 from .common import in_arrow, slices
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+#: Comments, character data, declarations, end tags and text; opening tags have a pattern of their own.
+OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)|[^<]++|<", re.DOTALL)
+QUOTED = re.compile(r"<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+UNQUOTED = re.compile(r"<([a-zA-Z][^\s/>]*+)([^>]*+)>")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?")
+HIDING = re.compile(r"display\s*+:\s*+none|visibility\s*+:\s*+(?:hidden|collapse)", re.IGNORECASE)
+NUMBER = re.compile(r"\s*+(\d{1,5})")
+
+#: Levels of lists and quotations that are indented, tables in tables that are aligned, columns a cell can span.
+INDENT, TABLES, COLUMNS = 40, 16, 1000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style iframe noembed noframes xmp".split())
 RAW_WITH_ENTITIES = frozenset("title textarea".split())
-UNSEEN = frozenset("head script style template title iframe noembed noframes datalist audio video canvas object svg math map colgroup".split())
+UNSEEN = frozenset("head script style template title iframe noembed noframes datalist audio video canvas object colgroup defs desc metadata annotation annotation-xml".split())
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure fieldset hr".split())
-BLOCK = MARGIN | frozenset("address article aside body center details dialog dd div dt fieldset figcaption footer form header html legend li main menu nav option section summary tr thead tbody tfoot caption".split())
+BLOCK = MARGIN | frozenset("address article aside body center details dialog dd div dt fieldset figcaption footer form header html legend li main menu nav option section summary tr thead tbody tfoot caption text".split())
 #: What an opening tag closes, and the ancestors beyond which it does not look.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -50,92 +63,116 @@ CLOSES = {
     "body": ({"head"}, set()),
 }
 #: Opening these closes an open paragraph.
-ENDS_P = BLOCK - {"body", "html", "option", "tr", "thead", "tbody", "tfoot", "caption", "dt", "dd", "li"} | {"li", "dt", "dd"}
+ENDS_P = BLOCK - {"body", "html", "option", "text", "tr", "thead", "tbody", "tfoot", "caption", "dt", "dd", "li"} | {"li", "dt", "dd"}
 #: An end tag does not reach beyond these, unless it names one.
 FENCES = frozenset({"table", "td", "th", "caption", "template", "html"})
 
 
+#: End tags of these reach beyond a fence of another cell's content.
+ROWS = frozenset({"tr", "tbody", "thead", "tfoot"})
+
+
 class Element:
-    __slots__ = ("tag", "children", "hidden", "start")
+    __slots__ = ("tag", "children", "hidden", "start", "across", "down")
 
     def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.children, self.hidden, self.start = tag, [], tag in UNSEEN, 1
+        self.tag, self.children, self.hidden, self.start, self.across, self.down = tag, [], tag in UNSEEN, 1, 1, 1
         if attributes.strip():
             a = {k.lower(): html.unescape(v[1:-1] if v[:1] in "\"'" else v) for k, v in reversed(ATTRIBUTE.findall(attributes))}
             self.hidden |= "hidden" in a or bool(HIDING.search(a.get("style", ""))) or tag == "input" and a.get("type", "").lower() == "hidden" or tag == "dialog" and "open" not in a
             if tag == "ol" and re.fullmatch(r"-?\d{1,9}", a.get("start", "")):
                 self.start = int(a["start"])
+            elif tag in ("td", "th"):
+                if m := NUMBER.match(a.get("colspan", "")):
+                    self.across = min(max(1, int(m[1])), COLUMNS)
+                if m := NUMBER.match(a.get("rowspan", "")):
+                    self.down = int(m[1]) or 1 << 16  # zero: all rows that follow
         elif tag == "dialog":
             self.hidden = True
 
 
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name or text, attributes) in order, kind one of open, close, text, and raw for what is no markup."""
+    at, last, quotes = 0, page.rfind(">"), True
+    while at < len(page):
+        if page[at] == "<" and page[at + 1 : at + 2].isalpha() and page[at + 1].isascii():
+            m = None
+            if at < last:
+                m = QUOTED.match(page, at) if quotes else None
+                if m is None:
+                    quotes, m = False, UNQUOTED.match(page, at)
+            if m is None:  # no tag ends from here on
+                yield "text", "<", ""
+                at += 1
+                continue
+            at = m.end()
+            tag = m[1].lower()
+            yield "open", tag, m[2]
+            if tag in RAW or tag in RAW_WITH_ENTITIES:
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*+(?:>|\Z)", re.IGNORECASE).search(page, at)
+                content = page[at : end.start() if end else len(page)]
+                yield "raw", html.unescape(content) if tag in RAW_WITH_ENTITIES else content, ""
+                at = end.end() if end else len(page)
+            continue
+        m = OTHER.match(page, at)
+        at = m.end()
+        if m[1]:
+            yield "close", m[1].lower(), ""
+        elif m[0].startswith("<![CDATA["):
+            yield "text", m[0][9:].removesuffix("]]>"), ""
+        elif m[0][:2] not in ("<!", "<?") or m[0] == "<":
+            yield "text", html.unescape(m[0]), ""
+
+
 def build(page: str) -> Element:
     """The tree of a page; missing end tags are implied, stray ones ignored."""
     root = Element("html")
-    stack, open_tags = [root], {"html": 1}
+    stack = [root]
+    depths: dict[str, list[int]] = defaultdict(list, html=[0])  # where the open elements of each tag are in the stack
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
-            open_tags[stack.pop().tag] -= 1
+            depths[stack.pop().tag].pop()
+
+    def deepest(tags) -> int:
+        return max((d[-1] for t in tags if (d := depths.get(t))), default=0)
 
     def close(tags: set[str] | frozenset[str], stop: set[str] | frozenset[str]) -> None:
         """Close up to the outermost open element of tags that no element of stop encloses more closely."""
-        if not any(open_tags.get(t) for t in tags):
-            return
-        found = 0
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = stack[depth].tag
-            if tag in stop:
-                break
-            if tag in tags:
-                found = depth
+        fence = deepest(stop)
+        found = [d[at] for t in tags if (d := depths.get(t)) and (at := bisect_right(d, fence)) < len(d)]
         if found:
-            pop_to(found)
+            pop_to(min(found))
 
-    at = 0
-    while at < len(page):
-        m = TOKEN.match(page, at)
-        at = m.end()
-        if m[2]:
-            tag = m[2].lower()
-            if tag in ("html", "body") and open_tags.get(tag):
+    for kind, name, attributes in tokens(page):
+        if kind == "open":
+            if name in ("html", "body") and depths.get(name):
                 continue
-            if tag in CLOSES:
-                close(*CLOSES[tag])
-            if tag in BLOCK and tag in ENDS_P and open_tags.get("p"):
+            if name in CLOSES:
+                close(*CLOSES[name])
+            if name in BLOCK and name in ENDS_P and depths.get("p"):
                 close({"p"}, FENCES | {"button"})
-            if open_tags.get("head") and tag not in ("title", "meta", "link", "base", "script", "style", "noscript", "template", "head"):
+            if depths.get("head") and name not in ("title", "meta", "link", "base", "script", "style", "noscript", "template", "head"):
                 if stack[-1].tag == "head":
                     pop_to(len(stack) - 1)
-            node = Element(tag, m[3])
+            node = Element(name, attributes)
             stack[-1].children.append(node)
-            if tag in VOID or (m[3].endswith("/") and tag in ("svg", "path", "use", "circle", "rect")):
-                continue
-            if tag in RAW or tag in RAW_WITH_ENTITIES:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-                content = page[at : end.start() if end else len(page)]
-                node.children.append(html.unescape(content) if tag in RAW_WITH_ENTITIES else content)
-                at = end.end() if end else len(page)
+            if name in VOID or name in RAW or name in RAW_WITH_ENTITIES or attributes.endswith("/") and depths.get("svg") or attributes.endswith("/") and name == "svg":
                 continue
+            depths[name].append(len(stack))
             stack.append(node)
-            open_tags[tag] = open_tags.get(tag, 0) + 1
-        elif m[1]:
-            tag = m[1].lower()
-            if tag == "p" and not open_tags.get("p"):
-                stack[-1].children.append(Element("p"))
-            elif tag == "br":
-                stack[-1].children.append(Element("br"))
-            elif open_tags.get(tag) and tag not in ("html", "body"):
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth].tag == tag:
-                        pop_to(depth)
-                        break
-                    if stack[depth].tag in FENCES and tag not in FENCES and tag not in ("tr", "tbody", "thead", "tfoot"):
-                        break
-        elif m[0][:2] not in ("<!", "<?") or m[0] == "<":
-            stack[-1].children.append(html.unescape(m[0]))
-        elif m[0].startswith("<![CDATA["):
-            stack[-1].children.append(m[0][9:].removesuffix("]]>"))
+        elif kind == "raw":
+            stack[-1].children[-1].children.append(name)
+        elif kind == "text":
+            stack[-1].children.append(name)
+        elif name == "p" and not depths.get("p"):
+            stack[-1].children.append(Element("p"))
+        elif name == "br":
+            stack[-1].children.append(Element("br"))
+        elif depths.get(name) and name not in ("html", "body"):
+            depth = depths[name][-1]
+            if name in FENCES or name in ROWS or deepest(FENCES) <= depth:
+                pop_to(depth)
     return root
 
 
@@ -171,7 +208,7 @@ class Lines:
         if self.blank and self.done:
             self.done.append("")
         self.blank = False
-        pad = "  " * self.indent
+        pad = "  " * min(self.indent, INDENT)
         if self.marker:
             pad = pad[: max(0, len(pad) - len(self.marker))] + self.marker
             self.marker = ""
@@ -200,21 +237,61 @@ class Lines:
 
 
 class Table:
+    """Cells at their columns: a cell takes the next column that none from a row above reaches into."""
+
     def __init__(self) -> None:
-        self.rows: list[list[list[str]]] = []
+        self.rows: list[list[tuple[int, int, list[str]]]] = []
+        self.reach: dict[int, int] = {}  # column to the row up to which a cell from above takes it
+
+    def row(self) -> None:
+        self.rows.append([])
+
+    def cell(self, lines: list[str], across: int, down: int) -> None:
+        if not self.rows:
+            self.row()
+        row, at = self.rows[-1], len(self.rows) - 1
+        column = row[-1][0] + row[-1][1] if row else 0
+        while self.reach.get(column, 0) > at:
+            column += 1
+        if down > 1:
+            for k in range(column, column + across):
+                self.reach[k] = at + down
+        row.append((column, across, lines))
 
     def lines(self) -> Iterator[str]:
-        rows = [r for r in self.rows if any(any(c) for c in r)]
-        widths = [max((len(line) for r in rows if len(r) > k for line in r[k]), default=0) for k in range(max(map(len, rows), default=0))]
+        rows = [r for r in self.rows if any(any(lines) for _, _, lines in r)]
+        width: dict[int, int] = {}
+        wide = []
+        for r in rows:
+            for column, across, lines in r:
+                most = max(map(len, lines), default=0)
+                if across == 1:
+                    width[column] = max(width.get(column, 0), most)
+                else:
+                    wide.append((column, across, most))
+        columns = sorted(width.keys() | {c for c, _, _ in wide})
+        for column, across, most in wide:  # what a wide cell needs more goes to its last column
+            inside = [c for c in columns if column <= c < column + across] if len(columns) <= COLUMNS else [column]
+            lacking = most - sum(width.get(c, 0) + 2 for c in inside) + 2
+            if lacking > 0:
+                width[inside[-1]] = width.get(inside[-1], 0) + lacking
+        begin, at = {}, 0
+        for c in columns:
+            begin[c] = at
+            at += width.get(c, 0) + 2
         for r in rows:
-            for n in range(max(map(len, r))):
-                yield "  ".join((c[n] if n < len(c) else "").ljust(w) for c, w in zip(r, widths, strict=False)).rstrip()
+            for n in range(max(len(lines) for _, _, lines in r)):
+                line = ""
+                for column, _, lines in r:
+                    if n < len(lines) and lines[n]:
+                        line = line.ljust(begin[column]) + lines[n]
+                yield line
 
 
 def render(root: Element) -> str:
     outs, tables, lists = [Lines()], [], []
     todo: list[tuple] = [(root, False)]
-    pre = 0
+    pre = depth = 0
     while todo:
         node, closing = todo.pop()
         out = outs[-1]
@@ -233,13 +310,16 @@ def render(root: Element) -> str:
                 continue
             if tag == "table":
                 out.margin()
-                tables.append(Table())
-            elif tag == "tr" and tables:
-                tables[-1].rows.append([])
+                depth += 1
+                if depth <= TABLES:
+                    tables.append(Table())
+            elif tag == "tr" and tables and depth <= TABLES:
+                tables[-1].row()
             elif tag in ("td", "th") and tables:
-                if not tables[-1].rows:
-                    tables[-1].rows.append([])
-                outs.append(Lines())
+                if depth <= TABLES:
+                    outs.append(Lines())
+                else:
+                    out.flush()
             elif tag == "caption" and tables:
                 out.flush()
             elif tag in ("ul", "ol", "menu"):
@@ -274,13 +354,18 @@ def render(root: Element) -> str:
             continue
         if tag == "table":
             out.flush()
-            for line in tables.pop().lines():
-                out.put(line)
+            if depth <= TABLES:
+                for line in tables.pop().lines():
+                    out.put(line)
+            depth -= 1
             out.margin()
         elif tag in ("td", "th") and tables:
-            cell = outs.pop()
-            cell.flush()
-            tables[-1].rows[-1].append(cell.done)
+            if depth <= TABLES:
+                cell = outs.pop()
+                cell.flush()
+                tables[-1].cell(cell.done, node.across, node.down)
+            else:
+                out.flush()
         elif tag in ("ul", "ol", "menu"):
             out.flush()
             lists.pop()

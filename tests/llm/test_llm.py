@@ -572,6 +572,64 @@ def test_html():
     assert text_of("<pre>\n a\n  b\n</pre>x") == " a\n  b\n\nx".strip("\n")
     assert text_of("<div>" * 20_000 + "deep" + "</p>") == "deep"
     assert text_of("a < b <i>c</i") == "a < b c"
+    assert text_of("<table><tr><th colspan=2>head<th>z<tr><td>a<td>bb<td>c<tr><td rowspan=2>d<td>e<tr><td>f<td>g</table>") == "head   z\na  bb  c\nd  e\n   f   g"
+    assert text_of("<table><tr><td>a<td>b<tr><td colspan=2>a long heading<tr><td colspan=0>x<td rowspan=0>y<td>z</table>") == "a  b\na long heading\nx  y            z"
+    assert text_of("<p>x<svg><title>t</title><defs><text>no</text></defs><path/><text>label</text></svg><math><mi>a</mi><mo>=</mo><annotation>tex</annotation></math><map>m</map>") == "x\nlabel\na=m"
+    assert text_of("<a title='open>shown <b>on</b> 'x'>y") == "shown on 'x'>y"
+    assert text_of("<a <b <c") == "<a <b <c"
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a title='", "<a \"'>", "<li><span>", "<table><tr><td>", "<ul><li>x", "</b><b>", "<p><i>", "<!-- ", "<![CDATA[", "<script", "<td colspan=1000 rowspan=0>", "<blockquote>q", "&amp", "</", "<x =  "])
+def test_html_hostile_pages(piece):
+    """A megabyte of unclosed markup takes seconds."""
+    import time
+
+    from tessera.llm.html_text import text_of
+
+    start = time.process_time()
+    text_of("<ul><li>" + "<b>" * 1000 + piece * (1_000_000 // len(piece)))
+    assert time.process_time() - start < 20
+
+
+def test_html_shows_what_a_plain_parser_shows(spark, sf_dir):
+    """The words of all pages against the standard parser's text outside of hidden elements."""
+    from html.parser import HTMLParser
+
+    from tessera.llm.html_text import UNSEEN, text_of
+
+    class Visible(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.hidden, self.out = [], []
+
+        def handle_starttag(self, tag, attrs):
+            a = dict(attrs)
+            style = (a.get("style") or "").replace(" ", "")
+            if tag in ("br", "img", "meta", "link", "hr", "input", "p", "li", "td", "tr"):
+                self.out.append(" ")
+            elif self.hidden or tag in UNSEEN or "hidden" in a or "display:none" in style or "visibility:hidden" in style:
+                self.hidden.append(tag)
+            else:
+                self.out.append("" if tag in ("a", "b", "i", "em", "strong", "span", "code") else " ")
+
+        def handle_endtag(self, tag):
+            if tag in self.hidden:
+                while self.hidden.pop() != tag:
+                    pass
+            elif tag not in ("a", "b", "i", "em", "strong", "span", "code"):
+                self.out.append(" ")
+
+        def handle_data(self, data):
+            if not self.hidden:
+                self.out.append(data)
+
+    bullet = {"*", *(f"{n}." for n in range(200))}
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        v = Visible()
+        v.feed(r.html)
+        v.close()
+        plain = [w for w in "".join(v.out).split() if w not in bullet]
+        assert sorted(w for w in text_of(r.html).split() if w not in bullet) == sorted(plain)
 
 
 def test_html_query(spark, sf_dir):
