@@ -1,22 +1,27 @@
 """Embedding near-dedup by spherical-cap filters.
 
-Directions are products of random codes: a vector, turned by a fixed random rotation, is cut into BLOCKS parts, each
-with CODES random unit directions of its own, and a filter is one choice of a direction in every part. List decoding
-finds all filters whose direction exceeds the threshold, extending partial choices best first and dropping those that
-cannot reach it any more. A vector also keeps its LEAST best filters, so that none is without any. Vectors of one label
-meet in their common filters, and each pair there is verified by its cosine in double precision.
+Directions are products of random codes: a vector, turned by a fixed random rotation, is cut into parts, each with
+random unit directions (codes) of its own, and a filter is one choice of a direction in every part. List decoding finds
+all filters whose direction exceeds the threshold, extending partial choices best first and dropping those that cannot
+reach it any more. A vector also keeps its LEAST best filters, so that none is without any. Vectors of one label meet in
+their common filters, and each pair there is verified by its cosine in double precision.
 
-A pair counts in the least filter that the two share, so links are counted without listing them; of the links in a
-filter only a spanning star of each component goes on. Filters with more than `piece` vectors are dealt out as pairs of
-pieces. Equal vectors of one label are one node with a multiplicity.
+What goes through the first exchanges is (label, filter, id) alone; filters with one vector end there, and only then
+does a vector travel, to the filters that it shares. A pair counts in the least filter that the two share, so links are
+counted without listing them; of the links in a filter only a spanning star of each component goes on. Filters with more
+than `piece` vectors are dealt out as pairs of pieces. Equal vectors of one label are one node with a multiplicity.
+
+Parts and codes follow from the largest label, so that the number of filters grows with its vectors and a filter meets
+about as many unrelated ones at every size; see `settings`.
 
 The filters are probabilistic, so TABLES independent rotations and sets of codes are used, and short vectors get fewer
-codes, whose caps are wider. Of random pairs at a cosine of 0.93 none of 20,000 in 64 dimensions and none of 6,000 in
-each of 32, 16, 8, 4, 3 and 2 failed to meet (one table: 23 of 20,000 in 64). No pair below the threshold links.
+codes, whose caps are wider. tests/llm measures the share of pairs at the threshold that meet, at each of the settings.
+No pair below the threshold links.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and vectors without a label,
-link with nothing; vectors of different lengths don't link; a repeated row is another vector at cosine 1; vectors that
-share a vec_id share their links; an empty table gives an empty result; other columns are ignored.
+link with nothing; vectors of different lengths don't link; a repeated row is another vector at cosine 1, and each of its
+copies is kept if their vec_id is the component's; vectors that share a vec_id share their links; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,25 +31,31 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, in_arrow, local_labels, runs, scratch
+from .common import components, discard, flat, in_arrow, local_labels, runs, scratch
 from .simhash import pairs_of
 
 THRESHOLD = 0.93
-BLOCKS = 2
-CODES = 512
-#: Filters of a random vector, on the average; this sets the cap's threshold.
-MEAN_FILTERS = 40
-LEAST = 24
 #: Independent rotations; a pair is lost only if it shares no filter in any of them.
-TABLES = 2
+TABLES = 4
+LEAST = 12
 PIECE = 256
 
 
+def settings(n: int) -> tuple[int, int, int]:
+    """Parts, codes a part, and filters a table of a random vector on the average (which sets the cap's threshold), for
+    labels of up to n vectors: at least 64 filters a vector, up to a billion vectors in a label."""
+    for blocks, codes, mean in ((2, 512, 10), (2, 1024, 12), (2, 2048, 12), (2, 4096, 12), (2, 8192, 14), (2, 16384, 16), (3, 2048, 100)):
+        if n * 64 <= codes**blocks:
+            return blocks, codes, mean
+    return 3, 4096, 160
+
+
 class Filters:
-    def __init__(self, dim: int, blocks: int = BLOCKS, codes: int = CODES, mean: int = MEAN_FILTERS, seed: int = 3):
+    def __init__(self, dim: int, blocks: int, codes: int, mean: int, seed: int = 3):
         rng = np.random.default_rng((seed, dim))
         self.blocks, self.codes, self.dim = blocks, codes, dim
         self.width = -(-dim // blocks)
@@ -53,11 +64,10 @@ class Filters:
         self.code /= np.linalg.norm(self.code, axis=2, keepdims=True) * np.sqrt(blocks)
         probe = rng.normal(size=(64, dim))
         dots = self.dots(probe / np.linalg.norm(probe, axis=1, keepdims=True))
-        total = dots[0]
-        for d in dots[1:]:
-            total = (total[:, :, None] + d[:, None, :]).reshape(len(total), -1)
-            if total.shape[1] > 1 << 18:  # only the best can matter
-                total = -np.partition(-total, 1 << 16, axis=1)[:, : 1 << 16]
+        total = np.zeros((len(probe), 1))
+        for d in dots:  # only the best can matter
+            total = (total[:, :, None] + best(d, 256)[:, None, :]).reshape(len(probe), -1)
+            total = best(total, 1 << 12)
         total = total.ravel()
         k = min(mean * len(probe), len(total)) - 1
         self.threshold = -np.partition(-total, k)[k]
@@ -68,32 +78,39 @@ class Filters:
         return [turned[:, b * self.width : (b + 1) * self.width] @ self.code[b].T for b in range(self.blocks)]
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
-        """The filters of each unit vector, ascending."""
+        """The filters of each unit vector."""
         dots = self.dots(unit)
-        best = np.zeros((len(unit), 1))
+        top = np.zeros((len(unit), 1))
         for d in dots:
-            k = min(LEAST, d.shape[1])
-            best = (best[:, :, None] + -np.partition(-d, k - 1, axis=1)[:, None, :k]).reshape(len(unit), -1)
-            k = min(LEAST, best.shape[1])
-            best = -np.partition(-best, k - 1, axis=1)[:, :k]
-        need = np.minimum(self.threshold, best.min(axis=1)) - 1e-12
-        order = [np.argsort(-d, axis=1) for d in dots]
-        dots = [np.take_along_axis(d, o, axis=1) for d, o in zip(dots, order, strict=True)]
-        rest = np.zeros((len(dots) + 1, len(unit)))  # what the parts still to come can add at most
-        for b in range(len(dots) - 1, -1, -1):
-            rest[b] = rest[b + 1] + dots[b][:, 0]
+            top = best((top[:, :, None] + best(d, LEAST)[:, None, :]).reshape(len(unit), -1), LEAST)
+        need = np.minimum(self.threshold, top.min(axis=1)) - 1e-12
+        most = np.stack([d.max(axis=1) for d in dots])
+        rest = most.sum(axis=0) - most - need  # what the other parts can add at most beyond the need
+        parts = []
+        for d, r in zip(dots, rest, strict=True):  # codes that can be part of a filter, best first
+            vector, code = np.nonzero(d >= -r[:, None])
+            score = d[vector, code]
+            order = np.lexsort((-score, vector))
+            parts.append((score[order], code[order], np.searchsorted(vector, np.arange(len(unit) + 1)).tolist()))
+        to_come = np.vstack([most[::-1].cumsum(axis=0)[::-1], np.zeros(len(unit))])
         out = []
         for n in range(len(unit)):
             score, name = np.zeros(1), np.zeros(1, np.int64)
-            for b, (d, o) in enumerate(zip(dots, order, strict=True)):
-                count = np.searchsorted(-d[n], score + rest[b + 1, n] - need[n], side="right")
+            for b, (scores, codes, cut) in enumerate(parts):
+                d, c = scores[cut[n] : cut[n + 1]], codes[cut[n] : cut[n + 1]]
+                count = np.searchsorted(-d, score + to_come[b + 1, n] - need[n], side="right")
                 which = np.repeat(np.arange(len(score)), count)
-                place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                score, name = score[which] + d[n][place], name[which] * self.codes + o[n][place]
-            out.append(np.sort(name))
+                place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+                score, name = score[which] + d[place], name[which] * self.codes + c[place]
+            out.append(name)
         return out
 
 
+def best(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k best of each row, in no order."""
+    return scores if scores.shape[1] <= k else -np.partition(-scores, k - 1, axis=1)[:, :k]
+
+
 class Tables:
     """Filters of several rotations, numbered on from one to the next."""
 
@@ -112,154 +129,198 @@ def filters(dim: int, blocks: int, codes: int, mean: int) -> Tables:
     return Tables(dim, blocks, codes, mean)
 
 
-def prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """vec_id, label, and the components as little-endian doubles; null where the vector links with nothing."""
-    for b in batches:
-        raw = []
-        for v, label in zip(b.column("embedding").to_pylist(), b.column("label").to_pylist(), strict=True):
-            ok = v and label is not None and None not in v
-            x = np.asarray(v, "<f8") if ok else None
-            raw.append((x + 0.0).tobytes() if ok and np.isfinite(x).all() and 0 < (norm := np.linalg.norm(x)) < np.inf else None)
-        yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("label"), pa.array(raw, pa.binary())], ["vec_id", "label", "raw"])
+def prepared(single: bool):
+    """vec_id, label, and the components as little-endian floats; null where the vector links with nothing."""
+    kind = "<f4" if single else "<f8"
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists, label = b.column("embedding"), b.column("label").is_valid().to_pylist()
+            values = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), kind) + np.zeros(1, kind)  # null is NaN; -0 is 0
+            stops = np.cumsum(lists.value_lengths().fill_null(0).to_numpy())
+            raw: list[bytes | None] = []
+            for ok, a, z in zip(label, np.r_[0, stops[:-1]].tolist(), stops.tolist(), strict=True):
+                x = values[a:z]
+                norm = np.linalg.norm(x.astype(np.float64)) if ok and z > a else 0.0
+                raw.append(x.tobytes() if 0 < norm < np.inf else None)
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("label"), pa.array(raw, pa.binary())], ["vec_id", "label", "raw"])
 
-def unit_rows(raw: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
+    return run
+
+
+def unit_rows(raw: bytes, n: int, kind: str) -> np.ndarray:
+    x = np.frombuffer(raw, kind).astype(np.float64).reshape(n, -1)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def met(settings: tuple, light: bool):
-    """A row for each vector and filter, with the vector's lesser filters; light: the filter alone."""
+def met(how: tuple, kind: str):
+    """A row for each vector and filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(16, min(512, (1 << 20) // how[1]))
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                b = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, step):
+                b = batch.slice(at, step)
                 raw = b.column("raw").to_pylist()
                 for size in sorted({len(r) for r in raw}):
                     rows = [n for n, r in enumerate(raw) if len(r) == size]
-                    lists = filters(size // 8, *settings).decode(unit_rows([raw[n] for n in rows]))
+                    dim = size // np.dtype(kind).itemsize
+                    lists = filters(dim, *how).decode(unit_rows(b"".join([raw[n] for n in rows]), len(rows), kind))
                     count = np.array([len(x) for x in lists])
                     pick = pa.array(np.repeat(rows, count))
-                    cols = [b.column("label").take(pick), pa.array(np.full(count.sum(), size // 8, np.int32)), pa.array(np.concatenate(lists))]
-                    names = ["label", "dim", "filter"]
-                    if not light:
-                        less = [whole[: 8 * k] for x in lists for whole in (x.astype("<i8").tobytes(),) for k in range(len(x))]
-                        cols += [b.column("rep").take(pick), b.column("many").take(pick), b.column("raw").take(pick), pa.array(less, pa.binary())]
-                        names += ["rep", "many", "raw", "less"]
-                    yield pa.RecordBatch.from_arrays(cols, names)
+                    yield pa.RecordBatch.from_arrays([b.column("label").take(pick), pa.array(np.full(count.sum(), dim, np.int32)), pa.array(np.concatenate(lists)), b.column("rep").take(pick)], ["label", "dim", "filter", "rep"])
 
     return run
 
 
-def share_before(lists: list[np.ndarray], i: np.ndarray, j: np.ndarray, here: np.ndarray) -> np.ndarray:
-    """Whether the vectors of each pair i-j share a filter less than `here`."""
-    out = np.zeros(len(i), bool)
-    if not len(i):
+def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors with the filters that they share to a row for each filter and pair of pieces, with the lesser filters."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            b = batch.slice(at, 256)
+            rows, filt, bi, bj, own, less = [], [], [], [], [], []
+            for n, (raw, met_) in enumerate(zip(b.column("raw").to_pylist(), b.column("met").to_pylist(), strict=True)):
+                shared = sorted({(m["filter"], m["pieces"]) for m in met_})
+                names = np.array([f for f, _ in shared], "<i8").tobytes()
+                for k, (f, pieces) in enumerate(shared):
+                    mine = xxhash.xxh3_64_intdigest(raw) % pieces
+                    for other in range(pieces):
+                        rows.append(n)
+                        filt.append(f)
+                        bi.append(min(mine, other))
+                        bj.append(max(mine, other))
+                        own.append(mine)
+                        less.append(names[: 8 * k])
+            pick = pa.array(rows, pa.int64())
+            taken = [b.column(c).take(pick) for c in ("label", "dim", "rep", "many", "raw")]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(filt, pa.int64()), *[pa.array(x, pa.int32()) for x in (bi, bj, own)], pa.array(less, pa.binary())], ["label", "dim", "rep", "many", "raw", "filter", "bi", "bj", "own", "less"])
+
+
+class Lesser:
+    """For each row the filters of its vector that are less than the one where it is."""
+
+    def __init__(self, column: pa.Array):
+        data, offsets = flat(column)
+        self.names, self.cut = np.frombuffer(data.tobytes(), "<i8"), offsets // 8
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All names of these rows, one row after the other, and which row each is of."""
+        size = self.cut[rows + 1] - self.cut[rows]
+        at = np.arange(size.sum()) + np.repeat(self.cut[rows] - np.cumsum(size) + size, size)
+        return self.names[at], np.repeat(np.arange(len(rows)), size)
+
+    def shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the rows of each pair i-j have a filter in common."""
+        out = np.zeros(len(i), bool)
+        if not len(i):
+            return out
+        used, both = np.unique(np.r_[i, j], return_inverse=True)
+        i, j = both[: len(i)], both[len(i) :]
+        names, row = self.of(used)
+        size = np.bincount(row, minlength=len(used))
+        most = max(1, int(size.max()))
+        padded = np.full((len(used), most), -1, np.int64)
+        padded[row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] = names
+        step = max(1, (1 << 22) // (most * most))
+        for at in range(0, len(i), step):
+            a, b = padded[i[at : at + step]], padded[j[at : at + step]]
+            a = np.where(a >= 0, a, -2)
+            out[at : at + step] = (a[:, :, None] == b[:, None, :]).any(axis=(1, 2))
         return out
-    used = np.unique(np.r_[i, j])
-    most = max(1, *(len(lists[n]) for n in used))
-    padded = np.full((len(used), most), -1, np.int64)
-    for k, n in enumerate(used):
-        padded[k, : len(lists[n])] = lists[n]
-    i, j = np.searchsorted(used, i), np.searchsorted(used, j)
-    step = max(1, (1 << 22) // (most * most))
-    for at in range(0, len(i), step):
-        a, b, h = padded[i[at : at + step]], padded[j[at : at + step]], here[at : at + step, None]
-        a = np.where((a >= 0) & (a < h), a, -2)
-        out[at : at + step] = (a[:, :, None] == b[:, None, :]).any(axis=(1, 2))
-    return out
-
-
-def verified(threshold: float):
+
+
+def verified(threshold: float, kind: str):
     """Rows sorted by (label, dim, filter, bi, bj): for each linked vector its links here and its component's least."""
 
-    def large(unit, lists, own, here):
-        """Links of one group as pairs of indexes, by blocked products."""
-        n = len(unit)
-        names, inverse, count = np.unique(np.concatenate([x[x < here] for x in lists]), return_inverse=True, return_counts=True)
-        owner = np.repeat(np.arange(n), [(x < here).sum() for x in lists])
-        often = count[inverse] > 1
-        place = np.cumsum(count > 1) - 1
-        has = np.zeros((n, max(1, int((count > 1).sum()))), np.float32)
-        has[owner[often], place[inverse[often]]] = 1
+    def small(unit, lesser, starts, sizes, own):
+        """Links of many small groups, pair by pair."""
+        cut = np.cumsum(sizes * (sizes - 1) // 2) // (1 << 16)
+        for part in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(cut)) + 1):
+            i, j = pairs_of(starts[part], sizes[part])
+            across = (own[i] < 0) | (own[i] != own[j])
+            i, j = i[across], j[across]
+            near = np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold
+            i, j = i[near], j[near]
+            new = ~lesser.shared(i, j)
+            yield np.stack([i[new], j[new]])
+
+    def large(unit, lesser, start, n, own):
+        """Links of one group by blocked products; first the pairs go that share one of the commonest lesser filters."""
+        rows = np.arange(start, start + n)
+        names, owner = lesser.of(rows)
+        _, inverse, count = np.unique(names, return_inverse=True, return_counts=True)
+        common = np.argsort(-count)[:24]
+        has = np.zeros((len(common), n), bool)
+        for k, c in enumerate(common.tolist()):
+            has[k, owner[inverse == c]] = True
         for at in range(0, n, 256):
-            near = unit[at : at + 256] @ unit.T >= threshold
-            near &= has[at : at + 256] @ has.T == 0
-            near &= np.arange(at, min(n, at + 256))[:, None] < np.arange(n)
-            if own.any():
-                near &= own[at : at + 256, None] != own
-            yield np.stack(np.nonzero(near)) + np.array([[at], [0]])
+            new = np.arange(at, min(n, at + 256))[:, None] < np.arange(n)
+            if own[start] >= 0:
+                new &= own[rows[at : at + 256], None] != own[rows]
+            for h in has:
+                if not new.any():
+                    break
+                new &= ~(h[at : at + 256, None] & h)
+            if new.any():
+                new &= unit[rows[at : at + 256]] @ unit[rows].T >= threshold
+                i, j = np.nonzero(new)
+                i, j = rows[i + at], rows[j]
+                left = ~lesser.shared(i, j)
+                yield np.stack([i[left], j[left]])
+
+    def links(b: pa.RecordBatch, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        unit = unit_rows(b"".join(b.column("raw").to_pylist()), b.num_rows, kind)
+        lesser = Lesser(b.column("less"))
+        bi, own = b.column("bi").to_numpy(), b.column("own").to_numpy()
+        own = np.where(bi != b.column("bj").to_numpy(), own, -1)  # between two pieces only pairs across them
+        few = sizes <= 32
+        found = [np.zeros((2, 0), np.int64), *small(unit, lesser, starts[few], sizes[few], own)]
+        for a, m in zip(starts[~few].tolist(), sizes[~few].tolist(), strict=True):
+            found += large(unit, lesser, a, m, own)
+        return np.concatenate(found, axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["label", "dim", "filter", "bi", "bj"]
-        for b in runs(batches, keys):
-            cols = [b.column(c).to_numpy() for c in keys]
-            starts = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in cols], axis=0)])
-            sizes = np.diff(np.r_[starts, b.num_rows])
-            alone = np.repeat(sizes, sizes) == 1
-            if alone.all():
-                continue
-            b = b.filter(pa.array(~alone))
-            sizes = sizes[sizes > 1]
-            starts = np.cumsum(sizes) - sizes
-            rep, many, filt = (b.column(c).to_numpy() for c in ("rep", "many", "filter"))
-            cross = b.column("bi").to_numpy() != b.column("bj").to_numpy()
-            own = np.where(cross, 1 + (b.column("own").to_numpy() == b.column("bi").to_numpy()), 0)
-            raw = b.column("raw").to_pylist()
-            lists = [np.frombuffer(x, "<i8") for x in b.column("less").to_pylist()]
-            units: list = [None] * len(raw)
-            for size in {len(r) for r in raw}:
-                which = [n for n, r in enumerate(raw) if len(r) == size]
-                for n, u in zip(which, unit_rows([raw[n] for n in which]), strict=True):
-                    units[n] = u
-            found = []
-            small = sizes <= 32
-            cut = np.cumsum(sizes[small] * (sizes[small] - 1) // 2) // (1 << 15)
-            for part in np.split(np.flatnonzero(small), np.flatnonzero(np.diff(cut)) + 1) if small.any() else []:
-                i, j = pairs_of(starts[part], sizes[part])
-                near = (own[i] == 0) | (own[i] != own[j])
-                i, j = i[near], j[near]
-                for d in {len(units[n]) for n in starts[part]}:
-                    same = np.array([len(units[n]) == d for n in i], bool) if len({len(u) for u in units}) > 1 else np.ones(len(i), bool)
-                    x, y = i[same], j[same]
-                    if len(x):
-                        near = np.einsum("ij,ij->i", np.stack([units[n] for n in x]), np.stack([units[n] for n in y])) >= threshold
-                        x, y = x[near], y[near]
-                        near = ~share_before(lists, x, y, filt[x])
-                        found.append(np.stack([x[near], y[near]]))
-            for a, m in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
-                for pair in large(np.stack(units[a : a + m]), lists[a : a + m], own[a : a + m], filt[a]):
-                    found.append(pair + a)
-            links = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-            if not links.shape[1]:
-                continue
-            n = len(rep)
-            total = np.bincount(links[0], many[links[1]], n) + np.bincount(links[1], many[links[0]], n)
-            label = local_labels(n, links[0], links[1])
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(total[some].astype(np.int64)), pa.array(rep[label[some]])], ["u", "links", "v"])
+        for whole in runs(batches, keys):
+            for dim in np.unique(whole.column("dim").to_numpy()).tolist():
+                b = whole.filter(pa.array(whole.column("dim").to_numpy() == dim))
+                cols = [b.column(c).to_numpy() for c in keys]
+                starts = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in cols], axis=0)])
+                sizes = np.diff(np.r_[starts, b.num_rows])
+                i, j = links(b, starts, sizes)
+                if not len(i):
+                    continue
+                rep, many, n = b.column("rep").to_numpy(), b.column("many").to_numpy(), b.num_rows
+                total = np.bincount(i, many[j], n) + np.bincount(j, many[i], n)
+                label = local_labels(n, i, j)
+                some = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(total[some].astype(np.int64)), pa.array(rep[label[some]])], ["u", "links", "v"])
 
     return run
 
 
-def vector_near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, blocks: int = BLOCKS, codes: int = CODES, mean: int = MEAN_FILTERS, piece: int = PIECE) -> DataFrame:
-    """A row per vector (vec_id, embedding, label): vec_id, n_links, component_id, kept."""
-    rows = vectors.select(F.col("vec_id").cast("long"), "embedding", F.col("label").cast("long").alias("label"))
-    rows = scratch(rows.transform(in_arrow, prepared, "vec_id long, label long, raw binary"), "vectors")
+def vector_near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, how: tuple[int, int, int] | None = None, piece: int = PIECE) -> DataFrame:
+    """A row per vector (vec_id, embedding, label): vec_id, n_links, component_id, kept. how: see `settings`."""
+    single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    kind = "<f4" if single else "<f8"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{'float' if single else 'double'}>"), F.col("label").cast("long").alias("label"))
+    rows = scratch(rows.transform(in_arrow, prepared(single), "vec_id long, label long, raw binary"), "vectors")
     nodes = rows.where("raw is not null").groupBy("label", "raw").agg(F.min("vec_id").alias("rep"), F.count("*").alias("many"))
     nodes = scratch(nodes, "nodes")
-    settings = (blocks, codes, mean)
-    hot = nodes.transform(in_arrow, met(settings, True), "label long, dim int, filter long").groupBy("label", "dim", "filter").count()
-    hot = scratch(hot.where(F.col("count") > piece).withColumn("pieces", F.ceil(F.col("count") / piece).cast("int")).drop("count"), "hot")
-    pairs = nodes.transform(in_arrow, met(settings, False), "label long, dim int, filter long, rep long, many long, raw binary, less binary")
-    pairs = pairs.join(hot, ["label", "dim", "filter"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
-    pairs = pairs.withColumn("own", F.pmod(F.xxhash64("raw"), F.col("pieces")).cast("int"))
-    pairs = pairs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    pairs = pairs.withColumns({"bi": F.least("own", "other"), "bj": F.greatest("own", "other")}).drop("other", "pieces")
-    keys = ["label", "dim", "filter", "bi", "bj"]
-    found = pairs.repartition(*keys).sortWithinPartitions(*keys).transform(in_arrow, verified(threshold), "u long, links long, v long")
+    if how is None:
+        how = settings(nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0)
+    keys = ["label", "dim", "filter"]
+    light = scratch(nodes.select("label", "raw", "rep").transform(in_arrow, met(how, kind), "label long, dim int, filter long, rep long"), "met")
+    counts = light.groupBy(*keys).count().where(F.col("count") > 1)
+    counts = scratch(counts.select(*keys, F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "shared")
+    shared = light.join(counts, keys).groupBy("label", "rep", "dim").agg(F.collect_list(F.struct("filter", "pieces")).alias("met"))
+    size = (F.octet_length("raw") / np.dtype(kind).itemsize).cast("int").alias("dim")
+    pairs = nodes.select("label", "rep", "many", "raw", size).join(shared, ["label", "rep", "dim"])
+    keys += ["bi", "bj"]
+    pairs = pairs.transform(in_arrow, dealt, "label long, dim int, rep long, many long, raw binary, filter long, bi int, bj int, own int, less binary")
+    found = pairs.repartition(*keys).sortWithinPartitions(*keys).transform(in_arrow, verified(threshold, kind), "u long, links long, v long")
     found = scratch(found, "links")
+    discard(light, counts)
     member = scratch(components(found.select("u", "v")), "member").select(F.col("node").alias("rep"), F.col("root"))
     total = found.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
     classes = nodes.join(total, "rep", "left").join(member, "rep", "left")

@@ -243,17 +243,33 @@ def test_vectors(spark, sf_dir, tmp_path):
             assert sorted(got) == want
 
 
-@pytest.mark.parametrize(("dim", "n"), [(64, 5000), (16, 2000), (8, 1000), (2, 500)])
-def test_vectors_at_the_threshold(spark, dim, n):
-    """No random pair just above a cosine of 0.93 is missed; every pair has a label of its own."""
-    from tessera.llm.vectors import vector_near_dedup
-
+def at_threshold(dim, n):
+    """Random pairs of unit vectors at a cosine just above 0.93."""
     rng = np.random.default_rng(9)
     a, b = rng.normal(size=(2, n, dim))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b -= (b * a).sum(axis=1, keepdims=True) * a
     b /= np.linalg.norm(b, axis=1, keepdims=True)
-    b = 0.930001 * a + np.sqrt(1 - 0.930001**2) * b
+    return a, 0.930001 * a + np.sqrt(1 - 0.930001**2) * b
+
+
+@pytest.mark.parametrize("label", [4_000, 16_000, 60_000, 250_000, 1_000_000, 4_000_000, 100_000_000, 1_000_000_000])
+def test_vectors_meet_at_every_setting(label):
+    """Of pairs at the threshold hardly any has no filter in common, whatever the size of the largest label."""
+    from tessera.llm.vectors import Tables, settings
+
+    tables = Tables(64, *settings(label))
+    lists = [[f for at in range(0, 1000, 100) for f in tables.decode(x[at : at + 100])] for x in at_threshold(64, 1000)]
+    met = [len(np.intersect1d(x, y)) > 0 for x, y in zip(*lists, strict=True)]
+    assert np.mean(met) >= 0.997
+
+
+@pytest.mark.parametrize(("dim", "n"), [(64, 5000), (16, 2000), (8, 1000), (2, 500)])
+def test_vectors_at_the_threshold(spark, dim, n):
+    """No random pair just above a cosine of 0.93 is missed; every pair has a label of its own."""
+    from tessera.llm.vectors import vector_near_dedup
+
+    a, b = at_threshold(dim, n)
     made = [(2 * k + side, x[k].tolist(), k) for k in range(n) for side, x in enumerate((a, b))]
     got = vector_near_dedup(spark.createDataFrame(made, "vec_id long, embedding array<double>, label int"))
     assert got.where("n_links = 1").count() == 2 * n
