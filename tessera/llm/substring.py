@@ -351,7 +351,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, far: int | None = None,
     near = F.struct(s, (F.col("lo") + F.col("more") + width).alias("e"), F.lit(width).alias("wide"))
     long = F.struct(s, (F.col("lo") + F.col("size")).alias("e"), F.lit(far).alias("wide"))
     whole = whole.select(*KEY, F.explode(F.when((F.col("size") >= far) & F.lit(far > width), F.array(near, long)).otherwise(F.array(near))).alias("x")).select(*KEY, "x.*")
-    hot = distinct.groupBy("gram").count().where(F.col("count") > piece).select("gram", F.ceil(F.col("count") / piece).cast("int").alias("pieces"))
+    hot = distinct.groupBy("gram").count().where(F.col("count") > piece)
+    hot = scratch(hot.select("gram", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "hot")
     wanted = distinct.join(hot, "gram", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     wanted = wanted.withColumn("salt", F.pmod(F.xxhash64("d"), F.col("pieces")).cast("int"))
     wanted = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("lo", "more", "size", "gram", "salt", "pieces")).alias("wanted"))
