@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +62,27 @@ def scratch(df: DataFrame, name: str = "t") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.tessera_path = path
+    for tables in _open:
+        tables.append(out)
     return out
 
 
+_open: list[list[DataFrame]] = []
+
+
+@contextmanager
+def written() -> Iterator[list[DataFrame]]:
+    """The tables that `scratch` writes in the meantime, for whoever knows when they are done with."""
+    tables: list[DataFrame] = []
+    _open.append(tables)
+    try:
+        yield tables
+    finally:
+        _open.pop()
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete tables of `scratch` that no table still to be written reads."""
+    """Delete tables of `scratch` that no table still to be written reads; some may be gone already."""
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.tessera_path)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -167,13 +167,16 @@ def linked(radius: int, at_once: int = 1 << 18):
 def links(nodes: DataFrame, radius: int = RADIUS, groups: int = GROUPS, piece: int = PIECE) -> DataFrame:
     """Distinct fingerprints (fp, distances) to links (u, v) with the same connected components as all linked pairs."""
     met = nodes.select("fp", "distances").transform(in_arrow, keys(key_masks(groups, radius)), "mask int, key long, fp long, distances long")
-    met = scratch(met, "keys")
+    met = every = scratch(met, "keys")
     counts = met.groupBy("mask", "key").count().where(F.col("count") > 1)
     met = met.join(counts, ["mask", "key"]).withColumn("n", F.ceil(F.col("count") / F.lit(piece)).cast("int"))
     met = met.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     met = met.select("mask", "key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "fp", "distances")
-    return met.repartition("mask", "key", "bi", "bj").sortWithinPartitions("mask", "key", "bi", "bj").transform(in_arrow, linked(radius), "u long, v long").distinct()
+    found = met.repartition("mask", "key", "bi", "bj").sortWithinPartitions("mask", "key", "bi", "bj").transform(in_arrow, linked(radius), "u long, v long")
+    found = scratch(found.distinct(), "found")
+    discard(every)
+    return found
 
 
 def simhash_near_dedup(docs: DataFrame, radius: int = RADIUS, groups: int = GROUPS) -> DataFrame:
