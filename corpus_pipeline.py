@@ -6,11 +6,14 @@ columns of documents. Rows are told apart by a number of their own, so doc_id ma
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import language
-from tessera.llm.common import in_arrow, scratch
+from tessera.llm.common import discard, fresh, in_arrow, scratch, written
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.packing import pack
 from tessera.llm.queries import tokenizer_path
@@ -18,25 +21,36 @@ from tessera.llm.simhash import simhash_near_dedup
 from tessera.llm.substring import PASSAGE, PASSAGE_WORDS, without_repeats
 
 
-#: The column of a row's number, unique in a stage.
-ROW = "tessera_row"
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """docs with a number for each row; written first, so that a row keeps its number."""
-    return scratch(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number for each row that stays its own, and the column's name.
 
+    A row of a file is numbered by its file and its place there. Any other frame is written first. The list of files is
+    broadcast; the driver holds one for every scan anyway.
+    """
+    row, path, at = (fresh(name, docs.columns) for name in ("tessera_row", "tessera_path", "tessera_at"))
+    try:
+        rows = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(at))
+    except AnalysisException:
+        return scratch(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    files = rows.select(path).distinct().withColumn(row, F.row_number().over(Window.orderBy(path)).cast("long"))
+    rows = rows.join(F.broadcast(scratch(files, "files")), path)
+    return rows.select(*docs.columns, (F.shiftleft(row, 40) + F.col(at)).alias(row)), row
 
-def by_number(rows: DataFrame) -> DataFrame:
-    """The number as doc_id, and the text."""
-    return rows.select(F.col(ROW).alias("doc_id"), "text")
 
+def one_of_each(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame], keeper: Callable[[str], Column]) -> DataFrame:
+    """Of each group of rows one row stays, the one that `keeper` gives; grouped: (doc_id a row's number, text) to group.
 
-def one_of_each(rows: DataFrame, groups: DataFrame, keeper: Column) -> DataFrame:
-    """Of each group of rows (doc_id a row's number, group) the one whose number `keeper` gives; without numbers."""
-    found = rows.select(ROW, "doc_id").join(groups.withColumnRenamed("doc_id", "n"), F.col(ROW) == F.col("n"))
-    kept = scratch(found.groupBy("group").agg(keeper.alias("keeper")).select(F.col(f"keeper.{ROW}").alias("n")), "kept")
-    return rows.join(kept, F.col(ROW) == F.col("n"), "left_semi").drop(ROW)
+    What is joined with the documents is the list of rows to drop.
+    """
+    rows, row = numbered(docs)
+    with written() as tables:
+        groups = grouped(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias("n"), "group")
+        found = scratch(rows.select(F.col(row).alias("n"), "doc_id").join(groups, "n"), "found")
+        keepers = found.groupBy("group").agg(keeper("n").alias("keeper"), F.count("*").alias("size"))
+        keepers = scratch(keepers.where("size > 1").select("group", F.col("keeper.n").alias("keeper")), "keepers")
+        dropped = scratch(found.join(keepers, "group").where("n <> keeper").select("n"), "dropped")
+    discard(*tables[:-1])
+    return rows.join(dropped.withColumnRenamed("n", fresh("n", rows.columns)), F.col(row) == F.col(fresh("n", rows.columns)), "left_anti").select(*docs.columns)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,16 +61,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one row with the largest doc_id stays; a null doc_id only where no other has the text."""
-    rows = numbered(docs)
-    groups = exact_dedup(by_number(rows)).select("doc_id", F.col("keep_id").alias("group"))
-    return one_of_each(rows, groups, F.max(F.struct("doc_id", ROW)))
+    return one_of_each(docs, lambda rows: exact_dedup(rows).withColumn("group", F.col("keep_id")), lambda n: F.max(F.struct("doc_id", n)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints one row with the smallest doc_id stays; a null doc_id only without another."""
-    rows = numbered(docs)
-    groups = simhash_near_dedup(by_number(rows)).select("doc_id", F.col("component_id").alias("group"))
-    return one_of_each(rows, groups, F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)))
+    return one_of_each(docs, lambda rows: simhash_near_dedup(rows).withColumn("group", F.col("component_id")), lambda n: F.min(F.struct(F.col("doc_id").isNull(), "doc_id", n)))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,6 +94,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = scratch(stage(spark, docs, sf_dir), "stage")
+    done: list[DataFrame] = []
+    for _, stage in STAGES[:-1]:
+        with written() as tables:
+            docs = scratch(stage(spark, docs, sf_dir), "stage")
+        discard(*done, *tables[:-1])
+        done = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
