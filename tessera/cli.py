@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import argparse
+import logging
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import add_normalized_columns, add_sql_normalized_columns
 from .operators import blocking, evaluation, features, submission, training
 from .sources import tables
 
+log = logging.getLogger("tessera")
 ENGINES = ("priority", "priority_asymmetric", "inverted", "disk")
 
 
 def candidates(source1: DataFrame, reference: DataFrame, raw_reference: DataFrame, engine: str, cap: int, config: blocking.BlockingConfig | None = None) -> DataFrame:
     """Candidate pairs of normalized frames by one of ENGINES."""
-    config = config or blocking.BlockingConfig(max_candidates_per_entity=cap)
+    config = config or replace(blocking.DRIVER_CONFIG, max_candidates_per_entity=cap)
     if engine == "priority":
         return blocking.block_priority(source1, reference, cap)
     if engine == "priority_asymmetric":
@@ -26,14 +29,32 @@ def candidates(source1: DataFrame, reference: DataFrame, raw_reference: DataFram
     raise ValueError(f"engine: one of {ENGINES}")
 
 
-def train(spark: SparkSession, directory: str, out: str, sample: int | None = None, negatives: int | None = None, engine: str = "priority", cap: int = 300, rounds: int = 200, ids: str = "all") -> dict:
+class Progress:
+    """Rows that each step of a driver hands on, counted as they pass."""
+
+    def __init__(self) -> None:
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, step: str, df: DataFrame) -> DataFrame:
+        self.seen[step] = Observation(step)
+        return df.observe(self.seen[step], F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> dict[str, int]:
+        """To be asked for when all steps have run."""
+        out = {step: o.get["rows"] for step, o in self.seen.items()}
+        log.info("rows by step: %s", out)
+        return out
+
+
+def train(spark: SparkSession, directory: str, out: str, sample: int | None = None, negatives: int | None = None, engine: str = "priority", cap: int = 300, rounds: int = 200, ids: str = "all", keep: str = "error") -> dict:
     """Fit and save a model, choose its threshold, save the experiment; returns the record.
 
     sample takes the first rows of source 1 and restricts the truth to them; negatives takes that many other records of
-    each searched source. ids: "all" evaluates every held-out entity, "paired" only those with a candidate.
+    each searched source. ids: "all" evaluates every held-out entity, "paired" only those with a candidate. keep: which
+    row of a repeated id stays, see `unique_rows`.
     """
-    source1 = tables.require_unique(tables.read_tsv(spark, f"{directory}/train_source1.tsv", sample))
-    reference = tables.require_unique(tables.load_reference_sources(spark, directory, "train"))
+    source1 = tables.unique_rows(tables.read_tsv(spark, f"{directory}/train_source1.tsv", sample), keep)
+    reference = tables.unique_rows(tables.load_reference_sources(spark, directory, "train"), keep)
     truth = tables.load_ground_truth(spark, f"{directory}/train_ground_truth.tsv")
     truth = truth.join(source1.select(F.col("entity_id").alias("source1_entity_id")), "source1_entity_id", "left_semi")
     if negatives is not None:
@@ -63,16 +84,20 @@ def train(spark: SparkSession, directory: str, out: str, sample: int | None = No
     return record
 
 
-def predict(spark: SparkSession, directory: str, model: str, out: str, prefix: str = "test", engine: str = "priority", cap: int = 500, threshold: float | None = None, nrows: int | None = None) -> tuple[str, str]:
+def predict(spark: SparkSession, directory: str, model: str, out: str, prefix: str = "test", engine: str = "priority", cap: int = 500, threshold: float | None = None, nrows: int | None = None, keep: str = "error") -> tuple[str, str]:
     """Write candidate_pairs.tsv and matching_results.tsv; the threshold is the model's own unless one is given."""
+    progress = Progress()
     bundle = training.load_model(model, spark)
-    source1 = tables.require_unique(tables.read_tsv(spark, f"{directory}/{prefix}_source1.tsv", nrows))
-    reference = tables.require_unique(tables.load_reference_sources(spark, directory, prefix, nrows))
-    left, right = add_normalized_columns(source1), add_normalized_columns(reference)
-    pairs = candidates(left, right, reference, engine, cap).persist()
-    scored = training.score(bundle, features.build_pair_features(left, right, pairs))
+    source1 = tables.unique_rows(tables.read_tsv(spark, f"{directory}/{prefix}_source1.tsv", nrows), keep)
+    reference = tables.unique_rows(tables.load_reference_sources(spark, directory, prefix, nrows), keep)
+    left = progress.watch("source1", add_normalized_columns(source1)).persist()
+    right = progress.watch("reference", add_normalized_columns(reference)).persist()
+    pairs = progress.watch("candidates", candidates(left, right, reference, engine, cap)).persist()
+    scored = progress.watch("scored", training.score(bundle, features.build_pair_features(left, right, pairs)))
     paths = submission.write_submission(source1, pairs, scored, out, bundle.best_threshold if threshold is None else threshold)
-    pairs.unpersist()
+    progress.rows()
+    for frame in (left, right, pairs):
+        frame.unpersist()
     return paths
 
 
@@ -85,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--data", required=True)
         p.add_argument("--out", required=True)
         p.add_argument("--engine", choices=ENGINES, default="priority")
+        p.add_argument("--duplicates", choices=("error", "first", "last", "any"), default="error")
     fit.add_argument("--full", action="store_true")
     fit.add_argument("--sample", type=int, default=10_000)
     fit.add_argument("--negatives", type=int, default=50_000)
@@ -97,9 +123,9 @@ def main(argv: list[str] | None = None) -> None:
     a = parser.parse_args(argv)
     spark = SparkSession.builder.appName("tessera").config("spark.sql.adaptive.enabled", "true").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.command == "train":
-        print(train(spark, a.data, a.out, None if a.full else a.sample, None if a.full else a.negatives, a.engine, a.cap)["best"])
+        print(train(spark, a.data, a.out, None if a.full else a.sample, None if a.full else a.negatives, a.engine, a.cap, keep=a.duplicates)["best"])
     else:
-        print(predict(spark, a.data, a.model, a.out, a.prefix, a.engine, a.cap, a.threshold, a.nrows))
+        print(predict(spark, a.data, a.model, a.out, a.prefix, a.engine, a.cap, a.threshold, a.nrows, a.duplicates))
 
 
 if __name__ == "__main__":

@@ -25,16 +25,29 @@ def character_jaccard(a: Column, b: Column) -> Column:
     return jaccard(char_ngrams(a, (3,)), char_ngrams(b, (3,)))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Of the word counts."""
-    words = lambda c: F.filter(F.split(c, " "), lambda x: x != "")
-    count = lambda ws, t: F.size(F.filter(ws, lambda x: x == t)).cast("double")
-    wa, wb = words(a), words(b)
-    add = lambda acc, x: acc + x
-    total = lambda ts, f: F.aggregate(F.transform(ts, f), F.lit(0.0), add)
-    dot = total(F.array_intersect(wa, wb), lambda t: count(wa, t) * count(wb, t))
-    norm = lambda ws: F.sqrt(total(F.array_distinct(ws), lambda t: count(ws, t) * count(ws, t)))
-    return F.when((F.size(wa) == 0) & (F.size(wb) == 0), 1.0).when((F.size(wa) == 0) | (F.size(wb) == 0), 0.0).otherwise(dot / (norm(wa) * norm(wb)))
+def words(text: Column) -> Column:
+    """All words, repeats included."""
+    return F.filter(F.split(text, " "), lambda x: x != "")
+
+
+def times(ws: Column, t: Column) -> Column:
+    return F.size(F.filter(ws, lambda x: x == t)).cast("double")
+
+
+def total(ts: Column, f) -> Column:
+    return F.aggregate(F.transform(ts, f), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def norm(text: Column) -> Column:
+    """The length of the vector of word counts: each word counts as often as it occurs."""
+    ws = words(text)
+    return F.sqrt(total(ws, lambda t: times(ws, t)))
+
+
+def cosine(wa: Column, wb: Column, na: Column, nb: Column) -> Column:
+    """Of the word counts, from all words and the norms of both sides."""
+    dot = total(F.array_intersect(wa, wb), lambda t: times(wa, t) * times(wb, t))
+    return F.when((F.size(wa) == 0) & (F.size(wb) == 0), 1.0).when((F.size(wa) == 0) | (F.size(wb) == 0), 0.0).otherwise(dot / (na * nb))
 
 
 def lcs(a: str, b: str) -> int:

@@ -1,6 +1,6 @@
 """Normalization and extraction.
 
-Unicode normal forms have no built-in function, so one Arrow UDF folds a raw column once; all else is built in.
+Unicode normal forms have no built-in function, so one Arrow UDF folds what is not ASCII; all else is built in.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ LEGAL_FORMS = {
     "public ltd": "public ltd",
     "limited": "ltd",
     "corporation": "corp",
-    "company": "co",
     "incorporated": "inc",
+    "company": "co",
 }
 # Street words.
 STREET_WORDS = {
@@ -45,6 +45,7 @@ STREET_WORDS = {
     "ste": "unit",
 }
 
+# Patterns of numbers, postal codes and units.
 NUMBER = r"(?U)\b\p{Nd}+[a-z]?\b"
 POSTAL = r"(?U)\b\p{Nd}{4,10}\b"
 UNIT = r"(?U)\b(?:apt|apartment|unit|suite|ste|floor|fl)\s*([\w-]+)"
@@ -65,10 +66,18 @@ def fold(value: str | None) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def normalize_text(values: pd.Series) -> pd.Series:
+def fold_text(values: pd.Series) -> pd.Series:
     return pd.Series([fold(v) if isinstance(v, str) else "" for v in values], dtype=object)
 
 
+def normalize_text(raw: Column | str) -> Column:
+    """fold of a column; texts of ASCII characters stay in the JVM."""
+    raw = F.col(raw) if isinstance(raw, str) else raw
+    plain = F.octet_length(raw) == F.char_length(raw)
+    words = F.trim(F.regexp_replace(F.lower(raw), "[^a-z0-9_]+", " "))
+    return F.when(raw.isNull(), "").when(plain, words).otherwise(fold_text(F.when(~plain, raw)))
+
+
 def fold_legal_forms(normalized: Column) -> Column:
     """Whole-word phrases replaced, longest first, each on the result of the one before."""
     ordered = sorted(LEGAL_FORMS.items(), key=lambda kv: -len(kv[0]))

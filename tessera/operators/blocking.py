@@ -27,6 +27,9 @@ class BlockingConfig:
     use_token_indexes: bool = True
 
 
+#: What the train and predict drivers take: postings of words and grams are cut shorter than those of numbers.
+DRIVER_CONFIG = BlockingConfig(name_token_limit=50, address_token_limit=50, character_ngram_limit=50)
+
 # Address words too common to search by.
 GENERIC_ADDRESS_TOKENS = ["st", "rd", "ave", "blvd", "dr", "ln", "unit", "apt", "fl", "floor", "ste", "suite", "near", "opp", "opposite", "road", "street", "avenue", "lane", "colony", "dist", "district", "city", "state", "india", "us", "france", "de", "du", "la", "le"]
 
@@ -115,9 +118,13 @@ def block_priority(source1: DataFrame, reference: DataFrame, cap: int = 500, exa
 
     The four equalities are separate equi-joins; one join on the country with the four as a condition would be quadratic
     in each country. exact_first ranks equal names and addresses before equal numbers.
+
+    Postings are cut to their first `cap` ids, which loses nothing: for whichever query has the key, those ids come
+    before a later one of the same posting, so a later one is no candidate by this key.
     """
     config = BlockingConfig()
-    pairs = probe(postings(source1, config, PRIORITY), postings(reference, config, PRIORITY))
+    posted = capped(postings(reference, config, PRIORITY), dict.fromkeys(PRIORITY, cap))
+    pairs = probe(postings(source1, config, PRIORITY), posted)
     kind = F.col("kind")
     number = F.when(kind == "name_token", 2).when(kind == "address_token", 3).when(F.lit(exact_first) & kind.isin("name_exact", "address_exact"), 0).otherwise(1)
     best = pairs.withColumn("priority", number).groupBy("source1_entity_id", "candidate_entity_id").agg(F.min("priority").alias("priority"))

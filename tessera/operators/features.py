@@ -2,45 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
+from ..functions import text as X
 
+# The names of the features, in order.
 FEATURE_COLUMNS = [
     "name_token_jaccard", "name_token_sort_ratio", "name_partial_ratio", "name_levenshtein_similarity", "name_character_similarity", "name_tfidf_cosine",
     "address_token_jaccard", "address_partial_ratio", "address_levenshtein_similarity", "address_character_similarity", "address_tfidf_cosine",
     "country_match", "exact_number_match", "postal_code_match", "numeric_token_overlap", "name_length_difference", "address_length_difference", "combined_tfidf_cosine",
 ]
-USED = ("name_normalized", "address_normalized", "country_normalized", "house_number", "postal_code", "address_numeric_tokens")
+USED = ("name_normalized", "address_normalized", "country_normalized", "house_number", "postal_code")
+
+
+def record_columns() -> dict[str, Column]:
+    """What the features compare, made once for each record; what no feature asks for is pruned."""
+    name, address = F.col("name_normalized"), F.col("address_normalized")
+    texts = {"name": name, "address": address, "both": F.trim(F.concat_ws(" ", name, address))}
+    out = {c: F.col(c) for c in USED} | {"numbers": F.array_distinct("address_numeric_tokens")}
+    for k, text in texts.items():
+        out |= {f"{k}_tokens": X.tokens(text), f"{k}_grams": X.char_ngrams(text, (3,)), f"{k}_words": S.words(text), f"{k}_norm": S.norm(text)}
+    return out
 
 
 def paired(source1: DataFrame, reference: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs with the normalized columns of both sides, as l_* and r_*; pairs with a missing side drop out."""
-    left = source1.select(F.col("entity_id").alias("source1_entity_id"), *[F.col(c).alias(f"l_{c}") for c in USED])
-    right = reference.select(F.col("entity_id").alias("candidate_entity_id"), *[F.col(c).alias(f"r_{c}") for c in USED])
+    """Pairs with the record columns of both sides, as l_* and r_*; pairs with a missing side drop out."""
+    made = record_columns()
+    left = source1.select(F.col("entity_id").alias("source1_entity_id"), *[v.alias(f"l_{k}") for k, v in made.items()])
+    right = reference.select(F.col("entity_id").alias("candidate_entity_id"), *[v.alias(f"r_{k}") for k, v in made.items()])
     return pairs.select("source1_entity_id", "candidate_entity_id").join(left, "source1_entity_id").join(right, "candidate_entity_id")
 
 
 def builtin_features() -> dict:
     c = F.col
     ln, rn, la, ra = c("l_name_normalized"), c("r_name_normalized"), c("l_address_normalized"), c("r_address_normalized")
-    both = lambda n, a: F.trim(F.concat_ws(" ", n, a))
+    overlap = lambda k: S.jaccard(c(f"l_{k}"), c(f"r_{k}"))
+    cosine = lambda k: S.cosine(c(f"l_{k}_words"), c(f"r_{k}_words"), c(f"l_{k}_norm"), c(f"r_{k}_norm"))
     same = lambda k: ((c(f"l_{k}") != "") & (c(f"l_{k}") == c(f"r_{k}"))).cast("double")
     return {
-        "name_token_jaccard": S.token_jaccard(ln, rn),
-        "name_character_similarity": S.character_jaccard(ln, rn),
-        "name_tfidf_cosine": S.cosine(ln, rn),
-        "address_token_jaccard": S.token_jaccard(la, ra),
-        "address_character_similarity": S.character_jaccard(la, ra),
-        "address_tfidf_cosine": S.cosine(la, ra),
+        "name_token_jaccard": overlap("name_tokens"),
+        "name_character_similarity": overlap("name_grams"),
+        "name_tfidf_cosine": cosine("name"),
+        "address_token_jaccard": overlap("address_tokens"),
+        "address_character_similarity": overlap("address_grams"),
+        "address_tfidf_cosine": cosine("address"),
         "country_match": (c("l_country_normalized") == c("r_country_normalized")).cast("double"),
         "exact_number_match": same("house_number"),
         "postal_code_match": same("postal_code"),
-        "numeric_token_overlap": S.jaccard(F.array_distinct("l_address_numeric_tokens"), F.array_distinct("r_address_numeric_tokens")),
+        "numeric_token_overlap": overlap("numbers"),
         "name_length_difference": F.abs(F.length(ln) - F.length(rn)).cast("double"),
         "address_length_difference": F.abs(F.length(la) - F.length(ra)).cast("double"),
-        "combined_tfidf_cosine": S.cosine(both(ln, la), both(rn, ra)),
+        "combined_tfidf_cosine": cosine("both"),
     }
 
 

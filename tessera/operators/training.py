@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -23,16 +24,17 @@ def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
 
 def split_by_source1(rows: DataFrame, test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Training and validation rows; no entity is in both."""
-    held = F.pmod(F.xxhash64("source1_entity_id", F.lit(seed)), F.lit(10_000)) < round(test_share * 10_000)
+    digest = F.md5(F.concat(F.col("source1_entity_id"), F.lit(f"/{seed}")).cast("binary"))
+    held = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000 < round(test_share * 10_000)
     return rows.where(~held), rows.where(held)
 
 
-def sample_reference(reference: DataFrame, positives: DataFrame, n: int) -> DataFrame:
-    """All positives, and of each source the first n other records by id."""
+def sample_reference(reference: DataFrame, positives: DataFrame, n: int, sources: tuple[str, ...] = ("source2", "source3")) -> DataFrame:
+    """All positives, and of each source the first n other records by id; a limit, so every task hands on n rows at most."""
     ids = positives.select(F.col("candidate_entity_id").alias("entity_id")).distinct()
-    w = Window.partitionBy("record_source").orderBy("entity_id")
-    others = reference.join(ids, "entity_id", "left_anti").withColumn("at", F.row_number().over(w)).where(F.col("at") <= n).drop("at")
-    return reference.join(ids, "entity_id", "left_semi").unionByName(others)
+    others = reference.join(ids, "entity_id", "left_anti")
+    first = [others.where(F.col("record_source") == s).orderBy("entity_id").limit(n) for s in sources]
+    return reduce(DataFrame.unionByName, first, reference.join(ids, "entity_id", "left_semi"))
 
 
 def thin_negatives(labelled: DataFrame, per_entity: int = 5) -> DataFrame:

@@ -23,7 +23,9 @@ from .oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CAP, LIMIT = 500, 50
-CONFIG = B.BlockingConfig(LIMIT, LIMIT, LIMIT, LIMIT, CAP)
+CONFIG = B.DRIVER_CONFIG
+#: Negatives of each source, and rounds of the model, as the training driver has them.
+NEGATIVES, ROUNDS = 50_000, 200
 
 
 def query(f):
@@ -36,11 +38,12 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 def one(spark, d):
-    return X.add_normalized_columns(N.source(spark, d, 1))
+    """Source 1, normalized once: a query that reads it twice, or a later query, finds it persisted."""
+    return X.add_normalized_columns(N.source(spark, d, 1)).persist()
 
 
 def ref(spark, d):
-    return X.add_normalized_columns(N.reference(spark, d))
+    return X.add_normalized_columns(N.reference(spark, d)).persist()
 
 
 def raw_text(spark, d):
@@ -193,7 +196,7 @@ def fetch_records_semi(spark, d):
 
 @query
 def negatives_anti(spark, d):
-    return training.sample_reference(N.reference(spark, d), tables.truth_pairs(N.truth(spark, d)), 50)
+    return training.sample_reference(N.reference(spark, d), tables.truth_pairs(N.truth(spark, d)), NEGATIVES)
 
 
 def features(spark, d, *columns):
@@ -283,8 +286,7 @@ def group_split(spark, d):
 
 def rule_scored(spark, d):
     rows = P.paired(one(spark, d), ref(spark, d), block_priority(spark, d))
-    c = F.col
-    mean = (S.token_jaccard(c("l_name_normalized"), c("r_name_normalized")) + S.token_jaccard(c("l_address_normalized"), c("r_address_normalized"))) / 2
+    mean = (S.jaccard(F.col("l_name_tokens"), F.col("r_name_tokens")) + S.jaccard(F.col("l_address_tokens"), F.col("r_address_tokens"))) / 2
     return rows.select("source1_entity_id", "candidate_entity_id", F.round(mean, 6).alias("match_probability"))
 
 
@@ -325,6 +327,6 @@ def submission_matches(spark, d):
 @query
 def gbt_score(spark, d):
     a, b, pairs = candidates(spark, d)
-    rows = training.label_pairs(P.build_pair_features(a, b, pairs), N.truth(spark, d))
-    bundle = training.fit_model(training.split_by_source1(rows)[0], rounds=5)
+    rows = training.label_pairs(P.build_pair_features(a, b, pairs), N.truth(spark, d)).persist()
+    bundle = training.fit_model(training.split_by_source1(rows)[0], ROUNDS)
     return training.score(bundle, rows).select("source1_entity_id", "candidate_entity_id", "target", "match_probability")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..functions.text import LEGAL_FORMS, STREET_WORDS
 from ..operators.blocking import GENERIC_ADDRESS_TOKENS
 
-CAP, LIMIT = 500, 50
+CAP, LIMIT, NUMBERS, NEGATIVES = 500, 50, 100, 50_000
 
 
 def p2(x: str) -> str:
@@ -37,6 +37,7 @@ def grams(x: str, sizes: tuple[int, ...]) -> str:
     return "list_distinct(" + (lists[0] if len(lists) == 1 else f"flatten([{', '.join(lists)}])") + ")"
 
 
+# The patterns of numbers, postal codes and units in these expressions.
 ENT = r"""ent AS (
     SELECT 'S' || sno || '-' || repeat('0', greatest(0, 6 - length(doc_id::VARCHAR))) || doc_id AS entity_id, array_to_string(tk[1:4], ' ') AS business_name,
            n_chars || ' ' || array_to_string(tk[5:12], ' ') AS business_address, lang AS country, 'source' || sno AS record_source, array_to_string(tk[13:18], ' ') AS truth_key
@@ -71,7 +72,7 @@ def some(*kinds: str) -> dict[str, str]:
 
 
 def capped(name: str, posted: str, exact: int | None) -> str:
-    rule = f"nth <= CASE WHEN kind LIKE '%exact' THEN {exact or 1 << 40} ELSE {LIMIT} END"
+    rule = f"nth <= CASE WHEN kind LIKE '%exact' THEN {exact or 1 << 40} WHEN kind IN ('house', 'postal') THEN {NUMBERS} ELSE {LIMIT} END"
     return f", {name} AS (SELECT kind, country, key, entity_id FROM (SELECT *, row_number() OVER (PARTITION BY kind, country, key ORDER BY entity_id) AS nth FROM {posted}) WHERE {rule})"
 
 
@@ -135,7 +136,7 @@ SWEEP = SCORED + """, th AS (SELECT unnest(range(30, 100, 5)) / 100.0::DOUBLE AS
         FROM (SELECT entity_id, threshold FROM ent CROSS JOIN th WHERE record_source = 'source1') e
         LEFT JOIN hits h ON h.threshold = e.threshold AND h.source1_entity_id = e.entity_id LEFT JOIN trues t ON t.source1_entity_id = e.entity_id),
     pr AS (SELECT *, CASE WHEN n_true = 0 THEN (n_pred = 0)::INT::DOUBLE WHEN n_pred = 0 THEN 0.0 ELSE n_hit / n_pred END AS p, CASE WHEN n_true = 0 THEN (n_pred = 0)::INT::DOUBLE ELSE n_hit / n_true END AS r FROM counts),
-    sweep AS (SELECT threshold, round(avg(CASE WHEN n_true = 0 THEN p WHEN p = 0 AND r = 0 THEN 0.0 ELSE 1.25 * p * r / (0.25 * p + r) END), 6) AS macro_f0_5, round(avg(p), 6) AS "precision", round(avg(r), 6) AS recall,
+    sweep AS (SELECT threshold, round(avg(CASE WHEN n_true = 0 THEN p WHEN p = 0 AND r = 0 THEN 0.0 ELSE 1.25 * p * r / (0.25 * p + r) END), 6) AS macro_f0_5, round(avg(p), 6) AS macro_precision, round(avg(r), 6) AS macro_recall,
         round(avg((n_true = 0 AND n_pred = 0)::INT::DOUBLE), 6) AS singleton_accuracy, sum(n_pred)::DOUBLE AS predicted_matches, count(*)::DOUBLE AS entities FROM pr GROUP BY threshold)"""
 LABELLED = CAND + TRUTH + ", lab AS (SELECT c.*, (t.candidate_entity_id IS NOT NULL)::INT::DOUBLE AS target FROM cand c LEFT JOIN truth t USING (source1_entity_id, candidate_entity_id))"
 
@@ -187,7 +188,7 @@ ORACLE_SQL: dict[str, str] = {
     "blocking_stats_all": stats(True), "blocking_stats_nonzero": stats(False),
     "blocking_recall": f"{CAND}{TRUTH} SELECT round(avg(covered), 6) AS candidate_recall FROM (SELECT e.entity_id, coalesce(min((c.candidate_entity_id IS NOT NULL OR t.candidate_entity_id IS NULL)::INT), 1)::DOUBLE AS covered FROM (SELECT entity_id FROM ent WHERE record_source = 'source1') e LEFT JOIN truth t ON t.source1_entity_id = e.entity_id LEFT JOIN cand c ON c.source1_entity_id = t.source1_entity_id AND c.candidate_entity_id = t.candidate_entity_id GROUP BY ALL)",
     "fetch_records_semi": f"{CAND} SELECT * FROM {REF} WHERE entity_id IN (SELECT candidate_entity_id FROM cand)",
-    "negatives_anti": f"WITH {ENT}{TRUTH}, n AS (SELECT *, row_number() OVER (PARTITION BY record_source ORDER BY entity_id) AS nth FROM {REF} WHERE entity_id NOT IN (SELECT candidate_entity_id FROM truth)) SELECT * FROM {REF} WHERE entity_id IN (SELECT candidate_entity_id FROM truth) UNION ALL SELECT entity_id, business_name, business_address, country, record_source FROM n WHERE nth <= 50",
+    "negatives_anti": f"WITH {ENT}{TRUTH}, n AS (SELECT *, row_number() OVER (PARTITION BY record_source ORDER BY entity_id) AS nth FROM {REF} WHERE entity_id NOT IN (SELECT candidate_entity_id FROM truth)) SELECT * FROM {REF} WHERE entity_id IN (SELECT candidate_entity_id FROM truth) UNION ALL SELECT entity_id, business_name, business_address, country, record_source FROM n WHERE nth <= {NEGATIVES}",
     "feat_token_jaccard": feature(name_token_jaccard=jaccard(words("q.nn"), words("r.nn")), address_token_jaccard=jaccard(words("q.an"), words("r.an"))),
     "feat_char_jaccard": feature(name_character_similarity=jaccard(grams("q.nn", (3,)), grams("r.nn", (3,))), address_character_similarity=jaccard(grams("q.an", (3,)), grams("r.an", (3,)))),
     "feat_cosine": feature(name_tfidf_cosine=cosine("q.nn", "r.nn"), address_tfidf_cosine=cosine("q.an", "r.an"), combined_tfidf_cosine=cosine("(q.nn || ' ' || q.an)", "(r.nn || ' ' || r.an)")),
@@ -197,6 +198,7 @@ ORACLE_SQL: dict[str, str] = {
     "feat_indel": indel("q.nn", "r.nn", "name_levenshtein_similarity"),
     "feat_token_sort": indel(f"array_to_string(list_sort({words('q.nn')}), ' ')", f"array_to_string(list_sort({words('r.nn')}), ' ')", "name_token_sort_ratio"),
     "label_pairs": f"{LABELLED} SELECT * FROM lab",
+    "group_split": f"{LABELLED} SELECT *, CASE WHEN ('0x' || substr(md5(source1_entity_id || '/42'), 1, 8))::UBIGINT % 10000 < 2000 THEN 'held' ELSE 'fit' END AS part FROM lab",
     "negatives_top5": f"{LABELLED} SELECT source1_entity_id, candidate_entity_id, target FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id, target ORDER BY candidate_entity_id) AS nth FROM lab) WHERE target = 1 OR nth <= 5",
     "class_balance": f"{LABELLED} SELECT count(DISTINCT target) AS n_classes, count(*) FILTER (target = 1) AS n_positive, count(*) FILTER (target = 0) AS n_negative, round(least(count(*) FILTER (target = 0) / greatest(1, count(*) FILTER (target = 1)), 10.0)::DOUBLE, 6) AS positive_weight FROM lab",
     "rule_score_threshold": f"{SCORED} SELECT * FROM scored WHERE match_probability >= 0.3",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,32 @@ TRUTH_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("source1
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def read_tsv(spark: SparkSession, path: str, nrows: int | None = None, na: bool = True) -> DataFrame:
+def read_rows(spark: SparkSession, path: str, schema: T.StructType, quoted_lines: bool) -> DataFrame:
+    """Rows of a file with a header; columns that a short row lacks are null.
+
+    Files are split among tasks, a row a line. Where quoted fields hold line ends, quoted_lines reads each file in one
+    task; without it a line that leaves a quote open is an error.
+    """
+    torn = "_torn_"
+    df = spark.read.schema(T.StructType([*schema.fields, T.StructField(torn, T.StringType())])).csv(
+        path, sep="\t", header=True, quote='"', escape='"', multiLine=quoted_lines, mode="PERMISSIVE", columnNameOfCorruptRecord=torn)
+    first, *others = [F.col(f.name) for f in schema.fields]
+    if not quoted_lines:
+        line = F.col(torn)
+        open_quote = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+        message = F.concat(F.lit("a quoted field goes on in the next line, read with quoted_lines=True: "), line)
+        first = F.when(open_quote, F.raise_error(message)).otherwise(first).alias(schema.fields[0].name)
+    return df.select(first, *others)
+
+
+def place_in_file() -> Column:
+    """Sorts the rows of a table as its files have them."""
+    return F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
+def read_tsv(spark: SparkSession, path: str, nrows: int | None = None, na: bool = True, quoted_lines: bool = False) -> DataFrame:
     """A source with its four string columns; null tokens become null. nrows takes the first rows of one file."""
-    df = spark.read.schema(SOURCE_SCHEMA).csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE")
+    df = read_rows(spark, path, SOURCE_SCHEMA, quoted_lines)
     if nrows is not None:
         df = df.limit(nrows)
     if na:
@@ -48,10 +72,9 @@ def parse_ids(ids: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(ids, F.lit("")), ","), strip), lambda x: x != ""))
 
 
-def load_ground_truth(spark: SparkSession, path: str) -> DataFrame:
+def load_ground_truth(spark: SparkSession, path: str, quoted_lines: bool = False) -> DataFrame:
     """(source1_entity_id, matched array<string>); empty sets stay, and of a repeated id the last row of the file wins."""
-    df = spark.read.schema(TRUTH_SCHEMA).csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=True)
-    df = df.withColumn("at", F.monotonically_increasing_id())
+    df = read_rows(spark, path, TRUTH_SCHEMA, quoted_lines).withColumn("at", place_in_file())
     return df.groupBy("source1_entity_id").agg(F.max_by(parse_ids(F.col("matched_entity_ids")), "at").alias("matched"))
 
 
@@ -78,6 +101,30 @@ def require_unique(df: DataFrame, key: str = "entity_id") -> DataFrame:
     return df
 
 
+def unique_rows(df: DataFrame, keep: str = "error", key: str = "entity_id") -> DataFrame:
+    """df with one row a key: "first" or "last" of the file, "error" fails on a repeated key, "any" takes df as it is."""
+    if keep == "any":
+        return df
+    if keep == "error":
+        return require_unique(df, key)
+    if keep not in ("first", "last"):
+        raise ValueError("keep: error, first, last or any")
+    row = F.struct(*df.columns)
+    pick = (F.min_by if keep == "first" else F.max_by)("row", "at").alias("row")
+    return df.select(F.col(key).alias("key"), row.alias("row"), place_in_file().alias("at")).groupBy("key").agg(pick).select("row.*")
+
+
+def inspect_dataset(spark: SparkSession, root: str, nrows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Of all sources of root/train and root/test: rows and nulls by column, and rows by country."""
+    profiles, countries = [], []
+    for part in ("train", "test"):
+        for name, df in load_sources(spark, f"{root}/{part}", part, nrows).items():
+            tags = {"part": F.lit(part), "source": F.lit(name)}
+            profiles.append(profile(df).withColumns(tags))
+            countries.append(country_counts(df).withColumns(tags))
+    return reduce(DataFrame.unionByName, profiles), reduce(DataFrame.unionByName, countries)
+
+
 def write_tsv(df: DataFrame, path: str, single: bool = False) -> None:
     """Tab-separated with a header, empty strings written as nothing; single: one part file."""
     (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", nullValue="")

@@ -57,7 +57,8 @@ def test_ratios_together():
 
 def test_overlaps(spark):
     cases = [("a b", "b c"), ("", ""), ("a", ""), ("a a b", "a b"), ("ab", "abc")]
-    df = spark.createDataFrame(cases, "a string, b string").select(S.token_jaccard(F.col("a"), F.col("b")), S.cosine(F.col("a"), F.col("b")), S.character_jaccard(F.col("a"), F.col("b")))
+    a, b = F.col("a"), F.col("b")
+    df = spark.createDataFrame(cases, "a string, b string").select(S.token_jaccard(a, b), S.cosine(S.words(a), S.words(b), S.norm(a), S.norm(b)), S.character_jaccard(a, b))
     got = [tuple(round(x, 6) for x in r) for r in df.collect()]
     assert [g[0] for g in got][:3] == [round(1 / 3, 6), 1.0, 0.0]
     assert [g[1] for g in got][1:4] == [1.0, 0.0, 0.948683]
@@ -96,6 +97,90 @@ def test_truth_and_unique(spark, tmp_path):
         tables.require_unique(spark.createDataFrame([("a",), ("a",)], "entity_id string"))
 
 
+def test_normalize_text_in_both_engines(spark):
+    """ASCII texts, which the JVM folds, come out as the others do."""
+    texts = [*TEXTS, "A\tb\x1cC  d", " _x__Y- ", "\x0b\x0c!", "I.B.M. 'n Co", "a" * 3000 + "!" * 10]
+    got = spark.createDataFrame(list(enumerate(texts)), "n int, raw string").select("n", X.normalize_text("raw").alias("x")).collect()
+    assert [r.x for r in sorted(got)] == [X.fold(t) for t in texts]
+
+
+def test_priority_blocking_without_limits(spark):
+    """Cutting postings to the cap loses no candidate: all keys of all records, ranked one by one."""
+    r = random.Random(3)
+    word = lambda: r.choice("alpha beta gamma delta corp road lane".split())
+    make = lambda k, n: [(f"{k}{i:03}", f"{word()} {word()}", f"{r.randrange(4)} {word()} {word()}", r.choice(["us", "de"])) for i in range(n)]
+    one, ref = make("q", 40), make("r", 150)
+    a, b = (X.add_normalized_columns(spark.createDataFrame(x, SCHEMA)) for x in (one, ref))
+    left, right = ([x.asDict() for x in f.collect()] for f in (a, b))
+    for cap in (2, 7, 40):
+        want = set()
+        for x in left:
+            ranked = []
+            for y in right:
+                if x["country_normalized"] != y["country_normalized"]:
+                    continue
+                if any(x[k] and x[k] == y[k] for k in ("name_normalized", "address_normalized", "house_number", "postal_code")):
+                    ranked.append((1, y["entity_id"]))
+                elif set(x["name_normalized"].split()) & set(y["name_normalized"].split()):
+                    ranked.append((2, y["entity_id"]))
+                elif set(x["address_normalized"].split()) & set(y["address_normalized"].split()):
+                    ranked.append((3, y["entity_id"]))
+            want |= {(x["entity_id"], i) for _, i in sorted(ranked)[:cap]}
+        assert {tuple(p) for p in B.block_priority(a, b, cap).collect()} == want
+
+
+def test_readers(spark, tmp_path):
+    """Short rows, null tokens, quoted fields, line ends in quotes, repeated ids."""
+    path = str(tmp_path / "s.tsv")
+    head = "\t".join(tables.SOURCE_COLUMNS)
+    with open(path, "w") as f:
+        f.write(f'{head}\na\tone\nb\t"two ""x"""\tNA\tus\na\tlast\troad\tde\n')
+    got = [tuple(r) for r in tables.read_tsv(spark, path).collect()]
+    assert got == [("a", "one", None, None), ("b", 'two "x"', None, "us"), ("a", "last", "road", "de")]
+    one = lambda keep: sorted(tuple(r)[:2] for r in tables.unique_rows(tables.read_tsv(spark, path), keep).collect())
+    assert one("first") == [("a", "one"), ("b", 'two "x"')] and one("last") == [("a", "last"), ("b", 'two "x"')] and len(one("any")) == 3
+    with pytest.raises(ValueError):
+        one("error")
+    with open(path, "w") as f:
+        f.write(f'{head}\na\t"two\nlines"\troad\tus\n')
+    assert [tuple(r) for r in tables.read_tsv(spark, path, quoted_lines=True).collect()] == [("a", "two\nlines", "road", "us")]
+    with pytest.raises(Exception, match="goes on in the next line"):
+        tables.read_tsv(spark, path).collect()
+    with open(path, "w") as f:
+        f.write("source1_entity_id\tmatched_entity_ids\nq\tx,y\nq\tz\n")
+    assert [tuple(r) for r in tables.load_ground_truth(spark, path).collect()] == [("q", ["z"])]
+
+
+def test_inspect_dataset(spark, tmp_path):
+    for part in ("train", "test"):
+        (tmp_path / part).mkdir()
+        for n in (1, 2, 3):
+            (tmp_path / part / f"{part}_source{n}.tsv").write_text("\t".join(tables.SOURCE_COLUMNS) + "\n" + f"S{n}-1\tx\t\tus\n" * n)
+    profiles, countries = tables.inspect_dataset(spark, str(tmp_path))
+    got = {(r.part, r.source, r.column): (r.n_rows, r.n_nulls) for r in profiles.collect()}
+    assert len(got) == 24 and got["test", "source3", "business_address"] == (3, 3) and got["train", "source1", "country"] == (1, 0)
+    assert {(r.part, r.source, r.country, r.n_rows) for r in countries.collect()} == {(p, f"source{n}", "us", n) for p in ("train", "test") for n in (1, 2, 3)}
+
+
+def test_evaluation_without_ids(spark):
+    truth = spark.createDataFrame([("e1", ["a"])], "source1_entity_id string, matched array<string>")
+    scored = spark.createDataFrame([("e1", "a", 0.9)], "source1_entity_id string, candidate_entity_id string, match_probability double")
+    got = E.evaluate(scored, truth, truth.select("source1_entity_id").limit(0), 0.5).first().asDict()
+    assert got == dict.fromkeys(("macro_f0_5", "macro_precision", "macro_recall", "singleton_accuracy", "predicted_matches", "entities"), 0.0)
+
+
+@pytest.mark.parametrize("engine", ["inverted", "disk"])
+def test_engines_end_to_end(spark, tmp_path, engine):
+    from tessera import cli
+
+    one = spark.createDataFrame([(f"q{k}", f"Firm alpha{k}", f"{k} Road", "US") for k in range(5)], SCHEMA)
+    ref = spark.createDataFrame([(f"r{k:03}", f"Firm alpha{k % 5}", f"{k} Lane", "US") for k in range(120)], SCHEMA)
+    a, b = X.add_normalized_columns(one), X.add_normalized_columns(ref)
+    got = {tuple(r) for r in cli.candidates(a, b, ref, engine, 500).collect()}
+    firsts = {f"r{k:03}" for k in range(50)}  # of the word that all records have, the driver takes fifty
+    assert {c for _, c in got} >= firsts and {c for q, c in got if q == "q0"} <= firsts | {f"r{k:03}" for k in range(0, 120, 5)}
+
+
 def test_train_and_predict(spark, tmp_path):
     from tessera import cli
 
