@@ -145,6 +145,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_embedding_near_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+              AND len(list_filter(embedding, lambda y: y <> 0)) > 0),
+        l AS (SELECT a.vec_id AS i, b.vec_id AS j FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+              WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+        reach(i, j) AS (SELECT i, j FROM l UNION SELECT r.i, l.j FROM reach r JOIN l ON l.i = r.j),
+        c AS (SELECT i, min(j) AS least FROM reach GROUP BY i), n AS (SELECT i, count(*) AS n_links FROM l GROUP BY i)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(least(vec_id, c.least), vec_id) AS component_id, vec_id = coalesce(least(vec_id, c.least), vec_id) AS kept
+        FROM embeddings LEFT JOIN n ON n.i = vec_id LEFT JOIN c ON c.i = vec_id""",
     "op5_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,

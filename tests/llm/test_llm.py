@@ -243,6 +243,21 @@ def test_vectors(spark, sf_dir, tmp_path):
             assert sorted(got) == want
 
 
+def test_vectors_sql(spark, sf_dir, tmp_path):
+    """The SQL gives the operator's rows, also where there are links."""
+    import duckdb
+
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(8, 16))
+    made = [(n, [float(x) for x in base[n % 8] + rng.normal(size=16) * 0.1], n % 2) for n in range(60)] + [(60, None, 1), (61, [0.0] * 16, 0), (62, [1.0] * 16, None)]
+    spark.createDataFrame(made, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    for path, d in ((f"{tmp_path}/embeddings.parquet/*.parquet", str(tmp_path)), (f"{sf_dir}/embeddings.parquet", sf_dir)):
+        c = duckdb.connect()
+        c.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}'")
+        want = c.execute(Q.ORACLE_SQL["op3_embedding_near_dedup"]).fetchall()
+        assert rows(Q.op3_embedding_near_dedup(spark, d), "vec_id", "n_links", "component_id", "kept") == sorted(want, key=repr)
+
+
 def at_threshold(dim, n):
     """Random pairs of unit vectors at a cosine just above 0.93."""
     rng = np.random.default_rng(9)
