@@ -668,6 +668,35 @@ def test_html_query(spark, sf_dir):
     assert len(got) == 50 and all(r.text and "track(" not in r.text and "<p" not in r.text for r in got)
 
 
+def test_very_long_texts(spark, tmp_path):
+    """A text of four megabytes, another with its first half, and a word of a megabyte, through every operator on documents."""
+    rnd = random.Random(15)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyzäéß") for _ in range(rnd.randrange(2, 9))) for _ in range(700_000)]
+    long = " ".join(words)
+    half = long[: len(long) // 2]
+    made = [(0, long, "en"), (1, half, "de"), (2, "etaoin" * 170_000, "en"), (3, "short", "de")]
+    d = str(tmp_path)
+    spark.createDataFrame([(i, t, lang, None, len(t)) for i, t, lang in made], DOCS).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(0, 1, 0), (1, 0, 0), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    t = tokenizer("byte_bpe_50k.json")
+    ids = {i: t.encode(text, add_special_tokens=False).ids for i, text, _ in made}
+    assert rows(Q.op1_bpe(spark, d), "doc_id", "n_tokens", "ids_sha256") == [(i, len(x), sha(",".join(map(str, x)))) for i, x in sorted(ids.items())]
+    assert {r.lang_pred for r in Q.op4_language_id(spark, d).collect()} <= {"en", "de"}
+    assert rows(Q.op5_exact_dedup(spark, d), "doc_id", "text_sha256") == [(i, sha(text.encode().lower())) for i, text, _ in made]
+    assert len(Q.op6_quality(spark, d).collect()) == 4
+    prints = {r.doc_id: int(r.fingerprint, 16) for r in Q.op8_simhash_near_dedup(spark, d).collect()}
+    shingles = [xxhash.xxh64_intdigest(" ".join(words[k : k + 3]).encode(), 42) for k in range(len(words) - 2)]
+    assert prints[0] == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in shingles) > len(shingles))
+    got = {r.doc_id: r for r in Q.op9_suffix_array_dedup(spark, d).collect()}
+    assert got[1].n_removed == got[1].n_bytes == len(half.encode()) == got[0].n_removed and got[0].n_spans == 1
+    assert got[2].n_removed == got[2].n_bytes == 1_020_000 and got[3].n_removed == 0
+    w = tokenizer("word_bpe_49k.json")
+    totals = Counter()
+    for r in Q.op10_packing(spark, d).collect():
+        totals[r.doc_id] += r.length
+    assert totals == {i: len(w.encode(text, add_special_tokens=False).ids) + 1 for i, text, _ in made}
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
