@@ -62,6 +62,7 @@ class Filters:
         self.turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         self.code = rng.normal(size=(blocks, codes, self.width))
         self.code /= np.linalg.norm(self.code, axis=2, keepdims=True) * np.sqrt(blocks)
+        self.code = self.code.astype(np.float32)  # single precision is enough to choose filters; links are verified in double
         probe = rng.normal(size=(64, dim))
         dots = self.dots(probe / np.linalg.norm(probe, axis=1, keepdims=True))
         total = np.zeros((len(probe), 1))
@@ -73,37 +74,36 @@ class Filters:
         self.threshold = -np.partition(-total, k)[k]
 
     def dots(self, unit: np.ndarray) -> list[np.ndarray]:
-        turned = np.zeros((len(unit), self.width * self.blocks))
+        turned = np.zeros((len(unit), self.width * self.blocks), np.float32)
         turned[:, : self.dim] = unit @ self.turn
         return [turned[:, b * self.width : (b + 1) * self.width] @ self.code[b].T for b in range(self.blocks)]
 
-    def decode(self, unit: np.ndarray) -> list[np.ndarray]:
-        """The filters of each unit vector."""
+    def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The filters of the unit vectors: (vector, filter) in order of the vectors."""
         dots = self.dots(unit)
-        top = np.zeros((len(unit), 1))
+        top = np.zeros((len(unit), 1), np.float32)
         for d in dots:
             top = best((top[:, :, None] + best(d, LEAST)[:, None, :]).reshape(len(unit), -1), LEAST)
-        need = np.minimum(self.threshold, top.min(axis=1)) - 1e-12
+        need = np.minimum(self.threshold, top.min(axis=1)) - np.float32(1e-6)
         most = np.stack([d.max(axis=1) for d in dots])
-        rest = most.sum(axis=0) - most - need  # what the other parts can add at most beyond the need
-        parts = []
-        for d, r in zip(dots, rest, strict=True):  # codes that can be part of a filter, best first
-            vector, code = np.nonzero(d >= -r[:, None])
-            score = d[vector, code]
-            order = np.lexsort((-score, vector))
-            parts.append((score[order], code[order], np.searchsorted(vector, np.arange(len(unit) + 1)).tolist()))
-        to_come = np.vstack([most[::-1].cumsum(axis=0)[::-1], np.zeros(len(unit))])
-        out = []
-        for n in range(len(unit)):
-            score, name = np.zeros(1), np.zeros(1, np.int64)
-            for b, (scores, codes, cut) in enumerate(parts):
-                d, c = scores[cut[n] : cut[n + 1]], codes[cut[n] : cut[n + 1]]
-                count = np.searchsorted(-d, score + to_come[b + 1, n] - need[n], side="right")
-                which = np.repeat(np.arange(len(score)), count)
-                place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-                score, name = score[which] + d[place], name[which] * self.codes + c[place]
-            out.append(name)
-        return out
+        others = most.sum(axis=0) - most  # what the other parts can add at most
+        vector, score, name = np.arange(len(unit)), np.zeros(len(unit), np.float32), np.zeros(len(unit), np.int64)
+        for b, d in enumerate(dots):
+            # codes that can be part of a filter, a row for each vector
+            row, code = np.nonzero(d >= (need - others[b])[:, None])
+            place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(unit)))[row]
+            scores = np.full((len(unit), place.max() + 1), -np.inf, np.float32)
+            codes = np.zeros(scores.shape, np.int64)
+            scores[row, place], codes[row, place] = d[row, code], code
+            rest = need - most[b + 1 :].sum(axis=0)
+            step, parts = max(1, (1 << 22) // scores.shape[1]), []
+            for at in range(0, len(vector), step):
+                v = vector[at : at + step]
+                choice, k = np.nonzero(score[at : at + step, None] + scores[v] >= rest[v][:, None])
+                v, choice = v[choice], choice + at
+                parts.append((v, score[choice] + scores[v, k], name[choice] * self.codes + codes[v, k]))
+            vector, score, name = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return vector, name
 
 
 def best(scores: np.ndarray, k: int) -> np.ndarray:
@@ -119,9 +119,10 @@ class Tables:
         self.step = codes**blocks
         self.tables = [Filters(dim, blocks, codes, mean, 3 + n) for n in range(tables)]
 
-    def decode(self, unit: np.ndarray) -> list[np.ndarray]:
-        lists = [[x + n * self.step for x in t.decode(unit)] for n, t in enumerate(self.tables)]
-        return [np.concatenate(x) for x in zip(*lists, strict=True)]
+    def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vector, filter) of all tables."""
+        found = [t.decode(unit) for t in self.tables]
+        return np.concatenate([v for v, _ in found]), np.concatenate([f + n * self.step for n, (_, f) in enumerate(found)])
 
 
 @lru_cache(maxsize=16)
@@ -165,10 +166,9 @@ def met(how: tuple, kind: str):
                 for size in sorted({len(r) for r in raw}):
                     rows = [n for n, r in enumerate(raw) if len(r) == size]
                     dim = size // np.dtype(kind).itemsize
-                    lists = filters(dim, *how).decode(unit_rows(b"".join([raw[n] for n in rows]), len(rows), kind))
-                    count = np.array([len(x) for x in lists])
-                    pick = pa.array(np.repeat(rows, count))
-                    yield pa.RecordBatch.from_arrays([b.column("label").take(pick), pa.array(np.full(count.sum(), dim, np.int32)), pa.array(np.concatenate(lists)), b.column("rep").take(pick)], ["label", "dim", "filter", "rep"])
+                    vector, name = filters(dim, *how).decode(unit_rows(b"".join([raw[n] for n in rows]), len(rows), kind))
+                    pick = pa.array(np.array(rows)[vector])
+                    yield pa.RecordBatch.from_arrays([b.column("label").take(pick), pa.array(np.full(len(name), dim, np.int32)), pa.array(name), b.column("rep").take(pick)], ["label", "dim", "filter", "rep"])
 
     return run
 
@@ -221,11 +221,14 @@ class Lesser:
         most = max(1, int(size.max()))
         padded = np.full((len(used), most), -1, np.int64)
         padded[row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] = names
-        step = max(1, (1 << 22) // (most * most))
+        step = max(1, (1 << 19) // most)
         for at in range(0, len(i), step):
-            a, b = padded[i[at : at + step]], padded[j[at : at + step]]
-            a = np.where(a >= 0, a, -2)
-            out[at : at + step] = (a[:, :, None] == b[:, None, :]).any(axis=(1, 2))
+            live = np.arange(at, min(len(i), at + step))
+            for k in range(0, most, 8):  # a few names at a time, as most pairs that share some share many
+                a = padded[i[live], k : k + 8]
+                hit = ((a[:, :, None] == padded[j[live], None, :]) & (a >= 0)[:, :, None]).any(axis=(1, 2))
+                out[live[hit]] = True
+                live = live[~hit]
         return out
 
 
