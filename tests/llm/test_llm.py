@@ -757,6 +757,41 @@ def test_pipeline_keeps_a_repeated_document_whole(spark, tmp_path):
     assert got == {1: len(t.encode(text, add_special_tokens=False).ids) + 1, 2: len(t.encode("other words", add_special_tokens=False).ids) + 1}
 
 
+def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
+    """Files with repeated and null ids, repeated rows, null and empty texts and clashing columns, stage by stage."""
+    import corpus_pipeline
+
+    rnd = random.Random(16)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(2, 8))) for _ in range(n))
+    one, two, three = prose(300), prose(300), prose(300)
+    passage = prose(55)
+    made = [(1, one), (1, one), (None, one), (2, one.upper()), (2, two), (2, None), (None, None), (3, ""), (4, "12 %"), (None, three), (5, f"{prose(80)} {passage} {prose(80)}"), (6, f"{prose(80)} {passage} {prose(80)}")]
+    columns = "spans int, span_dig long, owner string, fp long, n int, `group` string, keeper int, tessera_row int, tessera_path string, _torn_ int"
+    extra = (1, 2, "o", 3, 4, "g", 5, 6, "p", 7)
+    spark.createDataFrame([(i, t, "en", None, 0, *extra) for i, t in made], f"{DOCS}, {columns}").repartition(3).write.parquet(f"{tmp_path}/0")
+    kept = []
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        docs = spark.read.parquet(f"{tmp_path}/{n}")
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{n + 1}")
+        got = spark.read.parquet(f"{tmp_path}/{n + 1}").collect()
+        assert all(tuple(r)[5:] == extra for r in got)
+        kept.append(sorted((str(r.doc_id), (r.text or "")[:20].lower()) for r in got))
+    texts = {n: t[:20].lower() for n, (_, t) in enumerate(made) if t}
+    rest = [("2", texts[4]), ("None", texts[9]), ("5", texts[10]), ("6", texts[11])]
+    assert kept[0] == sorted([("1", texts[0]), ("1", texts[0]), ("None", texts[0]), ("2", texts[0]), *rest])
+    assert kept[1] == kept[2] == kept[3] == sorted([("2", texts[0]), *rest])
+    for r in spark.read.parquet(f"{tmp_path}/4").collect():
+        assert passage[1:-1] not in r.text
+        assert len(r.text) == r.n_chars and (r.doc_id in (5, 6) or len(r.text) > 900)
+    assert corpus_pipeline.STAGES[-1][1](spark, spark.read.parquet(f"{tmp_path}/4"), str(tmp_path)).where("doc_id is null").count() > 0
+    docs = spark.read.parquet(f"{tmp_path}/0").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.count() == 0
+
+
 def test_language_stage_without_labels(spark, sf_dir):
     """Where no language can be learned only null and letterless texts go."""
     import corpus_pipeline
