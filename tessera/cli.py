@@ -53,8 +53,8 @@ def train(spark: SparkSession, directory: str, out: str, sample: int | None = No
     each searched source. ids: "all" evaluates every held-out entity, "paired" only those with a candidate. keep: which
     row of a repeated id stays, see `unique_rows`.
     """
-    source1 = tables.unique_rows(tables.read_tsv(spark, f"{directory}/train_source1.tsv", sample), keep)
-    reference = tables.unique_rows(tables.load_reference_sources(spark, directory, "train"), keep)
+    source1 = tables.unique_rows(tables.read_tsv(spark, f"{directory}/train_source1.tsv", sample, place=True), keep)
+    reference = tables.unique_rows(tables.load_reference_sources(spark, directory, "train", place=True), keep)
     truth = tables.load_ground_truth(spark, f"{directory}/train_ground_truth.tsv")
     truth = truth.join(source1.select(F.col("entity_id").alias("source1_entity_id")), "source1_entity_id", "left_semi")
     if negatives is not None:
@@ -88,8 +88,8 @@ def predict(spark: SparkSession, directory: str, model: str, out: str, prefix: s
     """Write candidate_pairs.tsv and matching_results.tsv; the threshold is the model's own unless one is given."""
     progress = Progress()
     bundle = training.load_model(model, spark)
-    source1 = tables.unique_rows(tables.read_tsv(spark, f"{directory}/{prefix}_source1.tsv", nrows), keep)
-    reference = tables.unique_rows(tables.load_reference_sources(spark, directory, prefix, nrows), keep)
+    source1 = tables.unique_rows(tables.read_tsv(spark, f"{directory}/{prefix}_source1.tsv", nrows, place=True), keep)
+    reference = tables.unique_rows(tables.load_reference_sources(spark, directory, prefix, nrows, place=True), keep)
     left = progress.watch("source1", add_normalized_columns(source1)).persist()
     right = progress.watch("reference", add_normalized_columns(reference)).persist()
     pairs = progress.watch("candidates", candidates(left, right, reference, engine, cap)).persist()

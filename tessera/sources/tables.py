@@ -19,8 +19,12 @@ TRUTH_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("source1
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def read_rows(spark: SparkSession, path: str, schema: T.StructType, quoted_lines: bool) -> DataFrame:
-    """Rows of a file with a header; columns that a short row lacks are null.
+#: A column that sorts rows as their files have them.
+PLACE = "_place_"
+
+
+def read_rows(spark: SparkSession, path: str, schema: T.StructType, quoted_lines: bool, place: bool) -> DataFrame:
+    """Rows of a file with a header; columns that a short row lacks are null. place: with the column PLACE.
 
     Files are split among tasks, a row a line. Where quoted fields hold line ends, quoted_lines reads each file in one
     task; without it a line that leaves a quote open is an error.
@@ -34,26 +38,23 @@ def read_rows(spark: SparkSession, path: str, schema: T.StructType, quoted_lines
         open_quote = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
         message = F.concat(F.lit("a quoted field goes on in the next line, read with quoted_lines=True: "), line)
         first = F.when(open_quote, F.raise_error(message)).otherwise(first).alias(schema.fields[0].name)
+    if place:
+        others.append(F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias(PLACE))
     return df.select(first, *others)
 
 
-def place_in_file() -> Column:
-    """Sorts the rows of a table as its files have them."""
-    return F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("row"))
-
-
-def read_tsv(spark: SparkSession, path: str, nrows: int | None = None, na: bool = True, quoted_lines: bool = False) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, nrows: int | None = None, na: bool = True, quoted_lines: bool = False, place: bool = False) -> DataFrame:
     """A source with its four string columns; null tokens become null. nrows takes the first rows of one file."""
-    df = read_rows(spark, path, SOURCE_SCHEMA, quoted_lines)
+    df = read_rows(spark, path, SOURCE_SCHEMA, quoted_lines, place)
     if nrows is not None:
         df = df.limit(nrows)
     if na:
-        df = df.select([F.when(~F.col(c).isin(NA_TOKENS), F.col(c)).alias(c) for c in SOURCE_COLUMNS])
+        df = df.withColumns({c: F.when(~F.col(c).isin(NA_TOKENS), F.col(c)) for c in SOURCE_COLUMNS})
     return df
 
 
-def load_sources(spark: SparkSession, directory: str, prefix: str, nrows: int | None = None) -> dict[str, DataFrame]:
-    return {f"source{n}": read_tsv(spark, f"{directory}/{prefix}_source{n}.tsv", nrows) for n in (1, 2, 3)}
+def load_sources(spark: SparkSession, directory: str, prefix: str, nrows: int | None = None, place: bool = False) -> dict[str, DataFrame]:
+    return {f"source{n}": read_tsv(spark, f"{directory}/{prefix}_source{n}.tsv", nrows, place=place) for n in (1, 2, 3)}
 
 
 def reference_union(source2: DataFrame, source3: DataFrame) -> DataFrame:
@@ -61,8 +62,8 @@ def reference_union(source2: DataFrame, source3: DataFrame) -> DataFrame:
     return source2.withColumn("record_source", F.lit("source2")).unionByName(source3.withColumn("record_source", F.lit("source3")))
 
 
-def load_reference_sources(spark: SparkSession, directory: str, prefix: str, nrows: int | None = None) -> DataFrame:
-    sources = load_sources(spark, directory, prefix, nrows)
+def load_reference_sources(spark: SparkSession, directory: str, prefix: str, nrows: int | None = None, place: bool = False) -> DataFrame:
+    sources = load_sources(spark, directory, prefix, nrows, place)
     return reference_union(sources["source2"], sources["source3"])
 
 
@@ -74,8 +75,8 @@ def parse_ids(ids: Column) -> Column:
 
 def load_ground_truth(spark: SparkSession, path: str, quoted_lines: bool = False) -> DataFrame:
     """(source1_entity_id, matched array<string>); empty sets stay, and of a repeated id the last row of the file wins."""
-    df = read_rows(spark, path, TRUTH_SCHEMA, quoted_lines).withColumn("at", place_in_file())
-    return df.groupBy("source1_entity_id").agg(F.max_by(parse_ids(F.col("matched_entity_ids")), "at").alias("matched"))
+    df = read_rows(spark, path, TRUTH_SCHEMA, quoted_lines, place=True)
+    return df.groupBy("source1_entity_id").agg(F.max_by(parse_ids(F.col("matched_entity_ids")), PLACE).alias("matched"))
 
 
 def truth_pairs(truth: DataFrame) -> DataFrame:
@@ -102,16 +103,17 @@ def require_unique(df: DataFrame, key: str = "entity_id") -> DataFrame:
 
 
 def unique_rows(df: DataFrame, keep: str = "error", key: str = "entity_id") -> DataFrame:
-    """df with one row a key: "first" or "last" of the file, "error" fails on a repeated key, "any" takes df as it is."""
-    if keep == "any":
-        return df
-    if keep == "error":
-        return require_unique(df, key)
-    if keep not in ("first", "last"):
+    """df with one row a key: "first" or "last" by PLACE, "error" fails on a repeated key, "any" takes df as it is.
+
+    The column PLACE of a frame that was read with it is dropped.
+    """
+    if keep not in ("error", "first", "last", "any"):
         raise ValueError("keep: error, first, last or any")
-    row = F.struct(*df.columns)
-    pick = (F.min_by if keep == "first" else F.max_by)("row", "at").alias("row")
-    return df.select(F.col(key).alias("key"), row.alias("row"), place_in_file().alias("at")).groupBy("key").agg(pick).select("row.*")
+    if keep in ("error", "any"):
+        return (require_unique(df, key) if keep == "error" else df).drop(PLACE)
+    row = F.struct(*[c for c in df.columns if c != PLACE])
+    pick = (F.min_by if keep == "first" else F.max_by)("row", PLACE).alias("row")
+    return df.select(F.col(key).alias("key"), row.alias("row"), PLACE).groupBy("key").agg(pick).select("row.*")
 
 
 def inspect_dataset(spark: SparkSession, root: str, nrows: int | None = None) -> tuple[DataFrame, DataFrame]:

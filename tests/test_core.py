@@ -137,7 +137,7 @@ def test_readers(spark, tmp_path):
         f.write(f'{head}\na\tone\nb\t"two ""x"""\tNA\tus\na\tlast\troad\tde\n')
     got = [tuple(r) for r in tables.read_tsv(spark, path).collect()]
     assert got == [("a", "one", None, None), ("b", 'two "x"', None, "us"), ("a", "last", "road", "de")]
-    one = lambda keep: sorted(tuple(r)[:2] for r in tables.unique_rows(tables.read_tsv(spark, path), keep).collect())
+    one = lambda keep: sorted(tuple(r)[:2] for r in tables.unique_rows(tables.read_tsv(spark, path, place=True), keep).collect())
     assert one("first") == [("a", "one"), ("b", 'two "x"')] and one("last") == [("a", "last"), ("b", 'two "x"')] and len(one("any")) == 3
     with pytest.raises(ValueError):
         one("error")
@@ -146,6 +146,12 @@ def test_readers(spark, tmp_path):
     assert [tuple(r) for r in tables.read_tsv(spark, path, quoted_lines=True).collect()] == [("a", "two\nlines", "road", "us")]
     with pytest.raises(Exception, match="goes on in the next line"):
         tables.read_tsv(spark, path).collect()
+    for n in (1, 2, 3):
+        (tmp_path / f"x_source{n}.tsv").write_text(f"{head}\nsame\tname{n}\troad\tus\nown{n}\tx\ty\tus\n")
+    both = tables.load_reference_sources(spark, str(tmp_path), "x", place=True)
+    for keep, n in (("first", 2), ("last", 3)):
+        got = sorted(tuple(r) for r in tables.unique_rows(both, keep).select("entity_id", "business_name", "record_source").collect())
+        assert got == [("own2", "x", "source2"), ("own3", "x", "source3"), ("same", f"name{n}", f"source{n}")]
     with open(path, "w") as f:
         f.write("source1_entity_id\tmatched_entity_ids\nq\tx,y\nq\tz\n")
     assert [tuple(r) for r in tables.load_ground_truth(spark, path).collect()] == [("q", ["z"])]
