@@ -40,9 +40,15 @@ BYTE_LEVEL, LOWER = "byte_level", "lower"
 KNOWN = {
     BYTE_LEVEL: (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}),
     LOWER: (
-        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {
+            "type": "Sequence",
+            "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+        },
         {"type": "Sequence", "pretokenizers": [
-            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {
+                "type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed", "invert": True
+            },
             {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
         ]},
     ),
@@ -548,7 +554,9 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, decode: bool = False, diges
     """
     codec = codec_of(docs.sparkSession, tokenizer_path)
     more = "".join(f", {c} string" for c in digest_columns) if digest else ", ids array<long>" + ", decoded string" * decode
-    return docs.select(F.col("doc_id").cast("long"), "text").transform(in_arrow, encoded(codec, decode, digest), f"doc_id long, n_tokens long{more}")
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(
+        in_arrow, encoded(codec, decode, digest), f"doc_id long, n_tokens long{more}"
+    )
 
 
 def bpe_decode(rows: DataFrame, tokenizer_path: str, ids: str = "ids") -> DataFrame:

@@ -126,7 +126,12 @@ def windows(turns: Iterator[tuple[str, str, int]], budget: int, history: int) ->
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 OUT = "conv_id long, window long, text string, loss array<struct<start:long,stop:long>>, n_repeated long, n_turns long, n_tokens long"
-KINDS = pa.schema([("conv_id", pa.int64()), ("window", pa.int64()), ("text", pa.string()), ("loss", SPANS), ("n_repeated", pa.int64()), ("n_turns", pa.int64()), ("n_tokens", pa.int64())])
+KINDS = pa.schema(
+    [
+        ("conv_id", pa.int64()), ("window", pa.int64()), ("text", pa.string()), ("loss", SPANS), ("n_repeated", pa.int64()),
+        ("n_turns", pa.int64()), ("n_tokens", pa.int64())
+    ]
+)
 
 
 def framed(codec, budget: int, history: int):

@@ -107,7 +107,10 @@ KEY = "n_bytes long, h long"
 def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
         texts = [x.lower() for x in as_bytes(b.column("text"))]
-        yield pa.RecordBatch.from_arrays([pa.array([len(x) for x in texts], pa.int64()), pa.array([content_hash(x) for x in texts], pa.int64())], ["n_bytes", "h"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([len(x) for x in texts], pa.int64()), pa.array([content_hash(x) for x in texts], pa.int64())],
+            ["n_bytes", "h"]
+        )
 
 
 def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,10 +122,17 @@ def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = [seen + n if i is None else content_hash(str(i).encode()) for n, i in enumerate(ids)]
         seen += len(ids)
         cols = [[len(x) for x in texts], [content_hash(x) for x in texts], places, ids]
-        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(texts, pa.binary())], ["n_bytes", "h", "place", "doc_id", "text"])
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array(c, pa.int64()) for c in cols], pa.array(texts, pa.binary())], ["n_bytes", "h", "place", "doc_id", "text"]
+        )
 
 
-OUT = pa.schema([("doc_id", pa.int64()), ("owner", pa.int64()), ("members", pa.int64()), ("text_sha256", pa.string()), ("n_bytes", pa.int64()), ("h", pa.int64()), ("pieces", pa.int32()), ("text", pa.binary())])
+OUT = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("owner", pa.int64()), ("members", pa.int64()), ("text_sha256", pa.string()),
+        ("n_bytes", pa.int64()), ("h", pa.int64()), ("pieces", pa.int32()), ("text", pa.binary())
+    ]
+)
 NONE = -(1 << 63)
 
 
@@ -173,7 +183,12 @@ def rows(out: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema.names)
 
 
-MERGED = pa.schema([("n_bytes", pa.int64()), ("h", pa.int64()), ("piece_owner", pa.int64()), ("piece_sha", pa.string()), ("keep", pa.int64()), ("total", pa.int64())])
+MERGED = pa.schema(
+    [
+        ("n_bytes", pa.int64()), ("h", pa.int64()), ("piece_owner", pa.int64()), ("piece_sha", pa.string()), ("keep", pa.int64()),
+        ("total", pa.int64())
+    ]
+)
 
 
 def merge(largest: bool):
@@ -187,7 +202,9 @@ def merge(largest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, out = PatriciaTrie(), []
         for b in slices(batches):
-            for n, h, owner, members, sha, text in zip(*(b.column(c).to_pylist() for c in ("n_bytes", "h", "owner", "members", "text_sha256", "text")), strict=True):
+            for n, h, owner, members, sha, text in zip(
+                *(b.column(c).to_pylist() for c in ("n_bytes", "h", "owner", "members", "text_sha256", "text")), strict=True
+            ):
                 node, finished = trie.insert(text)
                 for done in finished:
                     out.extend(whole(done.stored))
@@ -205,7 +222,9 @@ def merge(largest: bool):
 
 def hot_keys(docs: DataFrame, piece: int, most: int = HOT_KEYS) -> DataFrame:
     """Keys with more than `piece` rows and the number of pieces of each; piece doubles until the list is short."""
-    counts = scratch(docs.select("text").transform(in_arrow, keyed, KEY).groupBy("n_bytes", "h").count().where(F.col("count") > piece), "hot")
+    counts = scratch(
+        docs.select("text").transform(in_arrow, keyed, KEY).groupBy("n_bytes", "h").count().where(F.col("count") > piece), "hot"
+    )
     while counts.where(F.col("count") > piece).count() > most:
         piece *= 2
     return counts.where(F.col("count") > piece).select("n_bytes", "h", F.ceil(F.sqrt("count")).cast("int").alias("pieces"))
@@ -220,11 +239,29 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest", piece: int = PIECE) ->
     one = one.join(F.broadcast(hot_keys(docs, piece)), ["n_bytes", "h"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     one = one.withColumn("salt", F.pmod("place", "pieces").cast("int")).drop("place")
     one = one.repartition("n_bytes", "h", "salt").sortWithinPartitions("text", "salt")
-    one = scratch(one.transform(in_arrow, tries(largest), "doc_id long, owner long, members long, text_sha256 string, n_bytes long, h long, pieces int, text binary"), "members")
+    one = scratch(
+        one.transform(
+            in_arrow, tries(largest),
+            "doc_id long, owner long, members long, text_sha256 string, n_bytes long, h long, pieces int, text binary"
+        ),
+        "members"
+    )
     pieces = one.where(F.col("text").isNotNull()).drop("doc_id", "pieces")
-    merged = pieces.repartition("n_bytes", "h").sortWithinPartitions("text").transform(in_arrow, merge(largest), "n_bytes long, h long, piece_owner long, piece_sha string, keep long, total long")
+    merged = pieces.repartition("n_bytes", "h").sortWithinPartitions("text").transform(
+        in_arrow, merge(largest), "n_bytes long, h long, piece_owner long, piece_sha string, keep long, total long"
+    )
     merged = scratch(merged, "owners").withColumnsRenamed({"n_bytes": "m_bytes", "h": "m_h"})
-    hot = one.where("pieces > 1").join(merged, (F.col("n_bytes") == F.col("m_bytes")) & (F.col("h") == F.col("m_h")) & F.col("owner").eqNullSafe(F.col("piece_owner")) & (F.col("text_sha256") == F.col("piece_sha")))
+    hot = one.where("pieces > 1").join(
+        merged,
+        (F.col("n_bytes") == F.col("m_bytes")) & (F.col("h") == F.col("m_h")) & F.col("owner").eqNullSafe(F.col("piece_owner")) & (
+            F.col("text_sha256") == F.col("piece_sha")
+        )
+    )
     columns = ["doc_id", "keep", "total", "text_sha256", "n_bytes"]
-    both = one.where("pieces = 1").withColumnsRenamed({"owner": "keep", "members": "total"}).select(columns).unionByName(hot.select(columns))
-    return both.select("doc_id", F.col("keep").alias("keep_id"), F.col("total").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep")).alias("kept"), "text_sha256", "n_bytes")
+    both = one.where("pieces = 1").withColumnsRenamed(
+        {"owner": "keep", "members": "total"}
+    ).select(columns).unionByName(hot.select(columns))
+    return both.select(
+        "doc_id", F.col("keep").alias("keep_id"), F.col("total").alias("group_size"),
+        F.col("doc_id").eqNullSafe(F.col("keep")).alias("kept"), "text_sha256", "n_bytes"
+    )

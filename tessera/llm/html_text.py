@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from .common import in_arrow, slices
 
 #: Comments, character data, declarations, end tags and text; opening tags have a pattern of their own.
-OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)|[^<]++|<", re.DOTALL)
+OTHER = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)|[^<]++|<", re.DOTALL
+)
 QUOTED = re.compile(r"<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 UNQUOTED = re.compile(r"<([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?")
@@ -44,9 +46,13 @@ INDENT, TABLES, COLUMNS = 40, 16, 1000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style iframe noembed noframes xmp".split())
 RAW_WITH_ENTITIES = frozenset("title textarea".split())
-UNSEEN = frozenset("head script style template title iframe noembed noframes datalist audio video canvas object colgroup defs desc metadata annotation annotation-xml".split())
+UNSEEN = frozenset(
+    "head script style template title iframe noembed noframes datalist audio video canvas object colgroup defs desc metadata annotation annotation-xml".split()
+)
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure fieldset hr".split())
-BLOCK = MARGIN | frozenset("address article aside body center details dialog dd div dt fieldset figcaption footer form header html legend li main menu nav option section summary tr thead tbody tfoot caption text".split())
+BLOCK = MARGIN | frozenset(
+    "address article aside body center details dialog dd div dt fieldset figcaption footer form header html legend li main menu nav option section summary tr thead tbody tfoot caption text".split()
+)
 #: What an opening tag closes, and the ancestors beyond which it does not look.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -79,7 +85,9 @@ class Element:
         self.tag, self.children, self.hidden, self.start, self.across, self.down = tag, [], tag in UNSEEN, 1, 1, 1
         if attributes.strip():
             a = {k.lower(): html.unescape(v[1:-1] if v[:1] in "\"'" else v) for k, v in reversed(ATTRIBUTE.findall(attributes))}
-            self.hidden |= "hidden" in a or bool(HIDING.search(a.get("style", ""))) or tag == "input" and a.get("type", "").lower() == "hidden" or tag == "dialog" and "open" not in a
+            self.hidden |= "hidden" in a or bool(
+                HIDING.search(a.get("style", ""))
+            ) or tag == "input" and a.get("type", "").lower() == "hidden" or tag == "dialog" and "open" not in a
             if tag == "ol" and re.fullmatch(r"-?\d{1,9}", a.get("start", "")):
                 self.start = int(a["start"])
             elif tag in ("td", "th"):

@@ -108,7 +108,10 @@ class Network:
         z += self.bias
         return softmax(z).reshape(*x.shape, -1)
 
-    def train(self, windows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, epochs: int = 0, batch: int = 256, rate: float = 0.02, seed: int = 5) -> None:
+    def train(
+        self, windows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, epochs: int = 0, batch: int = 256, rate: float = 0.02,
+        seed: int = 5
+    ) -> None:
         """windows (n, STEPS) bytes of which sizes are valid, labels by index of language; Adam on the mean position loss."""
         epochs = epochs or max(EPOCHS, -(-UPDATES * batch // len(windows)))
         rng = np.random.default_rng(seed)
@@ -149,7 +152,10 @@ class Network:
         partial = np.flatnonzero(rest)
         whole = lengths // STEPS
         text = np.r_[partial, np.repeat(np.arange(len(lengths)), whole)]
-        start = np.r_[offsets[partial] + whole[partial] * STEPS, np.repeat(offsets[:-1], whole) + STEPS * (np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole))]
+        start = np.r_[
+            offsets[partial] + whole[partial] * STEPS,
+            np.repeat(offsets[:-1], whole) + STEPS * (np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole))
+        ]
         size = np.r_[rest[partial], np.full(whole.sum(), STEPS)]
         for at in range(0, len(text), at_once):
             s, n = start[at : at + at_once], size[at : at + at_once]
@@ -219,7 +225,10 @@ def labelled(net: Network | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, most=1 << 20):
             names, scores = labels(net, b.column("text"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                ["doc_id", "lang_pred", "score"]
+            )
 
     return run
 

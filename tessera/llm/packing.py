@@ -50,7 +50,13 @@ def pieces(codec, closing: int, longest: int, digest: bool):
                     payload.append(zlib.crc32(part.tobytes()) if digest else part)
                     start += n
             last = pa.array(payload, pa.int64()) if digest else pa.array(payload, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(totals, pa.int64()), last], ["doc_id", "start", "length", "doc_tokens", "ids_crc32" if digest else "ids"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
+                    pa.array(totals, pa.int64()), last
+                ],
+                ["doc_id", "start", "length", "doc_tokens", "ids_crc32" if digest else "ids"]
+            )
 
     return run
 
@@ -65,5 +71,9 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = MAX_LENGTH, closin
         raise ValueError("the longest length must be a power of two")
     codec = codec_of(docs.sparkSession, tokenizer_path)
     last = "ids_crc32 long" if digest else "ids array<long>"
-    out = docs.select(F.col("doc_id").cast("long"), "text").transform(in_arrow, pieces(codec, closing, longest, digest), f"doc_id long, start long, length long, doc_tokens long, {last}")
-    return out.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "bucket": F.log2("length").cast("int")})
+    out = docs.select(F.col("doc_id").cast("long"), "text").transform(
+        in_arrow, pieces(codec, closing, longest, digest), f"doc_id long, start long, length long, doc_tokens long, {last}"
+    )
+    return out.withColumns(
+        {"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "bucket": F.log2("length").cast("int")}
+    )

@@ -99,7 +99,9 @@ class Model:
 def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
         x = features(*flat(b.column("text")))
-        yield pa.RecordBatch.from_arrays([b.column("quality"), pa.array([v.astype(np.float16).tobytes() for v in x], pa.binary())], ["quality", "x"])
+        yield pa.RecordBatch.from_arrays(
+            [b.column("quality"), pa.array([v.astype(np.float16).tobytes() for v in x], pa.binary())], ["quality", "x"]
+        )
 
 
 def fit(docs: DataFrame, labels: DataFrame, use: Column, sample: int = SAMPLE) -> Model | None:
@@ -111,8 +113,12 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, sample: int = SAMPLE) -
     n = rows.count()
     if not n:
         return None
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < min(1.0, sample / n) * (1 << 30)).dropDuplicates(["doc_id"])
-    both = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("quality", "text")).alias("one"))
+    chosen = rows.where(
+        F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < min(1.0, sample / n) * (1 << 30)
+    ).dropDuplicates(["doc_id"])
+    both = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct("quality", "text")).alias("one")
+    )
     got = both.select("one.quality", "one.text").transform(in_arrow, vectors, "quality int, x binary").collect()
     if not got:
         return None

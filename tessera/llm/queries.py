@@ -28,7 +28,10 @@ def op1_digest(ids: list, texts: list[str]) -> dict[str, list[str]]:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import bpe_encode
 
-    return bpe_encode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), decode=True, digest=op1_digest, digest_columns=("ids_sha256", "decoded_sha256"))
+    return bpe_encode(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), decode=True, digest=op1_digest,
+        digest_columns=("ids_sha256", "decoded_sha256")
+    )
 
 
 def op2_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,11 +57,16 @@ def op2_read_back(batches):
 
     now, out = None, []
     for b in batches:
-        for conv, n, text, loss, repeated in zip(*(b.column(k).to_pylist() for k in ("conv_id", "window", "text", "loss", "n_repeated")), strict=True):
+        for conv, n, text, loss, repeated in zip(
+            *(b.column(k).to_pylist() for k in ("conv_id", "window", "text", "loss", "n_repeated")), strict=True
+        ):
             if n == 0:
                 if now is not None:
                     out.append(done(now))
-                now = {"conv": conv, "turns": 0, "hash": hashlib.sha256(), "loss": 0, "loss_hash": hashlib.sha256(), "chars": 0, "windows": 0}
+                now = {
+                    "conv": conv, "turns": 0, "hash": hashlib.sha256(), "loss": 0, "loss_hash": hashlib.sha256(), "chars": 0,
+                    "windows": 0
+                }
             now["chars"] += len(text)
             now["windows"] += 1
             for role, said in parse(text)[repeated:]:
@@ -81,7 +89,10 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import chat_windows
 
     windows = chat_windows(op2_conversations(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
-    return windows.transform(in_arrow, op2_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
+    return windows.transform(
+        in_arrow, op2_read_back,
+        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long"
+    )
 
 
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +122,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out_of_fit = held_out(modulus=5, rest=0)
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~out_of_fit)
-    return quality.score(docs, model).select("doc_id", out_of_fit.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return quality.score(docs, model).select(
+        "doc_id", out_of_fit.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +154,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_chat, op3_embedding_near_dedup, op4_language_id, op5_exact_dedup, op6_quality, op7_html_text, op8_simhash_near_dedup, op9_suffix_array_dedup, op10_packing)
+    f.__name__: f for f in (
+        op1_bpe, op2_chat, op3_embedding_near_dedup, op4_language_id, op5_exact_dedup, op6_quality, op7_html_text,
+        op8_simhash_near_dedup, op9_suffix_array_dedup, op10_packing
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {

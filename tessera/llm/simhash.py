@@ -57,7 +57,9 @@ def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
     stops = np.cumsum(lengths) - 1
     starts = stops - lengths + 1
     digest = xxhash.xxh64_intdigest
-    return np.array([digest(line[a:b], SEED) for a, b in zip(starts[: 1 - size].tolist(), stops[size - 1 :].tolist(), strict=True)], np.uint64)
+    return np.array(
+        [digest(line[a:b], SEED) for a, b in zip(starts[: 1 - size].tolist(), stops[size - 1 :].tolist(), strict=True)], np.uint64
+    )
 
 
 def simhash(hashes: np.ndarray) -> int:
@@ -107,7 +109,13 @@ def keys(masks: list[int]):
             fp, table = (b.column(c).to_numpy().view(np.uint64) for c in ("fp", "distances"))
             masked = (table[:, None] & wide).ravel()
             k = len(masks)
-            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(k, dtype=np.int32), len(fp))), *[pa.array(x.view(np.int64)) for x in (masked, np.repeat(fp, k), np.repeat(table, k))]], ["mask", "key", "fp", "distances"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.tile(np.arange(k, dtype=np.int32), len(fp))),
+                    *[pa.array(x.view(np.int64)) for x in (masked, np.repeat(fp, k), np.repeat(table, k))]
+                ],
+                ["mask", "key", "fp", "distances"]
+            )
 
     return run
 
@@ -115,12 +123,17 @@ def keys(masks: list[int]):
 def with_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fp = b.column("fp")
-        yield pa.RecordBatch.from_arrays([fp, b.column("rep"), pa.array(tables(fp.to_numpy().view(np.uint64)).view(np.int64))], ["fp", "rep", "distances"])
+        yield pa.RecordBatch.from_arrays(
+            [fp, b.column("rep"), pa.array(tables(fp.to_numpy().view(np.uint64)).view(np.int64))], ["fp", "rep", "distances"]
+        )
 
 
 def pairs_of(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (i < j) within each of many small groups."""
-    left = np.repeat(np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes), np.repeat(sizes, sizes) - 1 - (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)))
+    left = np.repeat(
+        np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes),
+        np.repeat(sizes, sizes) - 1 - (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+    )
     first = np.flatnonzero(np.r_[True, left[1:] != left[:-1]]) if len(left) else np.zeros(0, int)
     within = np.arange(len(left)) - np.repeat(first, np.diff(np.r_[first, len(left)]))
     return left, left + 1 + within
@@ -166,14 +179,18 @@ def linked(radius: int, at_once: int = 1 << 18):
 
 def links(nodes: DataFrame, radius: int = RADIUS, groups: int = GROUPS, piece: int = PIECE) -> DataFrame:
     """Distinct fingerprints (fp, distances) to links (u, v) with the same connected components as all linked pairs."""
-    met = nodes.select("fp", "distances").transform(in_arrow, keys(key_masks(groups, radius)), "mask int, key long, fp long, distances long")
+    met = nodes.select("fp", "distances").transform(
+        in_arrow, keys(key_masks(groups, radius)), "mask int, key long, fp long, distances long"
+    )
     met = every = scratch(met, "keys")
     counts = met.groupBy("mask", "key").count().where(F.col("count") > 1)
     met = met.join(counts, ["mask", "key"]).withColumn("n", F.ceil(F.col("count") / F.lit(piece)).cast("int"))
     met = met.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     met = met.select("mask", "key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "fp", "distances")
-    found = met.repartition("mask", "key", "bi", "bj").sortWithinPartitions("mask", "key", "bi", "bj").transform(in_arrow, linked(radius), "u long, v long")
+    found = met.repartition("mask", "key", "bi", "bj").sortWithinPartitions("mask", "key", "bi", "bj").transform(
+        in_arrow, linked(radius), "u long, v long"
+    )
     found = scratch(found.distinct(), "found")
     discard(every)
     return found

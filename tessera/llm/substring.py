@@ -185,7 +185,9 @@ def common_prefixes(data: np.ndarray, left: np.ndarray, p: np.ndarray, q: np.nda
     return same[run] - (p - a[run])
 
 
-def repeated_windows(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, windows: np.ndarray, width: int, far: int) -> list[tuple[np.ndarray, ...]]:
+def repeated_windows(
+    data: np.ndarray, starts: np.ndarray, stops: np.ndarray, windows: np.ndarray, width: int, far: int
+) -> list[tuple[np.ndarray, ...]]:
     """For units data[starts:stops], each with so many windows: for both widths a triple of flags by position, whether a
     window of the unit begins there, whether it is repeated, and whether it is the first of its equals."""
     left, own = np.zeros(len(data), np.int64), np.zeros(len(data), bool)
@@ -243,7 +245,13 @@ def shard(width: int, far: int, most: int = SHARD_BYTES):
             pick, n = pa.array(unit), len(s)
             if n:
                 places = [pa.array((x - offsets[unit] + lo[unit]).astype(np.int32)) for x in (s, e - 1 + wide)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pick), b.column("dig").take(pick), *places, pa.array(np.full(n, wide, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], NAMES)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        b.column("doc_id").take(pick), b.column("dig").take(pick), *places, pa.array(np.full(n, wide, np.int32)),
+                        pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())
+                    ],
+                    NAMES
+                )
             if (pieces > 1).any():
                 yield from apart(b, data, offsets, begins & (~flags | firsts), wide)
 
@@ -266,7 +274,14 @@ def shard(width: int, far: int, most: int = SHARD_BYTES):
             cuts = [0, *np.searchsorted(rec["d1"], splitters).tolist(), len(rec)]
             some = [k for k in range(m) if cuts[k + 1] > cuts[k]]
             k = len(some)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.array(np.full(k, wide, np.int32)), pa.array(np.full(k, gram[a])), pa.array(some, pa.int32()), pa.array([rec[cuts[c] : cuts[c + 1]].tobytes() for c in some], pa.binary())], NAMES)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()),
+                    pa.array(np.full(k, wide, np.int32)), pa.array(np.full(k, gram[a])), pa.array(some, pa.int32()),
+                    pa.array([rec[cuts[c] : cuts[c + 1]].tobytes() for c in some], pa.binary())
+                ],
+                NAMES
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -299,7 +314,13 @@ def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             got, wide = all_[hit], keys[1][a]
             if len(got):
                 ends = (got["s"] + wide).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(got["doc_id"].copy()), pa.array(got["dig"].copy()), pa.array(got["s"].copy()), pa.array(ends), pa.array(np.full(len(got), wide, np.int32))], ["doc_id", "dig", "s", "e", "wide"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(got["doc_id"].copy()), pa.array(got["dig"].copy()), pa.array(got["s"].copy()), pa.array(ends),
+                        pa.array(np.full(len(got), wide, np.int32))
+                    ],
+                    ["doc_id", "dig", "s", "e", "wide"]
+                )
 
 
 FETCHED = "doc_id long, dig long, lo int, more int, gram long, salt int, pieces int, unit binary"
@@ -310,22 +331,32 @@ def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     for b in slices(batches, most=1 << 20):
         out = []
-        for i, dig, text, wanted in zip(*(b.column(k).to_pylist() for k in KEY), as_bytes(b.column("text")), b.column("wanted").to_pylist(), strict=True):
+        for i, dig, text, wanted in zip(
+            *(b.column(k).to_pylist() for k in KEY), as_bytes(b.column("text")), b.column("wanted").to_pylist(), strict=True
+        ):
             out += [(i, dig, w["lo"], w["more"], w["gram"], w["salt"], w["pieces"], text[w["lo"] : w["lo"] + w["size"]]) for w in wanted]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "dig", "lo", "more", "gram", "salt", "pieces", "unit"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                ["doc_id", "dig", "lo", "more", "gram", "salt", "pieces", "unit"]
+            )
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """Documents as texts. doc_id and a digest are the key, and repeated rows share it with reason."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("dig"), F.coalesce("text", F.lit("")).alias("text"))
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("dig"),
+        F.coalesce("text", F.lit("")).alias("text")
+    )
 
 
 def gram_for(width: int) -> int:
     return max(8, GRAM * width // WIDTH)
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, far: int | None = None, gram: int | None = None, piece: int = PIECE, common: int = COMMON) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, width: int = WIDTH, far: int | None = None, gram: int | None = None, piece: int = PIECE, common: int = COMMON
+) -> DataFrame:
     """A row per key that loses bytes: doc_id (null as 0), dig, spans array<struct<s, e, wide>>, not merged.
 
     wide is the width of the strings that the span is made of, `width` or, where it is given, `far`.
@@ -350,7 +381,10 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, far: int | None = None,
     s = F.col("lo").alias("s")
     near = F.struct(s, (F.col("lo") + F.col("more") + width).alias("e"), F.lit(width).alias("wide"))
     long = F.struct(s, (F.col("lo") + F.col("size")).alias("e"), F.lit(far).alias("wide"))
-    whole = whole.select(*KEY, F.explode(F.when((F.col("size") >= far) & F.lit(far > width), F.array(near, long)).otherwise(F.array(near))).alias("x")).select(*KEY, "x.*")
+    whole = whole.select(
+        *KEY,
+        F.explode(F.when((F.col("size") >= far) & F.lit(far > width), F.array(near, long)).otherwise(F.array(near))).alias("x")
+    ).select(*KEY, "x.*")
     hot = distinct.groupBy("gram").count().where(F.col("count") > piece)
     hot = scratch(hot.select("gram", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "hot")
     wanted = distinct.join(hot, "gram", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
@@ -429,12 +463,22 @@ def report(width: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, most=1 << 20):
             out = []
-            for i, text, spans in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), span_lists(b.column("spans")), strict=True):
+            for i, text, spans in zip(
+                b.column("doc_id").to_pylist(), as_bytes(b.column("text")), span_lists(b.column("spans")), strict=True
+            ):
                 m = maximal([x for x in spans if x[2] == width])
                 found = passages(text, maximal(spans), words)
-                out.append((i, len(text), sum(e - s for s, e in m), len(m), hashlib.sha256(kept_bytes(text, m)).hexdigest(), len(found), sum(e - s for s, e in found)))
+                out.append(
+                    (
+                        i, len(text), sum(e - s for s, e in m), len(m), hashlib.sha256(kept_bytes(text, m)).hexdigest(), len(found),
+                        sum(e - s for s, e in found)
+                    )
+                )
             kinds = [*[pa.int64()] * 4, pa.string(), *[pa.int64()] * 2]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "passage_bytes"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "passage_bytes"]
+            )
 
     return run
 
@@ -446,7 +490,10 @@ def repeat_report(docs: DataFrame, width: int = WIDTH, passage: int = PASSAGE, w
     """
     docs = docs.select("doc_id", "text")
     rows = with_spans(docs, repeated_spans(docs, passage, width, **options))
-    return rows.transform(in_arrow, report(width, words), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, passage_bytes long")
+    return rows.transform(
+        in_arrow, report(width, words),
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, passage_bytes long"
+    )
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH, words: int = 0, **options) -> DataFrame:

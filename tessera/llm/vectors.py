@@ -144,7 +144,9 @@ def prepared(single: bool):
                 x = values[a:z]
                 norm = np.linalg.norm(x.astype(np.float64)) if ok and z > a else 0.0
                 raw.append(x.tobytes() if 0 < norm < np.inf else None)
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("label"), pa.array(raw, pa.binary())], ["vec_id", "label", "raw"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("vec_id"), b.column("label"), pa.array(raw, pa.binary())], ["vec_id", "label", "raw"]
+            )
 
     return run
 
@@ -168,7 +170,13 @@ def met(how: tuple, kind: str):
                     dim = size // np.dtype(kind).itemsize
                     vector, name = filters(dim, *how).decode(unit_rows(b"".join([raw[n] for n in rows]), len(rows), kind))
                     pick = pa.array(np.array(rows)[vector])
-                    yield pa.RecordBatch.from_arrays([b.column("label").take(pick), pa.array(np.full(len(name), dim, np.int32)), pa.array(name), b.column("rep").take(pick)], ["label", "dim", "filter", "rep"])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            b.column("label").take(pick), pa.array(np.full(len(name), dim, np.int32)), pa.array(name),
+                            b.column("rep").take(pick)
+                        ],
+                        ["label", "dim", "filter", "rep"]
+                    )
 
     return run
 
@@ -193,7 +201,10 @@ def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         less.append(names[: 8 * k])
             pick = pa.array(rows, pa.int64())
             taken = [b.column(c).take(pick) for c in ("label", "dim", "rep", "many", "raw")]
-            yield pa.RecordBatch.from_arrays([*taken, pa.array(filt, pa.int64()), *[pa.array(x, pa.int32()) for x in (bi, bj, own)], pa.array(less, pa.binary())], ["label", "dim", "rep", "many", "raw", "filter", "bi", "bj", "own", "less"])
+            yield pa.RecordBatch.from_arrays(
+                [*taken, pa.array(filt, pa.int64()), *[pa.array(x, pa.int32()) for x in (bi, bj, own)], pa.array(less, pa.binary())],
+                ["label", "dim", "rep", "many", "raw", "filter", "bi", "bj", "own", "less"]
+            )
 
 
 class Lesser:
@@ -297,37 +308,58 @@ def verified(threshold: float, kind: str):
                 total = np.bincount(i, many[j], n) + np.bincount(j, many[i], n)
                 label = local_labels(n, i, j)
                 some = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(total[some].astype(np.int64)), pa.array(rep[label[some]])], ["u", "links", "v"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rep[some]), pa.array(total[some].astype(np.int64)), pa.array(rep[label[some]])], ["u", "links", "v"]
+                )
 
     return run
 
 
-def vector_near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, how: tuple[int, int, int] | None = None, piece: int = PIECE) -> DataFrame:
+def vector_near_dedup(
+    vectors: DataFrame, threshold: float = THRESHOLD, how: tuple[int, int, int] | None = None, piece: int = PIECE
+) -> DataFrame:
     """A row per vector (vec_id, embedding, label): vec_id, n_links, component_id, kept. how: see `settings`."""
     single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
     kind = "<f4" if single else "<f8"
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{'float' if single else 'double'}>"), F.col("label").cast("long").alias("label"))
+    rows = vectors.select(
+        F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{'float' if single else 'double'}>"),
+        F.col("label").cast("long").alias("label")
+    )
     rows = scratch(rows.transform(in_arrow, prepared(single), "vec_id long, label long, raw binary"), "vectors")
     nodes = rows.where("raw is not null").groupBy("label", "raw").agg(F.min("vec_id").alias("rep"), F.count("*").alias("many"))
     nodes = scratch(nodes, "nodes")
     if how is None:
         how = settings(nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0)
     keys = ["label", "dim", "filter"]
-    light = scratch(nodes.select("label", "raw", "rep").transform(in_arrow, met(how, kind), "label long, dim int, filter long, rep long"), "met")
+    light = scratch(
+        nodes.select("label", "raw", "rep").transform(in_arrow, met(how, kind), "label long, dim int, filter long, rep long"), "met"
+    )
     counts = light.groupBy(*keys).count().where(F.col("count") > 1)
     counts = scratch(counts.select(*keys, F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "shared")
     shared = light.join(counts, keys).groupBy("label", "rep", "dim").agg(F.collect_list(F.struct("filter", "pieces")).alias("met"))
     size = (F.octet_length("raw") / np.dtype(kind).itemsize).cast("int").alias("dim")
     pairs = nodes.select("label", "rep", "many", "raw", size).join(shared, ["label", "rep", "dim"])
     keys += ["bi", "bj"]
-    pairs = pairs.transform(in_arrow, dealt, "label long, dim int, rep long, many long, raw binary, filter long, bi int, bj int, own int, less binary")
-    found = pairs.repartition(*keys).sortWithinPartitions(*keys).transform(in_arrow, verified(threshold, kind), "u long, links long, v long")
+    pairs = pairs.transform(
+        in_arrow, dealt, "label long, dim int, rep long, many long, raw binary, filter long, bi int, bj int, own int, less binary"
+    )
+    found = pairs.repartition(*keys).sortWithinPartitions(*keys).transform(
+        in_arrow, verified(threshold, kind), "u long, links long, v long"
+    )
     found = scratch(found, "links")
     discard(light, counts)
     member = scratch(components(found.select("u", "v")), "member").select(F.col("node").alias("rep"), F.col("root"))
     total = found.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
     classes = nodes.join(total, "rep", "left").join(member, "rep", "left")
-    classes = scratch(classes.select("label", "raw", F.coalesce("links", F.lit(0)) + F.col("many") - 1, F.coalesce("root", "rep")).toDF("c_label", "c_raw", "links", "root"), "classes")
+    classes = scratch(
+        classes.select(
+            "label", "raw", F.coalesce("links", F.lit(0)) + F.col("many") - 1, F.coalesce("root", "rep")
+        ).toDF("c_label", "c_raw", "links", "root"),
+        "classes"
+    )
     out = rows.join(classes, (F.col("label") == F.col("c_label")) & (F.col("raw") == F.col("c_raw")), "left")
     component = F.coalesce("root", "vec_id")
-    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    return out.select(
+        "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+        F.col("vec_id").eqNullSafe(component).alias("kept")
+    )

@@ -28,7 +28,9 @@ def edge(spark, tmp_path_factory):
     rows = [(n, t, "en" if n % 2 else "de", None, 0, "extra", 5) for n, t in enumerate(EDGE)]
     rows += [rows[9], (None, "unowned", None, None, None, None, None)]
     spark.createDataFrame(rows, DOCS + ", owner string, fp long").write.parquet(f"{d}/documents.parquet")
-    spark.createDataFrame([(1, 1, 0), (5, 0, 0), (6, 1, 0), (6, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame(
+        [(1, 1, 0), (5, 0, 0), (6, 1, 0), (6, 1, 0)], "doc_id long, quality int, toxic int"
+    ).write.parquet(f"{d}/labels.parquet")
     return d
 
 
@@ -123,7 +125,10 @@ def test_bpe_long_words_and_other_files():
     own = Tokenizer.from_str(json.dumps(spec))
     text = ["a [STOP] b<|endoftext|>[STOP"]
     assert Encoder(Codec(json.dumps(spec))).encode(text)[0].tolist() == own.encode(text[0], add_special_tokens=False).ids
-    for change in ({"pre_tokenizer": {"type": "Whitespace"}}, {"normalizer": {"type": "NFC"}}, {"model": spec["model"] | {"byte_fallback": True}}):
+    for change in (
+        {"pre_tokenizer": {"type": "Whitespace"}}, {"normalizer": {"type": "NFC"}},
+        {"model": spec["model"] | {"byte_fallback": True}}
+    ):
         with pytest.raises(ValueError):
             Codec(json.dumps(spec | change))
 
@@ -150,7 +155,10 @@ def chat_of(spark, d):
 def test_chat(spark, sf_dir, tmp_path):
     columns = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256")
     assert rows(Q.op2_chat(spark, sf_dir), *columns) == sorted(chat_of(spark, sf_dir), key=repr)
-    odd = [(1, 0, "system", "be\\ [INST] <s>"), (1, 1, None, None), (1, 2, "assistant", "x</s>\\"), (1, 2, "assistant", "x</s>\\"), (1, None, "to\nol", "\\"), (None, 1, "user", "[/INST]")]
+    odd = [
+        (1, 0, "system", "be\\ [INST] <s>"), (1, 1, None, None), (1, 2, "assistant", "x</s>\\"), (1, 2, "assistant", "x</s>\\"),
+        (1, None, "to\nol", "\\"), (None, 1, "user", "[/INST]")
+    ]
     odd += [(7, n, ("user", "assistant")[n % 2], f"<s>{n} " + "long text " * (n % 40 * 30)) for n in range(120)]
     spark.createDataFrame(odd, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert rows(Q.op2_chat(spark, str(tmp_path)), *columns) == sorted(chat_of(spark, str(tmp_path)), key=repr)
@@ -160,7 +168,13 @@ def test_chat_windows_keep_budget_system_and_history(spark):
     from tessera.llm.chat import chat_windows, parse
 
     turns = [(1, 0, "system", "be brief")] + [(1, n, ("assistant", "user")[n % 2], f"turn {n} " + "word " * 40) for n in range(1, 30)]
-    out = sorted(chat_windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), Q.tokenizer_path("byte_bpe_50k.json"), 300, 120).collect(), key=lambda r: r.window)
+    out = sorted(
+        chat_windows(
+            spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"),
+            Q.tokenizer_path("byte_bpe_50k.json"), 300, 120
+        ).collect(),
+        key=lambda r: r.window
+    )
     assert len(out) > 3 and all(r.n_tokens <= 300 for r in out)
     assert all(parse(r.text)[0] == ("system", "be brief") for r in out)
     assert all(r.n_repeated > 1 for r in out[1:])
@@ -191,7 +205,13 @@ def test_chat_spans_by_prefix_sums():
 
     rnd = random.Random(14)
     for _ in range(3000):
-        turns = [("system" if n == 0 and rnd.random() < 0.5 else rnd.choice(["user", "assistant"]), f"t{n}", rnd.randrange(1, rnd.choice([5, 40, 120]))) for n in range(rnd.randrange(1, 30))]
+        turns = [
+            (
+                "system" if n == 0 and rnd.random() < 0.5 else rnd.choice(["user", "assistant"]), f"t{n}",
+                rnd.randrange(1, rnd.choice([5, 40, 120]))
+            )
+            for n in range(rnd.randrange(1, 30))
+        ]
         budget = rnd.randrange(20, 100)
         history = rnd.randrange(budget)
         got = [(r, n, tokens, [said for _, said in parse(text)]) for text, _, r, n, tokens in windows(iter(turns), budget, history)]
@@ -221,7 +241,10 @@ def test_vectors(spark, sf_dir, tmp_path):
             near = b + rng.normal(size=64) * np.linalg.norm(b) / 8 * 0.27  # cosines on both sides of the threshold
             made.append((n, [float(x) for x in near.astype(np.float32)], k % 3))
             n += 1
-    made += [(n + 1, None, 1), (n + 2, [0.0] * 64, 1), (n + 3, [float("nan")] * 64, 1), (n + 4, [None] * 64, 1), (n + 5, made[0][1], None), (n + 6, made[0][1][:5], 0), (n + 7, made[0][1], 0), (n + 8, [], 0), (n + 9, made[0][1], 0)]
+    made += [
+        (n + 1, None, 1), (n + 2, [0.0] * 64, 1), (n + 3, [float("nan")] * 64, 1), (n + 4, [None] * 64, 1),
+        (n + 5, made[0][1], None), (n + 6, made[0][1][:5], 0), (n + 7, made[0][1], 0), (n + 8, [], 0), (n + 9, made[0][1], 0)
+    ]
     spark.createDataFrame(made, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     for d in (str(tmp_path), sf_dir):
         vectors = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{d}/embeddings.parquet").collect()]
@@ -249,7 +272,9 @@ def test_vectors_sql(spark, sf_dir, tmp_path):
 
     rng = np.random.default_rng(6)
     base = rng.normal(size=(8, 16))
-    made = [(n, [float(x) for x in base[n % 8] + rng.normal(size=16) * 0.1], n % 2) for n in range(60)] + [(60, None, 1), (61, [0.0] * 16, 0), (62, [1.0] * 16, None)]
+    made = [
+        (n, [float(x) for x in base[n % 8] + rng.normal(size=16) * 0.1], n % 2) for n in range(60)
+    ] + [(60, None, 1), (61, [0.0] * 16, 0), (62, [1.0] * 16, None)]
     spark.createDataFrame(made, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     for path, d in ((f"{tmp_path}/embeddings.parquet/*.parquet", str(tmp_path)), (f"{sf_dir}/embeddings.parquet", sf_dir)):
         c = duckdb.connect()
@@ -449,7 +474,9 @@ def test_quality_plain_vote():
             assert got == m.mean
             continue
         z = (row * m.idf / np.linalg.norm(row * m.idf)) @ m.basis
-        near = sorted(((float(v @ z / np.linalg.norm(z)), int(label)) for v, label in zip(m.vectors.T, m.labels, strict=True)), reverse=True)[:NEIGHBOURS]
+        near = sorted(
+            ((float(v @ z / np.linalg.norm(z)), int(label)) for v, label in zip(m.vectors.T, m.labels, strict=True)), reverse=True
+        )[:NEIGHBOURS]
         weight = [max(c, 0) ** POWER + 1e-6 for c, _ in near]
         assert abs(got - sum(w * label for w, (_, label) in zip(weight, near, strict=True)) / sum(weight)) < 1e-4
 
@@ -546,7 +573,9 @@ def test_passages_are_cut_and_short_repeats_stay(spark):
     passage, line = prose(52), prose(40)
     assert PASSAGE <= len(passage) < 400 and PASSAGE <= len(line) + 60
     own = [(prose(60), prose(30)) for _ in range(8)]
-    made = [(n, f"{a} {(passage, line)[n % 2]} {b}", 1, "x", 2) for n, (a, b) in enumerate(own)] + [(8, None, 0, None, 3), (None, "", 0, None, 3)]
+    made = [
+        (n, f"{a} {(passage, line)[n % 2]} {b}", 1, "x", 2) for n, (a, b) in enumerate(own)
+    ] + [(8, None, 0, None, 3), (None, "", 0, None, 3)]
     docs = spark.createDataFrame(made, "doc_id long, text string, spans int, SPAN_DIG string, dig int").repartition(3)
     out = without_repeats(docs, PASSAGE, PASSAGE_WORDS)
     assert out.columns == docs.columns
@@ -568,12 +597,22 @@ def test_suffix_array_dedup_in_pieces(spark, piece, common):
     made = []
     for n in range(80):
         a, b = rnd.randrange(0, 45), rnd.randrange(45, 90)
-        made.append((n, "".join(rnd.choice("wxyzü") for _ in range(rnd.randrange(40))) + shared[a:b] + "".join(rnd.choice("uvé") for _ in range(rnd.randrange(40)))))
+        made.append(
+            (
+                n,
+                "".join(
+                    rnd.choice("wxyzü") for _ in range(rnd.randrange(40))
+                ) + shared[a:b] + "".join(rnd.choice("uvé") for _ in range(rnd.randrange(40)))
+            )
+        )
     docs = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
     gone = list(repeats([t.encode() for _, t in made], 24))
     got = {r.doc_id: r for r in repeat_report(docs, width=24, passage=16, words=3, gram=8, piece=piece, common=common).collect()}
     assert [got[n].n_removed for n in range(80)] == [int(g.sum()) for g in gone]
-    runs = [[(a, z) for a, z in spans_of(g) if len(t.encode()[a:z].split()) >= 3] for (_, t), g in zip(made, repeats([t.encode() for _, t in made], 16), strict=True)]
+    runs = [
+        [(a, z) for a, z in spans_of(g) if len(t.encode()[a:z].split()) >= 3]
+        for (_, t), g in zip(made, repeats([t.encode() for _, t in made], 16), strict=True)
+    ]
     assert [(got[n].n_passages, got[n].passage_bytes) for n in range(80)] == [(len(r), sum(z - a for a, z in r)) for r in runs]
     left = {r.doc_id: r.text for r in without_repeats(docs, width=24, gram=8, piece=piece, common=common).collect()}
     assert all(left[n].encode() == np.frombuffer(t.encode(), np.uint8)[~g].tobytes() for (n, t), g in zip(made, gone, strict=True))
@@ -605,14 +644,26 @@ def test_html():
     assert text_of("<pre>\n a\n  b\n</pre>x") == " a\n  b\n\nx".strip("\n")
     assert text_of("<div>" * 20_000 + "deep" + "</p>") == "deep"
     assert text_of("a < b <i>c</i") == "a < b c"
-    assert text_of("<table><tr><th colspan=2>head<th>z<tr><td>a<td>bb<td>c<tr><td rowspan=2>d<td>e<tr><td>f<td>g</table>") == "head   z\na  bb  c\nd  e\n   f   g"
-    assert text_of("<table><tr><td>a<td>b<tr><td colspan=2>a long heading<tr><td colspan=0>x<td rowspan=0>y<td>z</table>") == "a  b\na long heading\nx  y            z"
-    assert text_of("<p>x<svg><title>t</title><defs><text>no</text></defs><path/><text>label</text></svg><math><mi>a</mi><mo>=</mo><annotation>tex</annotation></math><map>m</map>") == "x\nlabel\na=m"
+    assert text_of(
+        "<table><tr><th colspan=2>head<th>z<tr><td>a<td>bb<td>c<tr><td rowspan=2>d<td>e<tr><td>f<td>g</table>"
+    ) == "head   z\na  bb  c\nd  e\n   f   g"
+    assert text_of(
+        "<table><tr><td>a<td>b<tr><td colspan=2>a long heading<tr><td colspan=0>x<td rowspan=0>y<td>z</table>"
+    ) == "a  b\na long heading\nx  y            z"
+    assert text_of(
+        "<p>x<svg><title>t</title><defs><text>no</text></defs><path/><text>label</text></svg><math><mi>a</mi><mo>=</mo><annotation>tex</annotation></math><map>m</map>"
+    ) == "x\nlabel\na=m"
     assert text_of("<a title='open>shown <b>on</b> 'x'>y") == "shown on 'x'>y"
     assert text_of("<a <b <c") == "<a <b <c"
 
 
-@pytest.mark.parametrize("piece", ["<a ", "<a title='", "<a \"'>", "<li><span>", "<table><tr><td>", "<ul><li>x", "</b><b>", "<p><i>", "<!-- ", "<![CDATA[", "<script", "<td colspan=1000 rowspan=0>", "<blockquote>q", "&amp", "</", "<x =  "])
+@pytest.mark.parametrize(
+    "piece",
+    [
+        "<a ", "<a title='", "<a \"'>", "<li><span>", "<table><tr><td>", "<ul><li>x", "</b><b>", "<p><i>", "<!-- ", "<![CDATA[",
+        "<script", "<td colspan=1000 rowspan=0>", "<blockquote>q", "&amp", "</", "<x =  "
+    ]
+)
 def test_html_hostile_pages(piece):
     """A megabyte of unclosed markup takes seconds."""
     import time
@@ -679,10 +730,14 @@ def test_very_long_texts(spark, tmp_path):
     made = [(0, long, "en"), (1, half, "de"), (2, "etaoin" * 170_000, "en"), (3, "short", "de")]
     d = str(tmp_path)
     spark.createDataFrame([(i, t, lang, None, len(t)) for i, t, lang in made], DOCS).write.parquet(f"{d}/documents.parquet")
-    spark.createDataFrame([(0, 1, 0), (1, 0, 0), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame(
+        [(0, 1, 0), (1, 0, 0), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int"
+    ).write.parquet(f"{d}/labels.parquet")
     t = tokenizer("byte_bpe_50k.json")
     ids = {i: t.encode(text, add_special_tokens=False).ids for i, text, _ in made}
-    assert rows(Q.op1_bpe(spark, d), "doc_id", "n_tokens", "ids_sha256") == [(i, len(x), sha(",".join(map(str, x)))) for i, x in sorted(ids.items())]
+    assert rows(Q.op1_bpe(spark, d), "doc_id", "n_tokens", "ids_sha256") == [
+        (i, len(x), sha(",".join(map(str, x)))) for i, x in sorted(ids.items())
+    ]
     assert {r.lang_pred for r in Q.op4_language_id(spark, d).collect()} <= {"en", "de"}
     assert rows(Q.op5_exact_dedup(spark, d), "doc_id", "text_sha256") == [(i, sha(text.encode().lower())) for i, text, _ in made]
     assert len(Q.op6_quality(spark, d).collect()) == 4
@@ -732,7 +787,10 @@ def test_pipeline_null_and_repeated_ids(spark, sf_dir):
     rnd = random.Random(11)
     said = ["".join(rnd.choice("abcdefg hij") for _ in range(900)) for _ in range(6)]
     near = " ".join(f"w{n}" for n in range(2000))
-    made = [(None, said[0]), (1, said[0]), (2, said[1]), (2, said[1]), (2, said[1].upper()), (3, said[2]), (3, said[3]), (4, said[3]), (None, said[4]), (None, said[4]), (None, said[5])]
+    made = [
+        (None, said[0]), (1, said[0]), (2, said[1]), (2, said[1]), (2, said[1].upper()), (3, said[2]), (3, said[3]), (4, said[3]),
+        (None, said[4]), (None, said[4]), (None, said[5])
+    ]
     docs = spark.createDataFrame([(i, t, "en", None, 0) for i, t in made], DOCS)
     out = corpus_pipeline.drop_exact_copies(spark, docs, sf_dir)
     assert out.columns == docs.columns
@@ -749,12 +807,16 @@ def test_pipeline_keeps_a_repeated_document_whole(spark, tmp_path):
 
     rnd = random.Random(12)
     text = "".join(rnd.choice("abcdefg hij") for _ in range(900))
-    spark.createDataFrame([(1, text, "en", None, 0), (1, text, "en", None, 0), (None, text, "en", None, 0), (2, "other words", "de", None, 0)], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(
+        [(1, text, "en", None, 0), (1, text, "en", None, 0), (None, text, "en", None, 0), (2, "other words", "de", None, 0)], DOCS
+    ).write.parquet(f"{tmp_path}/documents.parquet")
     t = tokenizer("word_bpe_49k.json")
     got = Counter()
     for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
         got[r.doc_id] += r.length
-    assert got == {1: len(t.encode(text, add_special_tokens=False).ids) + 1, 2: len(t.encode("other words", add_special_tokens=False).ids) + 1}
+    assert got == {
+        1: len(t.encode(text, add_special_tokens=False).ids) + 1, 2: len(t.encode("other words", add_special_tokens=False).ids) + 1
+    }
 
 
 def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
@@ -765,10 +827,15 @@ def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
     prose = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(2, 8))) for _ in range(n))
     one, two, three = prose(300), prose(300), prose(300)
     passage = prose(55)
-    made = [(1, one), (1, one), (None, one), (2, one.upper()), (2, two), (2, None), (None, None), (3, ""), (4, "12 %"), (None, three), (5, f"{prose(80)} {passage} {prose(80)}"), (6, f"{prose(80)} {passage} {prose(80)}")]
+    made = [
+        (1, one), (1, one), (None, one), (2, one.upper()), (2, two), (2, None), (None, None), (3, ""), (4, "12 %"), (None, three),
+        (5, f"{prose(80)} {passage} {prose(80)}"), (6, f"{prose(80)} {passage} {prose(80)}")
+    ]
     columns = "spans int, span_dig long, owner string, fp long, n int, `group` string, keeper int, tessera_row int, tessera_path string, _torn_ int"
     extra = (1, 2, "o", 3, 4, "g", 5, 6, "p", 7)
-    spark.createDataFrame([(i, t, "en", None, 0, *extra) for i, t in made], f"{DOCS}, {columns}").repartition(3).write.parquet(f"{tmp_path}/0")
+    spark.createDataFrame(
+        [(i, t, "en", None, 0, *extra) for i, t in made], f"{DOCS}, {columns}"
+    ).repartition(3).write.parquet(f"{tmp_path}/0")
     kept = []
     for n, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
         docs = spark.read.parquet(f"{tmp_path}/{n}")
@@ -801,5 +868,7 @@ def test_language_stage_without_labels(spark, sf_dir):
     docs = spark.createDataFrame([(n if n < 4 else None, t, None, None, 7) for n, t in enumerate(texts)], DOCS)
     out = corpus_pipeline.identify_language(spark, docs, sf_dir)
     assert out.schema == docs.schema
-    assert rows(out, "doc_id", "text", "n_chars") == sorted([(3, "plain words", 7), (None, "mehr Worte", 7), (None, "plain words", 7)], key=repr)
+    assert rows(out, "doc_id", "text", "n_chars") == sorted(
+        [(3, "plain words", 7), (None, "mehr Worte", 7), (None, "plain words", 7)], key=repr
+    )
     assert rows(language.predict(docs, None), "lang_pred", "score") == sorted([("und", 0.0)] * 3 + [(None, 0.0)] * 3, key=repr)
