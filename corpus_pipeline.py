@@ -50,7 +50,9 @@ def one_of_each(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame], keep
         keepers = scratch(keepers.where("size > 1").select("group", F.col("keeper.n").alias("keeper")), "keepers")
         dropped = scratch(found.join(keepers, "group").where("n <> keeper").select("n"), "dropped")
     discard(*tables[:-1])
-    return rows.join(dropped.withColumnRenamed("n", fresh("n", rows.columns)), F.col(row) == F.col(fresh("n", rows.columns)), "left_anti").select(*docs.columns)
+    return rows.join(
+        dropped.withColumnRenamed("n", fresh("n", rows.columns)), F.col(row) == F.col(fresh("n", rows.columns)), "left_anti"
+    ).select(*docs.columns)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,13 +68,18 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints one row with the smallest doc_id stays; a null doc_id only without another."""
-    return one_of_each(docs, lambda rows: simhash_near_dedup(rows).withColumn("group", F.col("component_id")), lambda n: F.min(F.struct(F.col("doc_id").isNull(), "doc_id", n)))
+    return one_of_each(
+        docs, lambda rows: simhash_near_dedup(rows).withColumn("group", F.col("component_id")),
+        lambda n: F.min(F.struct(F.col("doc_id").isNull(), "doc_id", n))
+    )
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages of fifty words or 400 bytes are cut out; every document stays, with n_chars of what is left."""
     out = without_repeats(docs, width=PASSAGE, words=PASSAGE_WORDS)
-    return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    return out.withColumn(
+        "n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
+    ) if "n_chars" in docs.columns else out
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
