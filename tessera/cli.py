@@ -17,7 +17,10 @@ log = logging.getLogger("tessera")
 ENGINES = ("priority", "priority_asymmetric", "inverted", "disk")
 
 
-def candidates(source1: DataFrame, reference: DataFrame, raw_reference: DataFrame, engine: str, cap: int, config: blocking.BlockingConfig | None = None) -> DataFrame:
+def candidates(
+    source1: DataFrame, reference: DataFrame, raw_reference: DataFrame, engine: str, cap: int,
+    config: blocking.BlockingConfig | None = None
+) -> DataFrame:
     """Candidate pairs of normalized frames by one of ENGINES."""
     config = config or replace(blocking.DRIVER_CONFIG, max_candidates_per_entity=cap)
     if engine == "priority":
@@ -46,7 +49,10 @@ class Progress:
         return out
 
 
-def train(spark: SparkSession, directory: str, out: str, sample: int | None = None, negatives: int | None = None, engine: str = "priority", cap: int = 300, rounds: int = 200, ids: str = "all", keep: str = "error") -> dict:
+def train(
+    spark: SparkSession, directory: str, out: str, sample: int | None = None, negatives: int | None = None,
+    engine: str = "priority", cap: int = 300, rounds: int = 200, ids: str = "all", keep: str = "error"
+) -> dict:
     """Fit and save a model, choose its threshold, save the experiment; returns the record.
 
     sample takes the first rows of source 1 and restricts the truth to them; negatives takes that many other records of
@@ -84,7 +90,10 @@ def train(spark: SparkSession, directory: str, out: str, sample: int | None = No
     return record
 
 
-def predict(spark: SparkSession, directory: str, model: str, out: str, prefix: str = "test", engine: str = "priority", cap: int = 500, threshold: float | None = None, nrows: int | None = None, keep: str = "error") -> tuple[str, str]:
+def predict(
+    spark: SparkSession, directory: str, model: str, out: str, prefix: str = "test", engine: str = "priority", cap: int = 500,
+    threshold: float | None = None, nrows: int | None = None, keep: str = "error"
+) -> tuple[str, str]:
     """Write candidate_pairs.tsv and matching_results.tsv; the threshold is the model's own unless one is given."""
     progress = Progress()
     bundle = training.load_model(model, spark)
@@ -121,7 +130,9 @@ def main(argv: list[str] | None = None) -> None:
     use.add_argument("--cap", type=int, default=500)
     use.add_argument("--nrows", type=int)
     a = parser.parse_args(argv)
-    spark = SparkSession.builder.appName("tessera").config("spark.sql.adaptive.enabled", "true").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.appName("tessera").config(
+        "spark.sql.adaptive.enabled", "true"
+    ).config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.command == "train":
         print(train(spark, a.data, a.out, None if a.full else a.sample, None if a.full else a.negatives, a.engine, a.cap, keep=a.duplicates)["best"])
     else:

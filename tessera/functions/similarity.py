@@ -93,7 +93,10 @@ def token_sorted(s: str) -> str:
     return " ".join(sorted(set(s.split())))
 
 
-RATIOS = ["name_token_sort_ratio", "name_partial_ratio", "name_levenshtein_similarity", "address_partial_ratio", "address_levenshtein_similarity"]
+RATIOS = [
+    "name_token_sort_ratio", "name_partial_ratio", "name_levenshtein_similarity", "address_partial_ratio",
+    "address_levenshtein_similarity"
+]
 
 
 def spread(texts: list[str], width: int, blank: int) -> np.ndarray:

@@ -109,10 +109,25 @@ def unit_number(normalized: Column) -> Column:
 
 def add_normalized_columns(df: DataFrame) -> DataFrame:
     """business_name, business_address and country to the eight derived columns; each raw column is folded once."""
-    df = df.withColumns({"name_normalized": normalize_text("business_name"), "address_normalized": normalize_text("business_address"), "country_normalized": normalize_text("country")})
-    df = df.withColumns({"name_normalized": fold_legal_forms(F.col("name_normalized")), "address_normalized": fold_street_words(F.col("address_normalized"))})
+    df = df.withColumns(
+        {
+            "name_normalized": normalize_text("business_name"), "address_normalized": normalize_text("business_address"),
+            "country_normalized": normalize_text("country")
+        }
+    )
+    df = df.withColumns(
+        {
+            "name_normalized": fold_legal_forms(F.col("name_normalized")),
+            "address_normalized": fold_street_words(F.col("address_normalized"))
+        }
+    )
     name, address = F.col("name_normalized"), F.col("address_normalized")
-    return df.withColumns({"postal_code": postal_code(address), "house_number": house_number(address), "unit_number": unit_number(address), "name_numeric_tokens": numeric_tokens(name), "address_numeric_tokens": numeric_tokens(address)})
+    return df.withColumns(
+        {
+            "postal_code": postal_code(address), "house_number": house_number(address), "unit_number": unit_number(address),
+            "name_numeric_tokens": numeric_tokens(name), "address_numeric_tokens": numeric_tokens(address)
+        }
+    )
 
 
 def sql_normalize(raw: Column) -> Column:
@@ -121,8 +136,19 @@ def sql_normalize(raw: Column) -> Column:
 
 
 def add_sql_normalized_columns(df: DataFrame) -> DataFrame:
-    df = df.withColumns({"name_normalized": sql_normalize(F.col("business_name")), "address_normalized": sql_normalize(F.col("business_address")), "country_normalized": F.lower(F.trim(F.coalesce("country", F.lit(""))))})
-    return df.withColumns({"house_number": F.regexp_extract("address_normalized", r"(^| )([0-9]+[a-z]?)", 2), "postal_code": F.regexp_extract("address_normalized", r"([0-9]{4,10})", 1)})
+    df = df.withColumns(
+        {
+            "name_normalized": sql_normalize(F.col("business_name")),
+            "address_normalized": sql_normalize(F.col("business_address")),
+            "country_normalized": F.lower(F.trim(F.coalesce("country", F.lit(""))))
+        }
+    )
+    return df.withColumns(
+        {
+            "house_number": F.regexp_extract("address_normalized", r"(^| )([0-9]+[a-z]?)", 2),
+            "postal_code": F.regexp_extract("address_normalized", r"([0-9]{4,10})", 1)
+        }
+    )
 
 
 def tokens(text: Column) -> Column:
@@ -135,6 +161,9 @@ def char_ngrams(text: Column, sizes: tuple[int, ...]) -> Column:
     none = F.array().cast("array<string>")
 
     def of(n: int) -> Column:
-        return F.when(F.length(padded) >= n, F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i: F.substring(padded, i, F.lit(n)))).otherwise(none)
+        return F.when(
+            F.length(padded) >= n,
+            F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i: F.substring(padded, i, F.lit(n)))
+        ).otherwise(none)
 
     return F.array_distinct(F.flatten(F.array(*[of(n) for n in sizes])))

@@ -31,7 +31,10 @@ class BlockingConfig:
 DRIVER_CONFIG = BlockingConfig(name_token_limit=50, address_token_limit=50, character_ngram_limit=50)
 
 # Address words too common to search by.
-GENERIC_ADDRESS_TOKENS = ["st", "rd", "ave", "blvd", "dr", "ln", "unit", "apt", "fl", "floor", "ste", "suite", "near", "opp", "opposite", "road", "street", "avenue", "lane", "colony", "dist", "district", "city", "state", "india", "us", "france", "de", "du", "la", "le"]
+GENERIC_ADDRESS_TOKENS = [
+    "st", "rd", "ave", "blvd", "dr", "ln", "unit", "apt", "fl", "floor", "ste", "suite", "near", "opp", "opposite", "road",
+    "street", "avenue", "lane", "colony", "dist", "district", "city", "state", "india", "us", "france", "de", "du", "la", "le"
+]
 
 SEPARATOR = "\u0001"
 
@@ -62,12 +65,18 @@ def keys(config: BlockingConfig, kinds: tuple[str, ...]) -> Column:
 
 
 def postings(normalized: DataFrame, config: BlockingConfig, kinds: tuple[str, ...]) -> DataFrame:
-    return normalized.select("entity_id", F.col("country_normalized").alias("country"), F.explode(keys(config, kinds)).alias("k")).select("k.kind", "country", "k.key", "entity_id")
+    return normalized.select(
+        "entity_id", F.col("country_normalized").alias("country"), F.explode(keys(config, kinds)).alias("k")
+    ).select("k.kind", "country", "k.key", "entity_id")
 
 
 def limits(config: BlockingConfig, exact: int | None) -> dict[str, int]:
     cap = config.max_candidates_per_entity
-    out = {"name_token": min(cap, config.name_token_limit), "address_token": min(cap, config.address_token_limit), "house": min(cap, config.numeric_limit), "postal": min(cap, config.numeric_limit), "name_gram": min(cap, config.character_ngram_limit), "address_gram": min(cap, config.character_ngram_limit)}
+    out = {
+        "name_token": min(cap, config.name_token_limit), "address_token": min(cap, config.address_token_limit),
+        "house": min(cap, config.numeric_limit), "postal": min(cap, config.numeric_limit),
+        "name_gram": min(cap, config.character_ngram_limit), "address_gram": min(cap, config.character_ngram_limit)
+    }
     return out | ({k: exact for k in ("name_exact", "address_exact", "name_address_exact")} if exact else {})
 
 
@@ -76,14 +85,18 @@ def capped(posted: DataFrame, limit: dict[str, int]) -> DataFrame:
     by = F.create_map(*[F.lit(x) for kv in limit.items() for x in kv])
     w = Window.partitionBy("kind", "country", "key").orderBy("entity_id")
     most = max(limit.values())
-    bounded = posted.where(F.col("kind").isin(list(limit))).withColumn("at", F.row_number().over(w)).where((F.col("at") <= most) & (F.col("at") <= by[F.col("kind")])).drop("at")
+    bounded = posted.where(F.col("kind").isin(list(limit))).withColumn("at", F.row_number().over(w)).where(
+        (F.col("at") <= most) & (F.col("at") <= by[F.col("kind")])
+    ).drop("at")
     return posted.where(~F.col("kind").isin(list(limit))).unionByName(bounded)
 
 
 def probe(queries: DataFrame, posted: DataFrame) -> DataFrame:
     """All pairs that share a key; the joins are plain equi-joins, whose hot keys AQE can split."""
     q = queries.withColumnRenamed("entity_id", "source1_entity_id")
-    return q.join(posted.withColumnRenamed("entity_id", "candidate_entity_id"), ["kind", "country", "key"]).select("source1_entity_id", "candidate_entity_id", "kind")
+    return q.join(
+        posted.withColumnRenamed("entity_id", "candidate_entity_id"), ["kind", "country", "key"]
+    ).select("source1_entity_id", "candidate_entity_id", "kind")
 
 
 def first_candidates(pairs: DataFrame, cap: int, *order: str) -> DataFrame:
@@ -105,7 +118,9 @@ def block_inverted(source1: DataFrame, reference: DataFrame, config: BlockingCon
 def block_disk(source1: DataFrame, reference: DataFrame, config: BlockingConfig = BlockingConfig()) -> DataFrame:
     """As block_inverted without grams; short and generic address words are not searched by."""
     kinds = INVERTED if config.use_token_indexes else tuple(k for k in INVERTED if not k.endswith("token"))
-    searched = postings(source1, config, kinds).where((F.col("kind") != "address_token") | ((F.length("key") > 2) & ~F.col("key").isin(GENERIC_ADDRESS_TOKENS)))
+    searched = postings(source1, config, kinds).where(
+        (F.col("kind") != "address_token") | ((F.length("key") > 2) & ~F.col("key").isin(GENERIC_ADDRESS_TOKENS))
+    )
     pairs = probe(searched, capped(postings(reference, config, kinds), limits(config, config.max_candidates_per_entity)))
     return first_candidates(pairs.select("source1_entity_id", "candidate_entity_id").distinct(), config.max_candidates_per_entity)
 
@@ -126,7 +141,9 @@ def block_priority(source1: DataFrame, reference: DataFrame, cap: int = 500, exa
     posted = capped(postings(reference, config, PRIORITY), dict.fromkeys(PRIORITY, cap))
     pairs = probe(postings(source1, config, PRIORITY), posted)
     kind = F.col("kind")
-    number = F.when(kind == "name_token", 2).when(kind == "address_token", 3).when(F.lit(exact_first) & kind.isin("name_exact", "address_exact"), 0).otherwise(1)
+    number = F.when(kind == "name_token", 2).when(kind == "address_token", 3).when(
+        F.lit(exact_first) & kind.isin("name_exact", "address_exact"), 0
+    ).otherwise(1)
     best = pairs.withColumn("priority", number).groupBy("source1_entity_id", "candidate_entity_id").agg(F.min("priority").alias("priority"))
     return first_candidates(best, cap, "priority")
 
@@ -138,7 +155,9 @@ def blocking_stats(pairs: DataFrame, source1: DataFrame, reference: DataFrame, a
     """
     counts = pairs.groupBy("source1_entity_id").agg(F.count("*").alias("n"))
     if all_entities:
-        counts = source1.select(F.col("entity_id").alias("source1_entity_id")).join(counts, "source1_entity_id", "left").select(F.coalesce("n", F.lit(0)).alias("n"))
+        counts = source1.select(
+            F.col("entity_id").alias("source1_entity_id")
+        ).join(counts, "source1_entity_id", "left").select(F.coalesce("n", F.lit(0)).alias("n"))
     nothing = F.lit(None).cast("long")
     rows = counts.select(F.col("n").cast("long"), nothing.alias("a"), nothing.alias("b"))
     rows = rows.unionByName(source1.agg(F.count("*").alias("a")).select(nothing.alias("n"), "a", nothing.alias("b")))
@@ -154,7 +173,9 @@ def blocking_recall(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     """The share of truth entities all of whose matches are candidates; empty truth is covered, no truth gives 1."""
     wanted = truth.select("source1_entity_id", F.explode_outer("matched").alias("candidate_entity_id"))
     found = wanted.join(pairs.distinct().withColumn("hit", F.lit(1)), ["source1_entity_id", "candidate_entity_id"], "left")
-    missed = found.groupBy("source1_entity_id").agg(F.max((F.col("candidate_entity_id").isNotNull() & F.col("hit").isNull()).cast("int")).alias("missed"))
+    missed = found.groupBy("source1_entity_id").agg(
+        F.max((F.col("candidate_entity_id").isNotNull() & F.col("hit").isNull()).cast("int")).alias("missed")
+    )
     return missed.agg(F.coalesce(F.avg(1.0 - F.col("missed")), F.lit(1.0)).alias("candidate_recall"))
 
 

@@ -23,7 +23,10 @@ def record_columns() -> dict[str, Column]:
     texts = {"name": name, "address": address, "both": F.trim(F.concat_ws(" ", name, address))}
     out = {c: F.col(c) for c in USED} | {"numbers": F.array_distinct("address_numeric_tokens")}
     for k, text in texts.items():
-        out |= {f"{k}_tokens": X.tokens(text), f"{k}_grams": X.char_ngrams(text, (3,)), f"{k}_words": S.words(text), f"{k}_norm": S.norm(text)}
+        out |= {
+            f"{k}_tokens": X.tokens(text), f"{k}_grams": X.char_ngrams(text, (3,)), f"{k}_words": S.words(text),
+            f"{k}_norm": S.norm(text)
+        }
     return out
 
 
@@ -66,4 +69,7 @@ def build_pair_features(source1: DataFrame, reference: DataFrame, pairs: DataFra
         return rows.select("source1_entity_id", "candidate_entity_id", *[v.alias(k) for k, v in made.items()])
     ratios = S.sequence_ratios("l_name_normalized", "r_name_normalized", "l_address_normalized", "r_address_normalized")
     rows = rows.withColumn("ratios", ratios).withColumns(made)
-    return rows.select("source1_entity_id", "candidate_entity_id", *[F.col(k) if k in made else F.col(f"ratios.{k}").alias(k) for k in FEATURE_COLUMNS])
+    return rows.select(
+        "source1_entity_id", "candidate_entity_id",
+        *[F.col(k) if k in made else F.col(f"ratios.{k}").alias(k) for k in FEATURE_COLUMNS]
+    )

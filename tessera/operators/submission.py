@@ -10,7 +10,9 @@ from ..sources.tables import write_tsv
 
 def joined_ids(source1: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     lists = pairs.groupBy("source1_entity_id").agg(F.array_join(F.array_sort(F.collect_set("candidate_entity_id")), ",").alias(name))
-    return source1.select(F.col("entity_id").alias("source1_entity_id")).join(lists, "source1_entity_id", "left").withColumn(name, F.coalesce(name, F.lit("")))
+    return source1.select(
+        F.col("entity_id").alias("source1_entity_id")
+    ).join(lists, "source1_entity_id", "left").withColumn(name, F.coalesce(name, F.lit("")))
 
 
 def submission_frames(source1: DataFrame, pairs: DataFrame, scored: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:

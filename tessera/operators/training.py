@@ -19,7 +19,9 @@ from .features import FEATURE_COLUMNS
 def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     """pairs with target 1.0 where the truth has the pair, else 0.0."""
     true = truth.select("source1_entity_id", F.explode("matched").alias("candidate_entity_id")).withColumn("hit", F.lit(1.0))
-    return pairs.join(true, ["source1_entity_id", "candidate_entity_id"], "left").withColumn("target", F.coalesce("hit", F.lit(0.0))).drop("hit")
+    return pairs.join(
+        true, ["source1_entity_id", "candidate_entity_id"], "left"
+    ).withColumn("target", F.coalesce("hit", F.lit(0.0))).drop("hit")
 
 
 def split_by_source1(rows: DataFrame, test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -46,7 +48,10 @@ def thin_negatives(labelled: DataFrame, per_entity: int = 5) -> DataFrame:
 
 def class_balance(labelled: DataFrame) -> DataFrame:
     positive, negative = F.sum((F.col("target") == 1).cast("long")), F.sum((F.col("target") == 0).cast("long"))
-    return labelled.agg(F.countDistinct("target").alias("n_classes"), F.coalesce(positive, F.lit(0)).alias("n_positive"), F.coalesce(negative, F.lit(0)).alias("n_negative")).withColumn("positive_weight", F.least(F.col("n_negative") / F.greatest(F.lit(1), "n_positive"), F.lit(10.0)))
+    return labelled.agg(
+        F.countDistinct("target").alias("n_classes"), F.coalesce(positive, F.lit(0)).alias("n_positive"),
+        F.coalesce(negative, F.lit(0)).alias("n_negative")
+    ).withColumn("positive_weight", F.least(F.col("n_negative") / F.greatest(F.lit(1), "n_positive"), F.lit(10.0)))
 
 
 @dataclass
@@ -63,7 +68,10 @@ def fit_model(training: DataFrame, rounds: int = 30, seed: int = 42) -> ModelBun
     if balance.n_classes < 2:
         raise ValueError("training pairs of both classes are needed")
     rows = training.withColumn("weight", F.when(F.col("target") == 1, balance.positive_weight).otherwise(1.0))
-    gbt = GBTClassifier(labelCol="target", featuresCol="features", weightCol="weight", maxIter=rounds, stepSize=0.1, maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
+    gbt = GBTClassifier(
+        labelCol="target", featuresCol="features", weightCol="weight", maxIter=rounds, stepSize=0.1, maxDepth=5,
+        subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed
+    )
     return ModelBundle(Pipeline(stages=[VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features"), gbt]).fit(rows), FEATURE_COLUMNS)
 
 

@@ -255,7 +255,9 @@ def feat_token_sort(spark, d):
 @query
 def feat_partial(spark, d):
     a, b, pairs = candidates(spark, d)
-    return P.build_pair_features(a, b, pairs).select("source1_entity_id", "candidate_entity_id", "name_partial_ratio", "address_partial_ratio")
+    return P.build_pair_features(a, b, pairs).select(
+        "source1_entity_id", "candidate_entity_id", "name_partial_ratio", "address_partial_ratio"
+    )
 
 
 @query

@@ -12,7 +12,9 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """entity_id, business_name, business_address, country, record_source, truth_key of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     words = F.filter(F.split(F.lower(F.regexp_replace("text", "[^a-zA-Z0-9]+", " ")), " "), lambda x: x != "")
-    docs = docs.select("doc_id", "n_chars", "lang", words.alias("tk"), (F.regexp_extract("source", "([0-9]+)", 1).cast("int") % 3 + 1).alias("sno"))
+    docs = docs.select(
+        "doc_id", "n_chars", "lang", words.alias("tk"), (F.regexp_extract("source", "([0-9]+)", 1).cast("int") % 3 + 1).alias("sno")
+    )
     number = F.col("doc_id").cast("string")
     padded = F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(0), 6 - F.length(number))), number)
     some = lambda at, n: F.array_join(F.slice("tk", at, n), " ")

@@ -16,7 +16,10 @@ SOURCE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in SOURCE_C
 TRUTH_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("source1_entity_id", "matched_entity_ids")])
 
 # Strings that a source reader takes for null.
-NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+NA_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null"
+]
 
 
 #: A column that sorts rows as their files have them.
@@ -39,11 +42,15 @@ def read_rows(spark: SparkSession, path: str, schema: T.StructType, quoted_lines
         message = F.concat(F.lit("a quoted field goes on in the next line, read with quoted_lines=True: "), line)
         first = F.when(open_quote, F.raise_error(message)).otherwise(first).alias(schema.fields[0].name)
     if place:
-        others.append(F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias(PLACE))
+        others.append(
+            F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias(PLACE)
+        )
     return df.select(first, *others)
 
 
-def read_tsv(spark: SparkSession, path: str, nrows: int | None = None, na: bool = True, quoted_lines: bool = False, place: bool = False) -> DataFrame:
+def read_tsv(
+    spark: SparkSession, path: str, nrows: int | None = None, na: bool = True, quoted_lines: bool = False, place: bool = False
+) -> DataFrame:
     """A source with its four string columns; null tokens become null. nrows takes the first rows of one file."""
     df = read_rows(spark, path, SOURCE_SCHEMA, quoted_lines, place)
     if nrows is not None:

@@ -11,7 +11,9 @@ from ..functions.text import add_normalized_columns
 from ..operators.blocking import block_priority
 
 
-def stream_candidates(queries: DataFrame, reference: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, cap: int = 500) -> StreamingQuery:
+def stream_candidates(
+    queries: DataFrame, reference: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, cap: int = 500
+) -> StreamingQuery:
     """Block every micro-batch of raw query records against normalized reference records; sink gets (pairs, batch id).
 
     A batch that is run again after a failure has the same id and the same pairs, so a sink that overwrites by id gives

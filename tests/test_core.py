@@ -22,9 +22,20 @@ def test_fold():
 
 
 def test_normalized_columns(spark):
-    rows = [("1", "ACME Private Limited", "12-B, M.G. Road, Apt 5", "U.S."), ("2", "Foo (P) Limited", "1234 main 560001", None), ("3", "Company Corporation Inc.", "12345678901", "x"), ("4", "Limited Edition Company", "12 b 221b 12th 5a7 5", "x"), ("5", "P Public Limited", "florida ave", "x"), ("6", None, None, None)]
-    got = {r.entity_id: r for r in X.add_normalized_columns(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string")).collect()}
-    assert [got[k].name_normalized for k in "123456"] == ["acme pvt ltd", "foo pvt ltd", "co corp inc", "ltd edition co", "p public ltd", ""]
+    rows = [
+        ("1", "ACME Private Limited", "12-B, M.G. Road, Apt 5", "U.S."), ("2", "Foo (P) Limited", "1234 main 560001", None),
+        ("3", "Company Corporation Inc.", "12345678901", "x"), ("4", "Limited Edition Company", "12 b 221b 12th 5a7 5", "x"),
+        ("5", "P Public Limited", "florida ave", "x"), ("6", None, None, None)
+    ]
+    got = {
+        r.entity_id: r
+        for r in X.add_normalized_columns(
+            spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string")
+        ).collect()
+    }
+    assert [got[k].name_normalized for k in "123456"] == [
+        "acme pvt ltd", "foo pvt ltd", "co corp inc", "ltd edition co", "p public ltd", ""
+    ]
     assert got["1"].address_normalized == "12 b m g rd unit 5" and got["1"].unit_number == "5" and got["1"].country_normalized == "u s"
     assert (got["2"].postal_code, got["2"].house_number, got["3"].postal_code) == ("560001", "1234", "")
     assert got["4"].address_numeric_tokens == ["12", "221b", "5"] and got["5"].unit_number == "orida"
@@ -32,21 +43,33 @@ def test_normalized_columns(spark):
 
 
 def test_plain_normalizer(spark):
-    df = spark.createDataFrame([("Café São-Paulo Pvt. Ltd.", "12abc rd", None), ("x", "a 12345678901 x", " U.S. ")], "business_name string, business_address string, country string")
+    df = spark.createDataFrame(
+        [("Café São-Paulo Pvt. Ltd.", "12abc rd", None), ("x", "a 12345678901 x", " U.S. ")],
+        "business_name string, business_address string, country string"
+    )
     a, b = X.add_sql_normalized_columns(df).collect()
-    assert (a.name_normalized, a.house_number) == ("caf  s o paulo pvt  ltd ", "12a") and (b.postal_code, b.country_normalized) == ("1234567890", "u.s.")
+    assert (a.name_normalized, a.house_number) == ("caf  s o paulo pvt  ltd ", "12a") and (
+        b.postal_code, b.country_normalized
+    ) == ("1234567890", "u.s.")
 
 
 def test_ratios():
     assert S.indel_ratio("acme ltd", "acme pvt ltd") == 0.8
-    assert [round(S.indel_ratio(*p), 6) for p in (("kitten", "sitting"), ("corp acme", "acme corp"), ("", ""), ("", "abc"))] == [0.615385, 0.444444, 1.0, 0.0]
-    assert [round(S.partial_ratio(*p), 6) for p in (("acme", "the acme corp"), ("abcd", "cdef"), ("bakery", "baker st"), ("", ""), ("", "a"))] == [1.0, 0.666667, 0.909091, 1.0, 0.0]
+    assert [
+        round(S.indel_ratio(*p), 6) for p in (("kitten", "sitting"), ("corp acme", "acme corp"), ("", ""), ("", "abc"))
+    ] == [0.615385, 0.444444, 1.0, 0.0]
+    assert [
+        round(S.partial_ratio(*p), 6)
+        for p in (("acme", "the acme corp"), ("abcd", "cdef"), ("bakery", "baker st"), ("", ""), ("", "a"))
+    ] == [1.0, 0.666667, 0.909091, 1.0, 0.0]
 
 
 def test_ratios_together():
     """All pairs at once give what one pair at a time gives, with texts beyond 64 characters, ties and repeats."""
     r = random.Random(5)
-    texts = ["", "a", "ab", "हिन्दी", "𝔸b𝔸", "x" * 64, "x" * 65, "ab" * 70] + ["".join(r.choice("abcd é") for _ in range(r.choice([1, 2, 3, 5, 8, 13, 63, 64, 65, 90]))) for _ in range(30)]
+    texts = ["", "a", "ab", "हिन्दी", "𝔸b𝔸", "x" * 64, "x" * 65, "ab" * 70] + [
+        "".join(r.choice("abcd é") for _ in range(r.choice([1, 2, 3, 5, 8, 13, 63, 64, 65, 90]))) for _ in range(30)
+    ]
     left, right = zip(*[(a, b) for a in texts for b in texts], ("ab", "ab"))
     whole, best = S.ratios(list(left), list(right))
     assert whole.tolist() == [S.indel_ratio(a, b) for a, b in zip(left, right)]
@@ -58,17 +81,27 @@ def test_ratios_together():
 def test_overlaps(spark):
     cases = [("a b", "b c"), ("", ""), ("a", ""), ("a a b", "a b"), ("ab", "abc")]
     a, b = F.col("a"), F.col("b")
-    df = spark.createDataFrame(cases, "a string, b string").select(S.token_jaccard(a, b), S.cosine(S.words(a), S.words(b), S.norm(a), S.norm(b)), S.character_jaccard(a, b))
+    df = spark.createDataFrame(cases, "a string, b string").select(
+        S.token_jaccard(a, b), S.cosine(S.words(a), S.words(b), S.norm(a), S.norm(b)), S.character_jaccard(a, b)
+    )
     got = [tuple(round(x, 6) for x in r) for r in df.collect()]
     assert [g[0] for g in got][:3] == [round(1 / 3, 6), 1.0, 0.0]
     assert [g[1] for g in got][1:4] == [1.0, 0.0, 0.948683]
     assert (got[1][2], got[2][2], got[4][2]) == (1.0, 0.0, round(2 / 7, 6))
-    assert sorted(spark.createDataFrame([("ab",)], "a string").select(X.char_ngrams(F.col("a"), (3,))).first()[0]) == ["  a", " ab", "ab ", "b  "]
+    assert sorted(
+        spark.createDataFrame([("ab",)], "a string").select(X.char_ngrams(F.col("a"), (3,))).first()[0]
+    ) == ["  a", " ab", "ab ", "b  "]
 
 
 def test_evaluation(spark):
-    truth = spark.createDataFrame([("e1", ["a", "b"]), ("e2", []), ("e3", []), ("e4", ["c"]), ("e5", ["c", "d"])], "source1_entity_id string, matched array<string>")
-    scored = spark.createDataFrame([("e1", "a", 0.9), ("e1", "b", 0.1), ("e3", "x", 0.9), ("e5", "c", 0.9), ("e5", "d", 0.5), ("e5", "z", 0.9)], "source1_entity_id string, candidate_entity_id string, match_probability double")
+    truth = spark.createDataFrame(
+        [("e1", ["a", "b"]), ("e2", []), ("e3", []), ("e4", ["c"]), ("e5", ["c", "d"])],
+        "source1_entity_id string, matched array<string>"
+    )
+    scored = spark.createDataFrame(
+        [("e1", "a", 0.9), ("e1", "b", 0.1), ("e3", "x", 0.9), ("e5", "c", 0.9), ("e5", "d", 0.5), ("e5", "z", 0.9)],
+        "source1_entity_id string, candidate_entity_id string, match_probability double"
+    )
     r = E.evaluate(scored, truth, truth.select("source1_entity_id"), 0.5).first()
     assert [round(x, 6) for x in r] == [0.509524, 0.533333, 0.5, 0.2, 5.0, 5.0]
 
@@ -78,7 +111,10 @@ SCHEMA = "entity_id string, business_name string, business_address string, count
 
 def test_blocking_modes(spark):
     one = spark.createDataFrame([("q1", "Acme Ltd", "12 Main Street", "US"), ("q2", "", "", "US")], SCHEMA)
-    ref = spark.createDataFrame([("r1", "ACME Limited", "99 Oak Road", "US"), ("r2", "Zeta", "12 Main St", "US"), ("r3", "Acme Ltd", "12 Main Street", "India")], SCHEMA)
+    ref = spark.createDataFrame(
+        [("r1", "ACME Limited", "99 Oak Road", "US"), ("r2", "Zeta", "12 Main St", "US"), ("r3", "Acme Ltd", "12 Main Street", "India")],
+        SCHEMA
+    )
     a, b, plain = X.add_normalized_columns(one), X.add_normalized_columns(ref), X.add_sql_normalized_columns(ref)
     pairs = lambda df: {tuple(r) for r in df.collect()}
     both = {("q1", "r1"), ("q1", "r2")}
@@ -165,14 +201,18 @@ def test_inspect_dataset(spark, tmp_path):
     profiles, countries = tables.inspect_dataset(spark, str(tmp_path))
     got = {(r.part, r.source, r.column): (r.n_rows, r.n_nulls) for r in profiles.collect()}
     assert len(got) == 24 and got["test", "source3", "business_address"] == (3, 3) and got["train", "source1", "country"] == (1, 0)
-    assert {(r.part, r.source, r.country, r.n_rows) for r in countries.collect()} == {(p, f"source{n}", "us", n) for p in ("train", "test") for n in (1, 2, 3)}
+    assert {(r.part, r.source, r.country, r.n_rows) for r in countries.collect()} == {
+        (p, f"source{n}", "us", n) for p in ("train", "test") for n in (1, 2, 3)
+    }
 
 
 def test_evaluation_without_ids(spark):
     truth = spark.createDataFrame([("e1", ["a"])], "source1_entity_id string, matched array<string>")
     scored = spark.createDataFrame([("e1", "a", 0.9)], "source1_entity_id string, candidate_entity_id string, match_probability double")
     got = E.evaluate(scored, truth, truth.select("source1_entity_id").limit(0), 0.5).first().asDict()
-    assert got == dict.fromkeys(("macro_f0_5", "macro_precision", "macro_recall", "singleton_accuracy", "predicted_matches", "entities"), 0.0)
+    assert got == dict.fromkeys(
+        ("macro_f0_5", "macro_precision", "macro_recall", "singleton_accuracy", "predicted_matches", "entities"), 0.0
+    )
 
 
 @pytest.mark.parametrize("engine", ["inverted", "disk"])
@@ -193,7 +233,10 @@ def test_train_and_predict(spark, tmp_path):
     head = "\t".join(tables.SOURCE_COLUMNS)
     for prefix in ("train", "test"):
         for n in (1, 2, 3):
-            lines = [f"S{n}-{k}\tFirm {k} alpha{k} Limited\t{k} Road{k % 7}\t{'US' if k % 2 else 'NA'}" for k in range(40) if n == 1 or k % 3 != n - 2]
+            lines = [
+                f"S{n}-{k}\tFirm {k} alpha{k} Limited\t{k} Road{k % 7}\t{'US' if k % 2 else 'NA'}" for k in range(40) if n == 1
+                or k % 3 != n - 2
+            ]
             (tmp_path / f"{prefix}_source{n}.tsv").write_text("\n".join([head, *lines]) + "\n")
     truth = [f"S1-{k}\t" + ",".join(f"S{n}-{k}" for n in (2, 3) if k % 3 != n - 2) for k in range(40)]
     (tmp_path / "train_ground_truth.tsv").write_text("source1_entity_id\tmatched_entity_ids\n" + "\n".join(truth) + "\n")
@@ -211,6 +254,9 @@ def test_stream(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "in"))
     ref = X.add_normalized_columns(spark.createDataFrame([("r1", "ACME Limited", "99 Oak Road", "US")], SCHEMA))
     out = str(tmp_path / "pairs")
-    q = stream_candidates(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), ref, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), str(tmp_path / "ck"))
+    q = stream_candidates(
+        spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), ref, lambda df,
+        n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), str(tmp_path / "ck")
+    )
     q.awaitTermination(120)
     assert [tuple(r) for r in spark.read.parquet(out).select("source1_entity_id", "candidate_entity_id").collect()] == [("q1", "r1")]

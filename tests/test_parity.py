@@ -42,7 +42,10 @@ def test_all_features(spark, sf_dir, duck):
     df = QUERIES["pair_features_all"](spark, sf_dir)
     rows = {(r.source1_entity_id, r.candidate_entity_id): r.asDict() for r in df.collect()}
     checked = set()
-    for name in ("feat_token_jaccard", "feat_char_jaccard", "feat_cosine", "feat_numeric", "feat_flags", "feat_length", "feat_indel", "feat_token_sort"):
+    for name in (
+        "feat_token_jaccard", "feat_char_jaccard", "feat_cosine", "feat_numeric", "feat_flags", "feat_length", "feat_indel",
+        "feat_token_sort"
+    ):
         want = duck.execute(entry.oracle_sql()[name])
         columns = [c[0] for c in want.description]
         for row in want.fetchall():
