@@ -819,6 +819,20 @@ def test_pipeline_keeps_a_repeated_document_whole(spark, tmp_path):
     }
 
 
+def test_pipeline_numbers_rows_once(spark, tmp_path):
+    """Rows of files keep their place; rows made from rows of files have numbers of their own."""
+    import corpus_pipeline
+
+    spark.range(40).selectExpr("id AS doc_id", "concat('t', id) AS text").repartition(3).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    for frame, n in ((docs, 40), (docs.selectExpr("doc_id", "text", "explode(array(1, 2)) AS k"), 80), (docs.limit(0), 0), (docs.unionByName(docs), 80)):
+        rows_, row = corpus_pipeline.numbered(frame)
+        got = [r[row] for r in rows_.collect()]
+        assert len(set(got)) == len(got) == n and rows_.columns == [*frame.columns, row]
+        assert sorted(got) == sorted(r[row] for r in rows_.select(row).collect())
+    assert len(corpus_pipeline.numbered(docs)[0].where("tessera_row >= (1L << 40)").collect()) == 40
+
+
 def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
     """Files with repeated and null ids, repeated rows, null and empty texts and clashing columns, stage by stage."""
     import corpus_pipeline
