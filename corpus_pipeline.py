@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,14 +23,13 @@ from tessera.llm.substring import PASSAGE, PASSAGE_WORDS, without_repeats
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with a number for each row that stays its own, and the column's name.
 
-    A row of a file is numbered by its file and its place there. Any other frame is written first. The list of files is
-    broadcast; the driver holds one for every scan anyway.
+    A row of a file is numbered by its file and its place there. Any other frame, where a row of a file may be several
+    rows by now, is written first. The list of files is broadcast; the driver holds one for every scan anyway.
     """
     row, path, at = (fresh(name, docs.columns) for name in ("tessera_row", "tessera_path", "tessera_at"))
-    try:
-        rows = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(at))
-    except AnalysisException:
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation" or not docs.inputFiles():
         return scratch(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    rows = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(at))
     files = rows.select(path).distinct().withColumn(row, F.row_number().over(Window.orderBy(path)).cast("long"))
     rows = rows.join(F.broadcast(scratch(files, "files")), path)
     return rows.select(*docs.columns, (F.shiftleft(row, 40) + F.col(at)).alias(row)), row
