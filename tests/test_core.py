@@ -9,6 +9,8 @@ from tessera.functions import similarity as S
 from tessera.functions import text as X
 from tessera.operators import blocking as B
 from tessera.operators import evaluation as E
+from tessera.operators import features as P
+from tessera.operators import training
 from tessera.sources import tables
 
 TEXTS = {
@@ -260,3 +262,46 @@ def test_stream(spark, tmp_path):
     )
     q.awaitTermination(120)
     assert [tuple(r) for r in spark.read.parquet(out).select("source1_entity_id", "candidate_entity_id").collect()] == [("q1", "r1")]
+
+
+def test_pairs_are_dealt_as_lists(spark):
+    """No exchange of a blocking, a fetch or the labels holds a row a pair, and pairs of a word are made once."""
+    make = lambda k, n: spark.createDataFrame([(f"{k}{i:03}", f"alpha beta w{i % 3}", f"{i % 4} road w{i % 5}", "us") for i in range(n)], SCHEMA)
+    a, b = X.add_normalized_columns(make("q", 30)), X.add_normalized_columns(make("r", 60))
+    lists = B.candidate_lists(a, b, 20)
+    assert {len(r.candidates) for r in lists.collect()} == {20}
+    truth = spark.createDataFrame([("q000", ["r000", "r999"]), ("q001", [])], "source1_entity_id string, matched array<string>")
+    labelled = training.label_lists(lists, truth)
+    key = lambda df: sorted(tuple(r) for r in df.select("source1_entity_id", "candidate_entity_id", "target").collect())
+    assert key(labelled) == key(training.label_pairs(B.pairs_of(lists), truth)) and sum(r.target for r in labelled.collect()) == 1
+    plan = training.thin_negatives(labelled)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [row_number() windowspecdefinition(source1_entity_id") == 1
+    shared = B.share_token(a, b, "name_token")
+    assert "HashAggregate" not in shared._jdf.queryExecution().executedPlan().toString()
+    left, right = ([(r.entity_id, set(r.name_normalized.split())) for r in f.collect()] for f in (a, b))
+    assert sorted(tuple(r) for r in shared.collect()) == sorted((x, y) for x, u in left for y, v in right if u & v)
+
+
+def test_features_meet_records_by_group(spark):
+    """Records of a pair travel once a group: no exchange has both sides' texts, and chosen columns are as among all."""
+    make = lambda k, n: spark.createDataFrame([(f"{k}{i:03}", f"alpha b{i % 7}", f"{i % 4} road w{i % 5}", "us") for i in range(n)], SCHEMA)
+    a, b = X.add_normalized_columns(make("q", 20)), X.add_normalized_columns(make("r", 50))
+    lists = B.candidate_lists(a, b, 30)
+    every = {(r.source1_entity_id, r.candidate_entity_id): r for r in P.build_pair_features(a, b, B.pairs_of(lists)).collect()}
+    assert len(every) == 600
+    for columns in (["name_token_sort_ratio"], ["name_partial_ratio", "address_partial_ratio"], ["address_levenshtein_similarity", "country_match"]):
+        df = P.build_pair_features(a, b, lists, columns=columns)
+        assert df.columns[2:] == [c for c in P.FEATURE_COLUMNS if c in columns]
+        assert all(every[r.source1_entity_id, r.candidate_entity_id][c] == r[c] for r in df.collect() for c in columns)
+    plan = P.build_pair_features(a, b, lists, columns=["name_character_similarity"])._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin [candidate_entity_id#" not in plan.split("ShuffledHashJoin")[0]
+
+
+def test_long_texts_are_combed(monkeypatch):
+    """Texts beyond 64 characters are compared without one pair at a time, with characters of any code."""
+    texts = ["ab" * 40 + "c", "ba" * 45, "\x00ÿþ" * 30, "हिन्दी" * 20, "ab" * 200]
+    want = {(a, b): (S.indel_ratio(a, b), S.partial_ratio(a, b)) for a in texts for b in texts}
+    for name in ("lcs", "indel_ratio", "partial_ratio"):
+        monkeypatch.delattr(S, name)
+    left, right = zip(*want)
+    assert list(zip(*(x.tolist() for x in S.ratios(list(left), list(right))))) == list(want.values())
