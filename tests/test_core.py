@@ -305,3 +305,11 @@ def test_long_texts_are_combed(monkeypatch):
         monkeypatch.delattr(S, name)
     left, right = zip(*want)
     assert list(zip(*(x.tolist() for x in S.ratios(list(left), list(right))))) == list(want.values())
+
+
+def test_gram_codes(spark):
+    """Numbers of grams are alike where grams are, for characters of any plane."""
+    texts = ["", "a", "abab abab", "हिन्दी", "𝔸b𝔸b𝔸", "éa é", "\U0010ffffab"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.char_ngrams(F.col("t"), (3,)).alias("g"), X.gram_codes(F.col("t")).alias("n"))
+    for r in df.collect():
+        assert [sum(ord(c) << 42 - 21 * k for k, c in enumerate(g)) for g in r.g] == r.n
