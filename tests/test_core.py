@@ -326,7 +326,8 @@ def test_lists_have_the_features_and_labels_of_pairs(spark):
     texts = ["", None, "!", "a", "A B a", "हिन्दी 𝔸b", "ab " * 40, "12 Main St 560001", "12b main st"] + [" ".join(r.choice("acme corp ltd b7 12 é".split()) for _ in range(4)) for _ in range(30)]
     make = lambda k, n: X.add_normalized_columns(spark.createDataFrame([(f"{k}{i:02}", r.choice(texts), r.choice(texts), r.choice(["us", "de", None])) for i in range(n)] + [(f"{k}00", "twice", "1 x", "us")], SCHEMA)).persist()
     a, b = make("q", 25), make("r", 40)
-    lists = spark.createDataFrame([(f"q{i:02}", [f"r{j:02}" for j in range(i, 45)]) for i in range(27)] + [("q30", [])], "source1_entity_id string, candidates array<string>")
+    a = a.unionByName(X.add_normalized_columns(spark.createDataFrame([("q30", "a", "a", "x"), ("q31", "a", "a", "y")], SCHEMA)))  # groups without a pair
+    lists = spark.createDataFrame([(f"q{i:02}", [f"r{j:02}" for j in range(i, 45)]) for i in range(27)] + [("q30", []), ("q31", ["r99"])], "source1_entity_id string, candidates array<string>")
     truth = spark.createDataFrame([("q00", ["r00", "r41"]), ("q03", ["r05", "r01", "r07"]), ("q90", ["r01"])], "source1_entity_id string, matched array<string>")
     want = []
     for x in training.label_pairs(P.build_pair_features(a, b, B.pairs_of(lists)), truth).collect():
