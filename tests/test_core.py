@@ -396,3 +396,24 @@ def test_trees_of_one_stage(spark, tmp_path):
         assert abs(1 / (1 + np.exp(-2 * total)) - s.match_probability) < 1e-12
     with pytest.raises(ValueError):
         training.fit_model(df.where("target = 1"), 2)
+
+
+def test_features_of_lists(spark):
+    """pair_features_all makes no text pair by pair: lists are packed once and have the features of pairs, for odd texts and ids too."""
+    from tessera.plans.catalogue import QUERIES
+
+    r = random.Random(3)
+    texts = ["", None, "!", "a", "A B a", "हिन्दी 𝔸b", "ab " * 40, "12 Main St 560001", "12b main st"] + [" ".join(r.choice("acme corp ltd b7 12 é".split()) for _ in range(4)) for _ in range(30)]
+    make = lambda k, n: X.add_normalized_columns(spark.createDataFrame([(f"{k}{i:02}", r.choice(texts), r.choice(texts), r.choice(["us", "de", None])) for i in range(n)] + [(f"{k}00", "twice", "1 x", "us"), (None, "a", "a", "us")], SCHEMA)).persist()
+    a, b = make("q", 25), make("r", 40)
+    lists = spark.createDataFrame([(f"q{i:02}", [f"r{j:02}" for j in range(i, 45)]) for i in range(27)] + [("q30", []), (None, ["r01"])], "source1_entity_id string, candidates array<string>")
+    key = lambda df: sorted(tuple(x) for x in df.collect())
+    want = key(P.build_pair_features(a, b, B.pairs_of(lists)))
+    assert len(want) > 700 and key(P.list_features(a, b, lists)) == want
+    at = [0, 1, *(2 + P.FEATURE_COLUMNS.index(c) for c in ("name_partial_ratio", "country_match"))]
+    assert key(P.list_features(a, b, lists, ["country_match", "name_partial_ratio"])) == sorted(tuple(x[k] for k in at) for x in want)
+    assert not P.list_features(a, b, lists.where("source1_entity_id = 'q30'")).collect()
+    dealt = B.candidate_lists(a, b, 7, by=P.group_of(a))
+    assert key(P.list_features(a, b, dealt)) == key(P.build_pair_features(a, b, B.candidate_lists(a, b, 7)))
+    plan = QUERIES["pair_features_all"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython [made(" not in plan and "InMemoryRelation [group" in plan
