@@ -417,3 +417,12 @@ def test_features_of_lists(spark):
     assert key(P.list_features(a, b, dealt)) == key(P.build_pair_features(a, b, B.candidate_lists(a, b, 7)))
     plan = QUERIES["pair_features_all"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "ArrowEvalPython [made(" not in plan and "InMemoryRelation [group" in plan
+
+
+def test_features_are_rounded_half_up():
+    import numpy as np
+
+    values = np.array([k / n for n in (1, 3, 7, 64, 128, 384, 640, 3200, 8192) for k in range(n + 1)])
+    from decimal import ROUND_HALF_UP, Decimal
+
+    assert P.rounded(values, 6).tolist() == [float(Decimal(repr(x)).quantize(Decimal("0.000001"), ROUND_HALF_UP)) for x in values.tolist()]
