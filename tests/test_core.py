@@ -426,3 +426,30 @@ def test_features_are_rounded_half_up():
     from decimal import ROUND_HALF_UP, Decimal
 
     assert P.rounded(values, 6).tolist() == [float(Decimal(repr(x)).quantize(Decimal("0.000001"), ROUND_HALF_UP)) for x in values.tolist()]
+
+
+def test_words_meet_in_cells(spark, monkeypatch):
+    """Pairs of a word are made as arrays of a cell, each once for odd ids and words, in whatever slices."""
+    import pyarrow as pa
+
+    r = random.Random(5)
+    words = ["acme", "corp", "b7", "हिन्दी", "x", "é"]
+    make = lambda k, n: X.add_normalized_columns(spark.createDataFrame([(f"{k}{i % 37:02}", " ".join(r.choice(words) for _ in range(i % 4)), None, r.choice(["us", None])) for i in range(n)], SCHEMA)).persist()
+    a, b = make("q", 50), make("r", 70)
+    left, right = ([(x.entity_id, x.country_normalized, set(x.name_normalized.split())) for x in f.collect()] for f in (a, b))
+    by = {c: {(x, y) for x, u, v in left for y, w, z in right if u == w == c and v & z} for c in ("us", "")}
+    for size, cells in ((B.SLICE, B.CELLS), (20, 1), (9, 5)):
+        monkeypatch.setattr(B, "SLICE", size)
+        monkeypatch.setattr(B, "CELLS", cells)
+        for country, want in by.items():
+            one, two = (f.where(F.col("country_normalized") == country) for f in (a, b))
+            shared = B.share_token(one, two, "name_token")
+            assert sorted(tuple(x) for x in shared.collect()) == sorted(want) and want
+        assert {tuple(x) for x in B.share_token(a, b, "name_token").collect()} == by["us"] | by[""]
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan and "Generate explode(candidates" in plan
+    monkeypatch.setattr(B, "PAIRS", 3)
+    rows = [("us", 0, 0, 0, f"r{i}", ["a"] if i % 2 else ["a", "b"]) for i in range(4)] + [("us", 0, 0, 1, x, w) for x, w in (("p", ["c"]), ("q", ["a"]), ("q", ["b"]), ("s", ["b"]))] + [("us", 0, 1, 1, "q", ["a"])]
+    batches = pa.table(dict(zip(("country", "left", "right", "side", "entity_id", "words"), map(list, zip(*rows))))).to_batches(max_chunksize=3)
+    got = [(x["source1_entity_id"], x["candidates"]) for y in B.marked(iter(batches)) for x in y.to_pylist()]
+    assert got == [("q", ["r0", "r1", "r2", "r3"]), ("s", ["r0", "r2"])]
